@@ -113,7 +113,7 @@ class FeatureSpec:
     dll_many: int = DLL_MANY
     timestamp_formats: tuple = (
         "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd",
-        "yyyy/MM/dd HH:mm:ss", "yyyy/MM/dd", "EEE MMM dd HH:mm:ss yyyy",
+        "yyyy/MM/dd HH:mm:ss", "yyyy/MM/dd", "dd MMM yyyy HH:mm:ss",
     )
 
 
@@ -150,9 +150,9 @@ FIXTURE_FEATURES = FeatureSpec(
     packer_patterns=("URGENT", "HIGH"),
     dangerous_names=("Brand#1", "Brand#13", "Brand#22"),
 )
-FIXTURE_LOG_COLS = ("total_price", "sum_qty", "sum_price", "n_imported_dlls",
+FIXTURE_LOG_COLS = ("total_price", "sum_qty", "max_price", "n_imported_dlls",
                     "n_imported_symbols", "identify_signature_count")
-FIXTURE_SCALE_COLS = ("cust_key", "n_lines", "avg_discount", "max_tax", "entropy",
+FIXTURE_SCALE_COLS = ("cust_key", "n_lines", "max_discount", "max_tax", "entropy",
                       "identify_is_packed", "formatted_timedatestamp_year",
                       "imports_dangerous_api", "time_alignment_anomaly", "dll_count_anomaly")
 FIXTURE_RULES = RuleColumns(identify="identify", entropy="entropy", sections="n_lines")

@@ -222,3 +222,182 @@ keep AS (SELECT y, min(m) AS m FROM ym GROUP BY y)
 SELECT sample_id, sample_date FROM samples s JOIN keep k
   ON year(s.sample_date) = k.y AND month(s.sample_date) = k.m
 WHERE s.label = 1"""
+
+# --- string features (expected values from the generation rules) ----------
+FEAT_CTE = """,
+feat AS (
+  SELECT sample_id, label,
+    CAST(CASE WHEN v_dll IN (0, 1, 3) THEN 0 ELSE coalesce(len(parts), 0) END AS INTEGER) AS n_imported_dlls,
+    CAST(coalesce(len(brands), 0) AS INTEGER) AS n_imported_symbols,
+    CASE WHEN v_id IN (0, 1) THEN 0
+         WHEN contains(priority, 'URGENT') OR contains(priority, 'HIGH') THEN 1 ELSE 0 END AS identify_is_packed,
+    CAST(CASE v_id WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 2 WHEN 3 THEN 2 ELSE 1 END AS INTEGER)
+      AS identify_signature_count,
+    CAST(CASE v_ts WHEN 0 THEN 1970 WHEN 1 THEN NULL WHEN 2 THEN NULL WHEN 4 THEN 2100
+         ELSE year(order_date) END AS INTEGER) AS formatted_timedatestamp_year,
+    CASE WHEN brands IS NOT NULL AND list_has_any(brands, ['Brand#1', 'Brand#13', 'Brand#22'])
+         THEN 1 ELSE 0 END AS imports_dangerous_api
+  FROM samples),
+eng AS (
+  SELECT *,
+    CASE WHEN formatted_timedatestamp_year IS NULL
+           OR formatted_timedatestamp_year NOT BETWEEN 1990 AND 2030 THEN 1 ELSE 0 END AS time_alignment_anomaly,
+    CASE WHEN n_imported_dlls = 0 OR n_imported_dlls > 100 THEN 1 ELSE 0 END AS dll_count_anomaly
+  FROM feat)
+"""
+
+ORACLES["list_parse"] = _s("samples") + """
+SELECT sample_id,
+  CAST(CASE WHEN v_dll IN (0, 1, 3) THEN 0 ELSE coalesce(len(parts), 0) END AS INTEGER) AS n_dlls,
+  CASE WHEN v_dll IN (0, 1, 3) THEN '' ELSE coalesce(array_to_string(parts, '|'), '') END AS dlls_joined,
+  CAST(coalesce(len(brands), 0) AS INTEGER) AS n_symbols,
+  coalesce(array_to_string(brands, '|'), '') AS symbols_joined,
+  CASE WHEN v_dll IN (0, 1) THEN 'empty'
+       WHEN v_dll = 2 AND coalesce(len(parts), 0) = 0 THEN 'empty'
+       WHEN v_dll = 3 THEN 'malformed' ELSE 'ok' END AS dll_status
+FROM samples"""
+
+ORACLES["list_features"] = _s("samples") + FEAT_CTE + """
+SELECT sample_id, n_imported_dlls, n_imported_symbols, identify_is_packed, identify_signature_count,
+       imports_dangerous_api, dll_count_anomaly FROM eng"""
+
+ORACLES["timestamp_features"] = _s("samples") + FEAT_CTE + \
+    "SELECT sample_id, formatted_timedatestamp_year, time_alignment_anomaly FROM eng"
+
+ORACLES["engineered_features"] = _s("samples") + FEAT_CTE + """
+SELECT sample_id, label, n_imported_dlls, n_imported_symbols, identify_is_packed, identify_signature_count,
+       formatted_timedatestamp_year, imports_dangerous_api, time_alignment_anomaly, dll_count_anomaly FROM eng"""
+
+RAW_STRINGS = """
+WITH raw AS (
+  SELECT o_orderkey AS sample_id, CAST(o_totalprice AS VARCHAR) AS price_text,
+         o_orderpriority AS priority_text, substr(o_orderpriority, 1, 1) AS priority_digit,
+         o_orderstatus AS status_text
+  FROM orders)
+"""
+
+ORACLES["numeric_coercion"] = RAW_STRINGS + """
+SELECT sample_id, TRY_CAST(price_text AS DOUBLE) AS price_text, TRY_CAST(priority_text AS DOUBLE) AS priority_text,
+       TRY_CAST(priority_digit AS DOUBLE) AS priority_digit, TRY_CAST(status_text AS DOUBLE) AS status_text
+FROM raw"""
+
+ORACLES["coercion_loss"] = RAW_STRINGS + """,
+lost AS (
+  SELECT count(*) FILTER (WHERE price_text IS NOT NULL AND TRY_CAST(price_text AS DOUBLE) IS NULL) AS price_text,
+         count(*) FILTER (WHERE priority_text IS NOT NULL AND TRY_CAST(priority_text AS DOUBLE) IS NULL) AS priority_text,
+         count(*) FILTER (WHERE priority_digit IS NOT NULL AND TRY_CAST(priority_digit AS DOUBLE) IS NULL) AS priority_digit,
+         count(*) FILTER (WHERE status_text IS NOT NULL AND TRY_CAST(status_text AS DOUBLE) IS NULL) AS status_text
+  FROM raw)
+SELECT "column", n_lost FROM (UNPIVOT lost ON price_text, priority_text, priority_digit, status_text
+                              INTO NAME "column" VALUE n_lost) WHERE n_lost > 0"""
+
+# --- profiling ------------------------------------------------------------------
+DAILY = """
+WITH counts AS (SELECT CAST(l_shipdate AS DATE) AS day, count(*) AS n FROM lineitem GROUP BY 1),
+spine AS (SELECT CAST(unnest(generate_series(min(CAST(l_shipdate AS DATE)), max(CAST(l_shipdate AS DATE)),
+                                              INTERVAL 1 DAY)) AS DATE) AS day FROM lineitem),
+daily AS (SELECT s.day, coalesce(c.n, 0) AS n FROM spine s LEFT JOIN counts c USING (day))
+"""
+
+ORACLES["class_balance_by_day"] = _s("samples") + """
+SELECT order_date AS day, count(*) FILTER (WHERE label = 0) AS n_neg, count(*) FILTER (WHERE label = 1) AS n_pos
+FROM samples GROUP BY order_date"""
+
+ORACLES["daily_counts"] = DAILY + "SELECT day, n FROM daily"
+
+ORACLES["monthly_rollup"] = DAILY + """
+SELECT strftime(day, '%Y-%m') AS month, sum(n) AS total, round(avg(n), 6) AS mean_per_day,
+       max(n) AS max_per_day, count(*) AS days
+FROM daily GROUP BY 1"""
+
+ORACLES["empty_periods"] = DAILY + """
+SELECT CAST(year(day) AS INTEGER) AS year, count(*) AS days, count(*) FILTER (WHERE n = 0) AS empty_days,
+       sum(n) AS total, round_even(100.0 * count(*) FILTER (WHERE n = 0) / count(*), 1) AS pct_empty
+FROM daily GROUP BY 1
+UNION ALL
+SELECT NULL, count(*), count(*) FILTER (WHERE n = 0), sum(n),
+       round_even(100.0 * count(*) FILTER (WHERE n = 0) / count(*), 1)
+FROM daily"""
+
+ORACLES["timestamp_profile"] = _s("samples") + """
+SELECT count(*) AS n_rows, count(try_strptime(formatted_ts, '%Y-%m-%d %H:%M:%S')) AS n_valid,
+       min(try_strptime(formatted_ts, '%Y-%m-%d %H:%M:%S')) AS min_ts,
+       max(try_strptime(formatted_ts, '%Y-%m-%d %H:%M:%S')) AS max_ts
+FROM samples"""
+
+NUMERIC = ["total_price", "cust_key", "n_lines", "sum_qty", "max_discount", "max_tax", "max_price", "entropy"]
+
+ORACLES["numeric_describe"] = _s("samples") + f""",
+long AS (SELECT * FROM (SELECT {', '.join(NUMERIC)} FROM samples)
+         UNPIVOT INCLUDE NULLS (value FOR feature IN ({', '.join(NUMERIC)})))
+SELECT feature, count(value) AS count, count(*) FILTER (WHERE value IS NULL) AS null_count,
+       round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std,
+       round(min(value), 6) AS min, round(max(value), 6) AS max,
+       round(100.0 * count(*) FILTER (WHERE value IS NULL) / count(*), 6) AS null_pct,
+       round(quantile_cont(value, 0.05), 6) AS p05, round(quantile_cont(value, 0.5), 6) AS p50,
+       round(quantile_cont(value, 0.95), 6) AS p95
+FROM long GROUP BY feature"""
+
+PROFILE_TYPES = {"sample_id": "bigint", "label": "int", "sample_date": "date", "total_price": "double",
+                 "n_lines": "double", "max_discount": "double", "imported_dlls": "string",
+                 "imported_symbols": "string", "identify": "string", "formatted_ts": "string"}
+
+ORACLES["null_report"] = _s("samples") + f""",
+long AS (SELECT * FROM (SELECT {', '.join(f'CAST({c} AS VARCHAR) AS {c}' for c in PROFILE_TYPES)} FROM samples)
+         UNPIVOT INCLUDE NULLS (v FOR "column" IN ({', '.join(PROFILE_TYPES)}))),
+types AS (SELECT * FROM (VALUES {', '.join(f"('{c}', '{t}')" for c, t in PROFILE_TYPES.items())}) t("column", dtype))
+SELECT "column", dtype, count(*) FILTER (WHERE v IS NULL) AS null_count,
+       round(100.0 * count(*) FILTER (WHERE v IS NULL) / count(*), 6) AS null_pct,
+       count(DISTINCT v) AS n_distinct
+FROM long JOIN types USING ("column") GROUP BY "column", dtype"""
+
+ORACLES["string_cardinality"] = _s("samples") + """,
+long AS (UNPIVOT (SELECT imported_dlls, imported_symbols, identify, formatted_ts FROM samples)
+         ON imported_dlls, imported_symbols, identify, formatted_ts INTO NAME "column" VALUE v)
+SELECT "column", count(*) AS non_null, count(DISTINCT v) AS n_distinct, CAST(max(length(v)) AS INTEGER) AS max_len,
+       CAST(trunc(quantile_cont(length(v), 0.5)) AS INTEGER) AS median_len
+FROM long GROUP BY "column\""""
+
+ORACLES["near_zero_variance"] = _s("samples") + FEAT_CTE + f""",
+j AS (SELECT s.*, e.dll_count_anomaly, e.identify_is_packed FROM samples s JOIN eng e USING (sample_id)),
+long AS (SELECT * FROM (SELECT {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in NUMERIC + ['dll_count_anomaly', 'identify_is_packed'])} FROM j)
+         UNPIVOT INCLUDE NULLS (value FOR feature IN ({', '.join(NUMERIC + ['dll_count_anomaly', 'identify_is_packed'])})))
+SELECT feature, min(value) IS NOT DISTINCT FROM max(value) AS near_zero_variance, round(avg(value), 6) AS mean
+FROM long GROUP BY feature"""
+
+# --- preprocessing ----------------------------------------------------------
+LOG_COLS = ["total_price", "sum_qty", "max_price", "n_imported_dlls", "n_imported_symbols", "identify_signature_count"]
+SCALE_COLS = ["cust_key", "n_lines", "max_discount", "max_tax", "entropy", "identify_is_packed",
+              "formatted_timedatestamp_year", "imports_dangerous_api", "time_alignment_anomaly", "dll_count_anomaly"]
+_ALL = LOG_COLS + SCALE_COLS
+_LOGSET = ", ".join(f"'{c}'" for c in LOG_COLS)
+
+PREP_CTES = SPLIT_CTES + FEAT_CTE + f""",
+prep AS (
+  SELECT t.sample_id, t.split, {', '.join(f'CAST({("e." if c in ("n_imported_dlls", "n_imported_symbols", "identify_signature_count", "identify_is_packed", "formatted_timedatestamp_year", "imports_dangerous_api", "time_alignment_anomaly", "dll_count_anomaly") else "t.") + c} AS DOUBLE) AS {c}' for c in _ALL)}
+  FROM tsplit t JOIN eng e USING (sample_id)),
+plong AS (SELECT * FROM prep UNPIVOT INCLUDE NULLS (value FOR feature IN ({', '.join(_ALL)}))),
+med AS (SELECT feature, quantile_cont(value, 0.5) AS median FROM plong WHERE split = 'train' GROUP BY feature),
+imp AS (
+  SELECT p.sample_id, p.split, p.feature, m.median,
+         CASE WHEN p.feature IN ({_LOGSET})
+              THEN ln(1 + CASE WHEN coalesce(p.value, m.median) >= 0 THEN coalesce(p.value, m.median) ELSE 0 END)
+              ELSE coalesce(p.value, m.median) END AS t
+  FROM plong p JOIN med m USING (feature)),
+st AS (SELECT feature, any_value(median) AS median, avg(t) AS mean, stddev_pop(t) AS std
+       FROM imp WHERE split = 'train' GROUP BY feature),
+scaled AS (
+  SELECT i.sample_id, i.split, i.feature,
+         (i.t - st.mean) / CASE WHEN st.std = 0 THEN 1 ELSE st.std END AS value
+  FROM imp i JOIN st USING (feature))
+"""
+
+ORACLES["median_impute"] = _s("samples") + PREP_CTES + "SELECT feature, round(median, 6) AS median FROM st"
+ORACLES["scaler_stats"] = _s("samples") + PREP_CTES + \
+    "SELECT feature, round(median, 6) AS median, round(mean, 6) AS mean, round(std, 6) AS std FROM st"
+ORACLES["log_scale_transform"] = _s("samples") + PREP_CTES + \
+    "SELECT sample_id, feature, round(value, 6) AS value FROM scaled WHERE split = 'test'"
+ORACLES["leakage_profile"] = _s("samples") + PREP_CTES + """
+SELECT split, feature, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std,
+       count(*) FILTER (WHERE value IS NULL OR isnan(value)) AS n_bad
+FROM scaled GROUP BY split, feature"""

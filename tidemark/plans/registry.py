@@ -95,3 +95,161 @@ def demo_per_class(spark, d):
 def time_sample(spark, d):
     pos = FX.samples(spark, d).filter(F.col("label") == 1)
     return S.first_months_per_year(pos, "sample_date", 1).select("sample_id", "sample_date")
+
+
+# --- string features --------------------------------------------------------
+from tidemark.functions import features as FE  # noqa: E402
+from tidemark.functions import lists as L  # noqa: E402
+from tidemark.functions import numeric as N  # noqa: E402
+
+SPEC = FIXTURE.features
+
+
+@query
+def list_parse(spark, d):
+    s = FX.samples(spark, d)
+    dl, sl = L.list_from_literal("imported_dlls"), L.list_from_literal("imported_symbols")
+    return s.select("sample_id",
+                    F.size(dl).alias("n_dlls"), F.array_join(dl, "|").alias("dlls_joined"),
+                    F.size(sl).alias("n_symbols"), F.array_join(sl, "|").alias("symbols_joined"),
+                    L.parse_status("imported_dlls").alias("dll_status"))
+
+
+@query
+def list_features(spark, d):
+    e = FE.engineer(FX.samples(spark, d), SPEC)
+    return e.select("sample_id", "n_imported_dlls", "n_imported_symbols", "identify_is_packed",
+                    "identify_signature_count", "imports_dangerous_api", "dll_count_anomaly")
+
+
+@query
+def timestamp_features(spark, d):
+    e = FE.engineer(FX.samples(spark, d), SPEC)
+    return e.select("sample_id", "formatted_timedatestamp_year", "time_alignment_anomaly")
+
+
+@query
+def engineered_features(spark, d):
+    e = FE.engineer(FX.samples(spark, d), SPEC)
+    return e.select("sample_id", "label", *FE.ENGINEERED)
+
+
+def _raw_strings(spark, d):
+    o = FX.table(spark, d, "orders")
+    return o.select(F.col("o_orderkey").alias("sample_id"),
+                    F.col("o_totalprice").cast("string").alias("price_text"),
+                    F.col("o_orderpriority").alias("priority_text"),
+                    F.substring("o_orderpriority", 1, 1).alias("priority_digit"),
+                    F.col("o_orderstatus").alias("status_text"))
+
+
+@query
+def numeric_coercion(spark, d):
+    c = N.coerce_numeric(_raw_strings(spark, d), ["price_text", "priority_text", "priority_digit", "status_text"])
+    return c
+
+
+@query
+def coercion_loss(spark, d):
+    return N.coercion_loss(_raw_strings(spark, d), ["price_text", "priority_text", "priority_digit", "status_text"])
+
+
+# --- profiling ----------------------------------------------------------------
+from tidemark.operators import profile as P  # noqa: E402
+from tidemark.operators import preprocess as M  # noqa: E402
+
+
+def _daily(spark, d):
+    return P.daily_counts(FX.table(spark, d, "lineitem"), "l_shipdate")
+
+
+@query
+def class_balance_by_day(spark, d):
+    return P.class_balance_by_day(FX.samples(spark, d), "order_date", "label")
+
+
+@query
+def daily_counts(spark, d):
+    return _daily(spark, d)
+
+
+@query
+def monthly_rollup(spark, d):
+    m = P.monthly_rollup(_daily(spark, d))
+    return m.withColumn("mean_per_day", r6("mean_per_day"))
+
+
+@query
+def empty_periods(spark, d):
+    return P.empty_periods(_daily(spark, d))
+
+
+@query
+def timestamp_profile(spark, d):
+    return P.timestamp_profile(FX.samples(spark, d), "formatted_ts")
+
+
+@query
+def numeric_describe(spark, d):
+    x = P.numeric_describe(FX.samples(spark, d), FX.NUMERIC_COLS)
+    return x.select("feature", "count", "null_count", *[r6(c).alias(c) for c in
+                    ("mean", "std", "min", "max", "null_pct", "p05", "p50", "p95")])
+
+
+PROFILE_COLS = ("sample_id", "label", "sample_date", "total_price", "n_lines", "max_discount",
+                "imported_dlls", "imported_symbols", "identify", "formatted_ts")
+
+
+@query
+def null_report(spark, d):
+    x = P.missingness(FX.samples(spark, d), PROFILE_COLS)
+    return x.withColumn("null_pct", r6("null_pct"))
+
+
+@query
+def string_cardinality(spark, d):
+    return P.string_cardinality(FX.samples(spark, d), ["imported_dlls", "imported_symbols", "identify", "formatted_ts"])
+
+
+@query
+def near_zero_variance(spark, d):
+    s = FE.engineer(FX.samples(spark, d), SPEC)
+    x = P.near_zero_variance(s, list(FX.NUMERIC_COLS) + ["dll_count_anomaly", "identify_is_packed"])
+    return x.withColumn("mean", r6("mean"))
+
+
+# --- preprocessing ------------------------------------------------------------
+def _prep_input(spark, d):
+    s = FE.engineer(FX.samples(spark, d), SPEC)
+    return S.temporal_split(s, R)
+
+
+def _fit(spark, d):
+    t = _prep_input(spark, d)
+    return t, M.fit_preprocessor(t.filter(F.col("split") == "train"), FIXTURE.log_cols, FIXTURE.scale_cols)
+
+
+@query
+def median_impute(spark, d):
+    _, fp = _fit(spark, d)
+    return fp.stats_frame(spark).select("feature", r6("median").alias("median"))
+
+
+@query
+def scaler_stats(spark, d):
+    _, fp = _fit(spark, d)
+    return fp.stats_frame(spark).select("feature", *[r6(c).alias(c) for c in ("median", "mean", "std")])
+
+
+@query
+def log_scale_transform(spark, d):
+    t, fp = _fit(spark, d)
+    x = fp.transform(t.filter(F.col("split") == "test"), keep=["sample_id"])
+    return x.unpivot(["sample_id"], list(fp.columns), "feature", "value").withColumn("value", r6("value"))
+
+
+@query
+def leakage_profile(spark, d):
+    t, fp = _fit(spark, d)
+    x = M.leakage_profile(fp.transform(t, keep=["split"]), fp.columns)
+    return x.select("split", "feature", r6("mean").alias("mean"), r6("std").alias("std"), "n_bad")
