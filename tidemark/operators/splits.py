@@ -187,9 +187,10 @@ def calibration_tail(windowed: DataFrame, roles: Roles = Roles(), fraction: floa
 
 
 def assign_folds(df: DataFrame, roles: Roles = Roles(), k: int = 10, seed: int = SEED,
-                 out: str = "fold") -> DataFrame:
-    """Stratified folds — rank within label in seeded order, mod k."""
-    r = seeded_rank(df, roles.id, seed, by=[roles.label], out="_r")
+                 out: str = "fold", by: Sequence[str] = ()) -> DataFrame:
+    """Stratified folds — rank within label (and ``by``) in seeded
+    order, mod k."""
+    r = seeded_rank(df, roles.id, seed, by=[*by, roles.label], out="_r")
     return r.withColumn(out, F.pmod(F.col("_r"), F.lit(k)).cast("int")).drop("_r", "_r_n")
 
 

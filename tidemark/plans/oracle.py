@@ -401,3 +401,211 @@ ORACLES["leakage_profile"] = _s("samples") + PREP_CTES + """
 SELECT split, feature, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std,
        count(*) FILTER (WHERE value IS NULL OR isnan(value)) AS n_bad
 FROM scaled GROUP BY split, feature"""
+
+# --- drift, metrics, decisions --------------------------------------------------------
+
+
+def PF(model: str, sid: str = "sample_id", label: str = "label") -> str:
+    """The fixture's pseudo-probability of ``model`` for a row."""
+    return (f"(CAST(floor((('0x' || substr(md5('m42:' || CAST({model} AS VARCHAR) || ':' || CAST({sid} AS VARCHAR)), 1, 8))::UBIGINT"
+            f" / 4294967295.0) * 60) + 40 * {label} AS DOUBLE) / 100.0)")
+
+
+def ACC(pred: str, label: str = "label") -> str:
+    return f"avg(CASE WHEN CAST({pred} AS INTEGER) = {label} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)"
+
+
+META_CTES = SPLIT_CTES + WINDOW_CTES + f""",
+cp AS (
+  SELECT sample_id, window_id, label,
+         row_number() OVER (PARTITION BY window_id ORDER BY sample_date DESC, {H}) - 1 AS r,
+         greatest(round_even(count(*) OVER (PARTITION BY window_id) * 0.15, 0), 1) AS ncal
+  FROM windowed WHERE label = 1),
+cn AS (
+  SELECT sample_id, window_id, label,
+         row_number() OVER (PARTITION BY window_id ORDER BY {H}, sample_id) - 1 AS r,
+         round_even(count(*) OVER (PARTITION BY window_id) * 0.15, 0) AS ncal
+  FROM windowed WHERE label <> 1),
+cal AS (SELECT sample_id, window_id, label FROM cp WHERE r < ncal
+        UNION ALL SELECT sample_id, window_id, label FROM cn WHERE r < ncal),
+inacc AS (SELECT window_id, {ACC(PF('window_id') + ' >= 0.5')} AS in_acc FROM cal GROUP BY window_id),
+recent AS (SELECT CAST(m AS INTEGER) AS window_id, {ACC(PF('m') + ' >= 0.5')} AS recent_acc
+           FROM tsplit, range(5) r(m) WHERE split = 'test' GROUP BY m),
+sizes AS (SELECT window_id, count(*) AS n_rows, count(*) FILTER (WHERE label = 1) AS n_pos,
+                 count(*) FILTER (WHERE label <> 1) AS n_neg, max(sample_date) AS max_date
+          FROM windowed GROUP BY window_id),
+meta0 AS (
+  SELECT w.window_id, coalesce(n_rows, 0) AS n_rows, coalesce(n_pos, 0) AS n_pos, coalesce(n_neg, 0) AS n_neg,
+         (coalesce(n_pos, 0) > 0 AND coalesce(n_neg, 0) > 0) AS active, in_acc AS in_acc0,
+         coalesce(recent_acc, 0.0) AS recent_acc, max_date
+  FROM (SELECT CAST(range AS INTEGER) AS window_id FROM range(5)) w
+  LEFT JOIN sizes USING (window_id) LEFT JOIN inacc USING (window_id) LEFT JOIN recent USING (window_id)),
+meta AS (SELECT * EXCLUDE (in_acc0), CASE WHEN active THEN coalesce(in_acc0, 0.0) ELSE 0.0 END AS in_acc FROM meta0),
+wt AS (
+  SELECT *, exp(-1.0 * (5 - 1 - window_id) / 4.0) AS rec,
+         exp(-2.0 * least(greatest(greatest(0.0, in_acc - recent_acc)
+                                   / CASE WHEN in_acc > 1e-9 THEN in_acc ELSE 1.0 END, 0.0), 1.0)) AS pen
+  FROM meta),
+wr AS (SELECT *, rec * in_acc * pen AS raw, sum(rec * in_acc * pen) OVER () AS s FROM wt),
+w1 AS (SELECT *, CASE WHEN s <= 0 THEN 1.0 / 5 ELSE raw / s END AS w0 FROM wr),
+w2 AS (SELECT *, CASE WHEN active THEN w0 ELSE 0.0 END AS wa FROM w1),
+weights AS (SELECT window_id, active, wa / greatest(sum(wa) OVER (), 1e-12) AS weight FROM w2)
+"""
+
+DEC_CTES = META_CTES + """,
+dec AS (
+  SELECT sc.sample_id, any_value(sc.label) AS label, sum(w.weight * sc.p) AS probability,
+         least(greatest(2 * stddev_pop(sc.p) FILTER (WHERE w.active), 0), 1) AS disagreement
+  FROM scores sc JOIN weights w ON sc.model_id = w.window_id GROUP BY sc.sample_id),
+dec2 AS (SELECT *, least(greatest(2 * abs(probability - 0.5) - disagreement, 0), 1) AS confidence FROM dec),
+decided AS (SELECT *, CASE WHEN confidence < 0.65 THEN 'BLOCKED_UNCERTAIN' WHEN probability >= 0.5 THEN 'BLOCKED_MALWARE'
+                           ELSE 'ALLOWED' END AS verdict FROM dec2)
+"""
+
+DRIFT_CTES = """,
+dl AS (SELECT * FROM (SELECT side, value, user_id, prop_k, hour FROM drift)
+       UNPIVOT INCLUDE NULLS (value FOR feature IN (value, user_id, prop_k, hour))),
+dlf AS (SELECT * FROM dl WHERE value IS NOT NULL AND isfinite(value)),
+edges AS (SELECT feature, list_sort(list_distinct(quantile_cont(value, [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]))) AS e
+          FROM dlf WHERE side = 'train' GROUP BY feature),
+bk AS (SELECT d.feature, d.side,
+              CASE WHEN d.value < e[1] OR d.value > e[len(e)] THEN NULL
+                   WHEN len(list_filter(e, lambda x: x <= d.value)) - 1 >= len(e) - 1 THEN len(e) - 2
+                   ELSE len(list_filter(e, lambda x: x <= d.value)) - 1 END AS bucket
+       FROM dlf d JOIN edges USING (feature)),
+cnt AS (SELECT feature, bucket, count(*) FILTER (WHERE side = 'train') AS tc, count(*) FILTER (WHERE side = 'deploy') AS dc
+        FROM bk WHERE bucket IS NOT NULL GROUP BY feature, bucket),
+spine AS (SELECT feature, unnest(generate_series(0, len(e) - 2)) AS bucket FROM edges WHERE len(e) >= 2),
+sp AS (SELECT s.feature, s.bucket, coalesce(c.tc, 0) AS tc, coalesce(c.dc, 0) AS dc FROM spine s LEFT JOIN cnt c USING (feature, bucket)),
+pct AS (SELECT feature, tc / greatest(sum(tc) OVER (PARTITION BY feature), 1) + 1e-6 AS tp,
+               dc / greatest(sum(dc) OVER (PARTITION BY feature), 1) + 1e-6 AS dp FROM sp),
+per AS (SELECT feature, sum((dp - tp) * ln(dp / tp)) AS psi FROM pct GROUP BY feature),
+ns AS (SELECT feature, count(*) FILTER (WHERE side = 'train') AS n_train, count(*) FILTER (WHERE side = 'deploy') AS n_deploy
+       FROM dlf GROUP BY feature),
+feats AS (SELECT * FROM (VALUES ('value'), ('user_id'), ('prop_k'), ('hour')) t(feature)),
+psi AS (SELECT f.feature, CASE WHEN coalesce(n_train, 0) = 0 OR coalesce(n_deploy, 0) = 0 THEN 0.0
+                               ELSE coalesce(psi, 0.0) END AS psi,
+               coalesce(n_train, 0) AS n_train, coalesce(n_deploy, 0) AS n_deploy
+        FROM feats f LEFT JOIN ns USING (feature) LEFT JOIN per USING (feature))
+"""
+
+ORACLES["psi_per_feature"] = _s("drift") + DRIFT_CTES + \
+    "SELECT feature, round(psi, 6) AS psi, n_train, n_deploy FROM psi"
+ORACLES["psi_average"] = _s("drift") + DRIFT_CTES + \
+    "SELECT round(coalesce(avg(psi), 0.0), 6) AS avg_psi, count(*) AS n_features FROM psi"
+ORACLES["psi_band"] = _s("drift") + DRIFT_CTES + """
+SELECT feature, CASE WHEN psi < 0.1 THEN 'none' WHEN psi <= 0.25 THEN 'moderate' ELSE 'large' END AS band FROM psi"""
+
+ORACLES["window_metrics"] = _s("samples") + META_CTES + """
+SELECT window_id, n_rows, n_pos, n_neg, active, round(in_acc, 6) AS in_acc, round(recent_acc, 6) AS recent_acc, max_date
+FROM meta"""
+ORACLES["accuracy_decay"] = _s("samples") + META_CTES + """
+SELECT window_id, round(least(greatest(greatest(0.0, in_acc - recent_acc)
+                          / CASE WHEN in_acc > 1e-9 THEN in_acc ELSE 1.0 END, 0.0), 1.0), 6) AS decay FROM meta"""
+ORACLES["vote_weights"] = _s("samples") + META_CTES + "SELECT window_id, round(weight, 6) AS weight FROM weights"
+ORACLES["drift_status"] = _s("samples") + META_CTES + """
+SELECT round(max_by(in_acc, window_id), 6) AS newest_acc, round(min_by(in_acc, window_id), 6) AS oldest_acc,
+       round(max_by(in_acc, window_id) - min_by(in_acc, window_id), 6) AS trend,
+       CASE WHEN max_by(in_acc, window_id) - min_by(in_acc, window_id) < -0.02 THEN 'down'
+            WHEN max_by(in_acc, window_id) - min_by(in_acc, window_id) > 0.02 THEN 'up' ELSE 'flat' END AS trend_class,
+       string_agg(printf('%.3f', round_even(in_acc, 3)), ' ' ORDER BY window_id) AS per_window,
+       count(*) AS n_active
+FROM meta WHERE active"""
+ORACLES["retrain_alert"] = _s("samples") + META_CTES + """,
+ra AS (SELECT window_id, in_acc,
+              avg(in_acc) OVER (ORDER BY window_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mean_older,
+              lag(in_acc) OVER (ORDER BY window_id) AS prev_acc
+       FROM meta WHERE active)
+SELECT round(in_acc, 6) AS newest_acc, round(mean_older, 6) AS mean_older, round(prev_acc, 6) AS prev_acc,
+       in_acc < mean_older - 0.05 AS retrain, (prev_acc - in_acc) >= 0.05 AS sharp_drop
+FROM ra ORDER BY window_id DESC LIMIT 1"""
+
+ORACLES["disagreement"] = _s("scores") + """
+SELECT sample_id, round(least(greatest(2 * stddev_pop(p), 0), 1), 6) AS disagreement FROM scores GROUP BY sample_id"""
+ORACLES["weighted_vote"] = _s("scores") + DEC_CTES + "SELECT sample_id, round(probability, 6) AS probability FROM decided"
+ORACLES["joint_confidence"] = _s("scores") + DEC_CTES + "SELECT sample_id, round(confidence, 6) AS confidence FROM decided"
+ORACLES["verdicts"] = _s("scores") + DEC_CTES + """
+SELECT sample_id, verdict, verdict <> 'ALLOWED' AS is_positive_decision,
+       round_even(probability, 4) AS probability, round_even(confidence, 4) AS confidence FROM decided"""
+ORACLES["verdict_counts"] = _s("scores") + DEC_CTES + """
+SELECT count(*) FILTER (WHERE verdict = 'ALLOWED') AS n_allowed,
+       count(*) FILTER (WHERE verdict = 'BLOCKED_MALWARE') AS n_blocked_malware,
+       count(*) FILTER (WHERE verdict = 'BLOCKED_UNCERTAIN') AS n_blocked_uncertain FROM decided"""
+ORACLES["threshold_sweep"] = _s("scores") + DEC_CTES + """
+SELECT t AS threshold, count(*) FILTER (WHERE confidence < t OR probability >= 0.5) AS n_blocked,
+       count(*) FILTER (WHERE confidence < t) AS n_uncertain,
+       round(avg(CASE WHEN CAST((confidence < t OR probability >= 0.5) AS INTEGER) = label THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6)
+         AS blocking_accuracy
+FROM decided, (VALUES (0.55::DOUBLE), (0.65::DOUBLE), (0.75::DOUBLE)) th(t) GROUP BY t"""
+ORACLES["confusion_matrix"] = _s("scores") + DEC_CTES + """,
+cm AS (SELECT label, CAST(verdict <> 'ALLOWED' AS INTEGER) AS decision, count(*) AS n FROM decided GROUP BY ALL)
+SELECT l.label, l.decision, coalesce(cm.n, 0) AS n
+FROM (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) l(label, decision) LEFT JOIN cm USING (label, decision)"""
+
+ORACLES["accuracy_by_model"] = _s("scores") + f"""
+SELECT CAST(model_id AS INTEGER) AS model_id, round({ACC('p >= 0.5')}, 6) AS accuracy FROM scores GROUP BY model_id"""
+
+
+def AUC_SQL(src: str, keys: str) -> str:
+    return f"""
+g_{src} AS (SELECT {keys}, p, count(*) FILTER (WHERE label = 1) AS np, count(*) FILTER (WHERE label <> 1) AS nn
+            FROM {src} GROUP BY {keys}, p),
+c_{src} AS (SELECT *, coalesce(sum(nn) OVER (PARTITION BY {keys} ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+            FROM g_{src}),
+auc_{src} AS (SELECT {keys}, CASE WHEN sum(np) > 0 AND sum(nn) > 0 THEN sum(np * (below + 0.5 * nn)) / (sum(np) * sum(nn)) END AS auc,
+                     CAST(sum(np) AS BIGINT) AS n_pos, CAST(sum(nn) AS BIGINT) AS n_neg
+              FROM c_{src} GROUP BY {keys})"""
+
+
+ORACLES["roc_auc_by_model"] = _s("scores") + "," + AUC_SQL("scores", "model_id") + """
+SELECT CAST(model_id AS INTEGER) AS model_id, round(auc, 6) AS auc, n_pos, n_neg FROM auc_scores"""
+
+RECORD_CTES = SPLIT_CTES + f""",
+rsplit AS (SELECT sample_id, label,
+                  CASE WHEN row_number() OVER (PARTITION BY label ORDER BY {H}, sample_id) - 1
+                            < ceil(count(*) OVER (PARTITION BY label) * 0.2) THEN 'test' ELSE 'train' END AS split
+           FROM samples),
+sides AS (SELECT sample_id, label, split, 'random' AS protocol FROM rsplit
+          UNION ALL SELECT sample_id, label, split, 'temporal' FROM tsplit),
+trf AS (SELECT *, CAST((row_number() OVER (PARTITION BY protocol, label ORDER BY {H}, sample_id) - 1) % 10 AS INTEGER) AS fold
+        FROM sides WHERE split = 'train'),
+mids AS (SELECT CAST(range AS INTEGER) AS model_id FROM range(5)),
+trm AS (SELECT trf.*, mids.model_id, {PF('mids.model_id', 'trf.sample_id', 'trf.label')} AS p FROM trf, mids),
+tem AS (SELECT sides.*, mids.model_id, {PF('mids.model_id', 'sides.sample_id', 'sides.label')} AS p
+        FROM sides, mids WHERE split = 'test'),
+{AUC_SQL("trm", "model_id, protocol, fold")},
+{AUC_SQL("tem", "model_id, protocol")},
+names AS (SELECT * FROM (VALUES (0, 'logistic_regression'), (1, 'decision_tree'), (2, 'random_forest'),
+                                (3, 'torch_mlp'), (4, 'xgboost')) t(model_id, model_name)),
+ntr AS (SELECT protocol, count(*) AS nt FROM sides WHERE split = 'train' GROUP BY protocol),
+cvacc AS (SELECT model_id, protocol, fold, {ACC('p >= 0.5')} AS accuracy, count(*) AS n_val FROM trm GROUP BY ALL),
+cv AS (SELECT model_name, protocol, fold, auc, accuracy, nt - n_val AS n_train, n_val, 0.0::DOUBLE AS fit_seconds
+       FROM auc_trm JOIN cvacc USING (model_id, protocol, fold) JOIN names USING (model_id) JOIN ntr USING (protocol)),
+hoacc AS (SELECT model_id, protocol, {ACC('p >= 0.5')} AS accuracy, count(*) AS n_test FROM tem GROUP BY ALL),
+ho AS (SELECT model_name, protocol, auc, accuracy, nt AS n_train, n_test, 0.0::DOUBLE AS fit_seconds
+       FROM auc_tem JOIN hoacc USING (model_id, protocol) JOIN names USING (model_id) JOIN ntr USING (protocol))
+"""
+
+ORACLES["cv_summary"] = _s("samples") + RECORD_CTES + """
+SELECT model_name, protocol, round_even(avg(auc), 4) AS auc_mean, round_even(stddev_samp(auc), 4) AS auc_std,
+       round_even(avg(accuracy), 4) AS acc_mean, round_even(stddev_samp(accuracy), 4) AS acc_std,
+       round_even(avg(fit_seconds), 4) AS fit_seconds_mean
+FROM cv GROUP BY model_name, protocol"""
+ORACLES["holdout_summary"] = _s("samples") + RECORD_CTES + """
+SELECT model_name, protocol, round_even(auc, 4) AS auc, round_even(accuracy, 4) AS accuracy, n_train, n_test,
+       round_even(fit_seconds, 4) AS fit_seconds FROM ho"""
+ORACLES["drift_gap_table"] = _s("samples") + RECORD_CTES + """,
+cs AS (SELECT model_name, avg(auc) FILTER (WHERE protocol = 'random') AS rm, stddev_samp(auc) FILTER (WHERE protocol = 'random') AS rs,
+              avg(auc) FILTER (WHERE protocol = 'temporal') AS tm, stddev_samp(auc) FILTER (WHERE protocol = 'temporal') AS ts
+       FROM cv GROUP BY model_name),
+hs AS (SELECT model_name, any_value(auc) FILTER (WHERE protocol = 'random') AS ra, any_value(auc) FILTER (WHERE protocol = 'temporal') AS ta,
+              any_value(accuracy) FILTER (WHERE protocol = 'random') AS rc, any_value(accuracy) FILTER (WHERE protocol = 'temporal') AS tc
+       FROM ho GROUP BY model_name),
+ordt AS (SELECT * FROM (VALUES ('logistic_regression', 0), ('decision_tree', 1), ('random_forest', 2), ('torch_mlp', 3),
+                               ('xgboost', 4), ('lightgbm', 5), ('catboost', 6)) t(model_name, ord))
+SELECT model_name, round_even(rm, 4) AS random_cv_auc, round_even(rs, 4) AS random_cv_std,
+       round_even(tm, 4) AS temporal_cv_auc, round_even(ts, 4) AS temporal_cv_std, round_even(rm - tm, 4) AS drift_gap_cv_auc,
+       round_even(ra, 4) AS random_holdout_auc, round_even(ta, 4) AS temporal_holdout_auc,
+       round_even(ra - ta, 4) AS drift_gap_holdout_auc, round_even(rc, 4) AS random_holdout_acc,
+       round_even(tc, 4) AS temporal_holdout_acc, round_even(rc - tc, 4) AS drift_gap_holdout_acc, ord
+FROM cs LEFT JOIN hs USING (model_name) JOIN ordt USING (model_name)"""

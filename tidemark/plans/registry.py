@@ -253,3 +253,222 @@ def leakage_profile(spark, d):
     t, fp = _fit(spark, d)
     x = M.leakage_profile(fp.transform(t, keep=["split"]), fp.columns)
     return x.select("split", "feature", r6("mean").alias("mean"), r6("std").alias("std"), "n_bad")
+
+
+# --- drift, metrics, decisions ---------------------------------------------------
+from tidemark.operators import decision as DC  # noqa: E402
+from tidemark.operators import drift as D  # noqa: E402
+from tidemark.operators import metrics as MT  # noqa: E402
+from tidemark.config import HEADLINE_ORDER  # noqa: E402
+
+K = 5
+PCOLS = [f"p_{i}" for i in range(K)]
+
+
+def _p_of(model: "F.Column") -> "F.Column":
+    return FX.pseudo_probability(FX.model_uniform(model, F.col("sample_id")), F.col("label"))
+
+
+def window_meta(spark, d):
+    """Per window — size, classes, active flag, accuracy of its own
+    model on its calibration tail (in_acc) and on the temporal test side
+    (recent_acc), newest date. K rows."""
+    t = _temporal(spark, d)
+    w = S.assign_windows(t.filter(F.col("split") == "train").drop("cutoff", "split"), R, k=K)
+    tail = S.calibration_tail(w, R, 0.15)
+    sizes = w.groupBy("window_id").agg(F.count(F.lit(1)).alias("n_rows"),
+                                       F.count_if(F.col("label") == 1).alias("n_pos"),
+                                       F.count_if(F.col("label") != 1).alias("n_neg"),
+                                       F.max("sample_date").alias("max_date"))
+    cal = tail.filter(F.col("part") == "calibration").groupBy("window_id").agg(
+        MT.accuracy((_p_of(F.col("window_id")) >= 0.5).cast("int"), F.col("label")).alias("in_acc"))
+    test = t.filter(F.col("split") == "test").withColumn("window_id", F.explode(F.sequence(F.lit(0), F.lit(K - 1))))
+    recent = test.groupBy("window_id").agg(
+        MT.accuracy((_p_of(F.col("window_id")) >= 0.5).cast("int"), F.col("label")).alias("recent_acc"))
+    spine = spark.range(K).select(F.col("id").cast("int").alias("window_id"))
+    m = spine.join(sizes, "window_id", "left").join(cal, "window_id", "left").join(recent, "window_id", "left")
+    active = (F.coalesce("n_pos", F.lit(0)) > 0) & (F.coalesce("n_neg", F.lit(0)) > 0)
+    return m.select("window_id", F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
+                    F.coalesce("n_pos", F.lit(0)).alias("n_pos"), F.coalesce("n_neg", F.lit(0)).alias("n_neg"),
+                    active.alias("active"),
+                    F.when(active, F.coalesce("in_acc", F.lit(0.0))).otherwise(F.lit(0.0)).alias("in_acc"),
+                    F.coalesce("recent_acc", F.lit(0.0)).alias("recent_acc"), "max_date")
+
+
+def _weights(spark, d):
+    rows = D.vote_weights(window_meta(spark, d), k=K).orderBy("window_id").collect()  # K rows
+    return [r["weight"] for r in rows], [r["active"] for r in rows]
+
+
+def _decided(spark, d):
+    w, a = _weights(spark, d)
+    return DC.decide(FX.scores_wide(spark, d, K), PCOLS, w, a)
+
+
+def _drift_frames(spark, d):
+    e = FX.drift_events(spark, d)
+    return e.filter(F.col("side") == "train"), e.filter(F.col("side") == "deploy")
+
+
+@query
+def psi_per_feature(spark, d):
+    tr, de = _drift_frames(spark, d)
+    x = D.psi(tr, de, FX.DRIFT_FEATURES)
+    return x.select("feature", r6("psi").alias("psi"), "n_train", "n_deploy")
+
+
+@query
+def psi_average(spark, d):
+    tr, de = _drift_frames(spark, d)
+    return D.average_psi(D.psi(tr, de, FX.DRIFT_FEATURES)).withColumn("avg_psi", r6("avg_psi"))
+
+
+@query
+def psi_band(spark, d):
+    tr, de = _drift_frames(spark, d)
+    return D.psi(tr, de, FX.DRIFT_FEATURES).select("feature", D.psi_band(F.col("psi")).alias("band"))
+
+
+@query
+def window_metrics(spark, d):
+    m = window_meta(spark, d)
+    return m.select("window_id", "n_rows", "n_pos", "n_neg", "active", r6("in_acc").alias("in_acc"),
+                    r6("recent_acc").alias("recent_acc"), "max_date")
+
+
+@query
+def accuracy_decay(spark, d):
+    m = window_meta(spark, d)
+    return m.select("window_id", r6(D.accuracy_decay(F.col("in_acc"), F.col("recent_acc"))).alias("decay"))
+
+
+@query
+def vote_weights(spark, d):
+    return D.vote_weights(window_meta(spark, d), k=K).select("window_id", r6("weight").alias("weight"))
+
+
+@query
+def drift_status(spark, d):
+    x = D.drift_status(window_meta(spark, d))
+    return x.select(r6("newest_acc").alias("newest_acc"), r6("oldest_acc").alias("oldest_acc"),
+                    r6("trend").alias("trend"), "trend_class", "per_window", "n_active")
+
+
+@query
+def retrain_alert(spark, d):
+    x = D.retrain_alert(window_meta(spark, d))
+    return x.select(*[r6(c).alias(c) for c in ("newest_acc", "mean_older", "prev_acc")], "retrain", "sharp_drop")
+
+
+@query
+def disagreement(spark, d):
+    s = FX.scores_wide(spark, d, K)
+    return s.select("sample_id", r6(D.disagreement(F.array(*PCOLS))).alias("disagreement"))
+
+
+@query
+def weighted_vote(spark, d):
+    return _decided(spark, d).select("sample_id", r6("probability").alias("probability"))
+
+
+@query
+def joint_confidence(spark, d):
+    return _decided(spark, d).select("sample_id", r6("confidence").alias("confidence"))
+
+
+@query
+def verdicts(spark, d):
+    return _decided(spark, d).select("sample_id", "verdict", "is_positive_decision",
+                                     F.bround("probability", 4).alias("probability"),
+                                     F.bround("confidence", 4).alias("confidence"))
+
+
+@query
+def verdict_counts(spark, d):
+    return DC.verdict_counts(_decided(spark, d))
+
+
+@query
+def threshold_sweep(spark, d):
+    x = DC.threshold_sweep(_decided(spark, d), label="label")
+    return x.withColumn("blocking_accuracy", r6("blocking_accuracy"))
+
+
+@query
+def confusion_matrix(spark, d):
+    x = _decided(spark, d).withColumn("decision", F.col("is_positive_decision").cast("int"))
+    return MT.confusion_matrix(x, "label", "decision")
+
+
+def _scores_long(spark, d):
+    return FX.scores_long(spark, d, K)
+
+
+@query
+def accuracy_by_model(spark, d):
+    s = _scores_long(spark, d)
+    return s.groupBy("model_id").agg(r6(MT.accuracy((F.col("p") >= 0.5).cast("int"), F.col("label"))).alias("accuracy"))
+
+
+@query
+def roc_auc_by_model(spark, d):
+    x = MT.auc_by_group(_scores_long(spark, d), ["model_id"], "p", "label")
+    return x.select("model_id", r6("auc").alias("auc"), "n_pos", "n_neg")
+
+
+def _metric_records(spark, d):
+    """cv and hold-out metric records for 5 score columns under both
+    protocols: folds on the train side (T6), AUC/accuracy per fold (A13/A14)."""
+    s = FX.samples(spark, d)
+    names = F.element_at(F.array(*[F.lit(n) for n in HEADLINE_ORDER[:K]]), F.col("model_id") + 1)
+    sides = (S.random_split(s, R).withColumn("protocol", F.lit("random"))
+             .unionByName(S.temporal_split(s, R).drop("cutoff").withColumn("protocol", F.lit("temporal"))))
+    tr = S.assign_folds(sides.filter(F.col("split") == "train"), R, 10, by=["protocol"])
+    tr = tr.withColumn("model_id", F.explode(F.sequence(F.lit(0), F.lit(K - 1)))).withColumn("p", _p_of(F.col("model_id")))
+    cv = MT.auc_by_group(tr, ["model_id", "protocol", "fold"], "p", "label")
+    acc = tr.groupBy("model_id", "protocol", "fold").agg(
+        MT.accuracy((F.col("p") >= 0.5).cast("int"), F.col("label")).alias("accuracy"),
+        F.count(F.lit(1)).alias("n_val"))
+    ntr = tr.filter(F.col("model_id") == 0).groupBy("protocol").agg(F.count(F.lit(1)).alias("_nt"))
+    cv = cv.join(acc, ["model_id", "protocol", "fold"]).join(ntr, "protocol") \
+        .select(names.alias("model_name"), "protocol", "fold", "auc", "accuracy",
+                (F.col("_nt") - F.col("n_val")).alias("n_train"), "n_val", F.lit(0.0).alias("fit_seconds"))
+    te = sides.filter(F.col("split") == "test").withColumn("model_id", F.explode(F.sequence(F.lit(0), F.lit(K - 1)))) \
+        .withColumn("p", _p_of(F.col("model_id")))
+    ho = MT.auc_by_group(te, ["model_id", "protocol"], "p", "label")
+    hacc = te.groupBy("model_id", "protocol").agg(
+        MT.accuracy((F.col("p") >= 0.5).cast("int"), F.col("label")).alias("accuracy"),
+        F.count(F.lit(1)).alias("n_test"))
+    nts = sides.filter(F.col("split") == "train").groupBy("protocol").agg(F.count(F.lit(1)).alias("n_train"))
+    ho = ho.join(hacc, ["model_id", "protocol"]).join(nts, "protocol") \
+        .select(names.alias("model_name"), "protocol", "auc", "accuracy", "n_train", "n_test",
+                F.lit(0.0).alias("fit_seconds"))
+    return cv, ho
+
+
+@query
+def cv_summary(spark, d):
+    cv, _ = _metric_records(spark, d)
+    return MT.cv_summary(cv)
+
+
+@query
+def holdout_summary(spark, d):
+    _, ho = _metric_records(spark, d)
+    return MT.holdout_summary(ho)
+
+
+@query
+def drift_gap_table(spark, d):
+    cv, ho = _metric_records(spark, d)
+    return MT.drift_gap_table(cv, ho)
+
+
+def flagship(spark, d):
+    """Verdicts for every order plus the ensemble's drift status columns."""
+    st = D.drift_status(window_meta(spark, d))
+    v = _decided(spark, d).select("sample_id", "label", "verdict", "is_positive_decision",
+                                  F.bround("probability", 4).alias("probability"),
+                                  F.bround("confidence", 4).alias("confidence"))
+    return v.withColumns({"trend_class": st.select("trend_class").scalar(),
+                          "n_active": st.select("n_active").scalar()})
