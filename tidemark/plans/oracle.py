@@ -609,3 +609,97 @@ SELECT model_name, round_even(rm, 4) AS random_cv_auc, round_even(rs, 4) AS rand
        round_even(ra - ta, 4) AS drift_gap_holdout_auc, round_even(rc, 4) AS random_holdout_acc,
        round_even(tc, 4) AS temporal_holdout_acc, round_even(rc - tc, 4) AS drift_gap_holdout_acc, ord
 FROM cs LEFT JOIN hs USING (model_name) JOIN ordt USING (model_name)"""
+
+# --- explanations ---------------------------------------------------------------
+from tidemark.operators import explain as XT  # noqa: E402  (fixed wording only)
+
+
+def q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def sql_fill(template: str, **exprs: str) -> str:
+    out, rest = [], template
+    while "{" in rest:
+        i = rest.index("{")
+        j = rest.index("}", i)
+        out += [q(rest[:i]), exprs[rest[i + 1:j]]]
+        rest = rest[j + 1:]
+    out.append(q(rest))
+    return "(" + " || ".join(out) + ")"
+
+
+def _al(a: str, b: str) -> str:
+    return f"CASE WHEN verdict = 'ALLOWED' THEN {a} ELSE {b} END"
+
+
+_E2 = "printf('%.2f', coalesce(entropy, 0.0))"
+_NS = "CAST(coalesce(sections, 0.0) AS VARCHAR)"
+_ND = "CAST(ndll AS VARCHAR)"
+_P2, _C2 = "printf('%.2f', probability)", "printf('%.2f', confidence)"
+
+EXPLAIN_CTES = DEC_CTES + FEAT_CTE + f""",
+ex AS (
+  SELECT d.sample_id, d.verdict, d.probability, d.confidence, s.identify, s.entropy, s.n_lines AS sections,
+         e.identify_is_packed AS packed, e.imports_dangerous_api AS danger, e.dll_count_anomaly AS dllan,
+         e.n_imported_dlls AS ndll, e.time_alignment_anomaly AS tan
+  FROM decided d JOIN samples s USING (sample_id) JOIN eng e USING (sample_id)),
+ev AS (
+  SELECT *, list_filter([
+    CASE WHEN packed = 1 THEN {_al(sql_fill(XT.TXT_PACKED_ALLOWED, identify="coalesce(identify, 'None')"), q(XT.TXT_PACKED_BLOCKED))}
+         WHEN coalesce(entropy, 0.0) >= 7.5 THEN {_al(sql_fill(XT.TXT_ENTROPY_ALLOWED, entropy=_E2), sql_fill(XT.TXT_ENTROPY_BLOCKED, entropy=_E2))} END,
+    CASE WHEN danger = 1 THEN {_al(q(XT.TXT_API_ALLOWED), q(XT.TXT_API_BLOCKED))} END,
+    CASE WHEN dllan = 1 THEN CASE WHEN ndll = 0 THEN {_al(q(XT.TXT_ZERO_DLL_ALLOWED), q(XT.TXT_ZERO_DLL_BLOCKED))}
+                                  ELSE {_al(sql_fill(XT.TXT_MANY_DLL_ALLOWED, n_dlls=_ND), sql_fill(XT.TXT_MANY_DLL_BLOCKED, n_dlls=_ND))} END END,
+    CASE WHEN tan = 1 THEN {_al(q(XT.TXT_TIME_ALLOWED), q(XT.TXT_TIME_BLOCKED))} END,
+    CASE WHEN coalesce(sections, 0.0) >= 10 THEN {_al(sql_fill(XT.TXT_SECTIONS_ALLOWED, sections=_NS), sql_fill(XT.TXT_SECTIONS_BLOCKED, sections=_NS))} END
+  ], lambda x: x IS NOT NULL) AS fired FROM ex),
+ev2 AS (
+  SELECT *, CASE WHEN len(fired) > 0 THEN fired
+    WHEN verdict = 'ALLOWED' THEN [
+      'Positive evidence: ' || array_to_string(list_filter([
+         CASE WHEN coalesce(entropy, 0.0) > 0 AND coalesce(entropy, 0.0) < 7.0 THEN {sql_fill(XT.TXT_POS_ENTROPY, entropy=_E2)} END,
+         CASE WHEN ndll BETWEEN 1 AND 50 THEN {sql_fill(XT.TXT_POS_DLLS, n_dlls=_ND, plural="CASE WHEN ndll <> 1 THEN 's' ELSE '' END")} END,
+         {q(XT.TXT_POS_CLEAN)}], lambda x: x IS NOT NULL), '; ') || '.',
+      {sql_fill(XT.TXT_DRIVEN, p=_P2, c=_C2)}]
+    ELSE [{sql_fill(XT.TXT_NO_DOMINANT, p=_P2, c=_C2)}] END AS why
+  FROM ev),
+tech AS (
+  SELECT sample_id, CASE WHEN verdict = 'ALLOWED' THEN [] ELSE list_distinct_ordered END AS techs FROM (
+    SELECT sample_id, verdict, list_concat(
+      CASE WHEN danger = 1 THEN ['T1055:Process Injection', 'T1106:Native API'] ELSE [] END,
+      CASE WHEN packed = 1 THEN ['T1027.002:Software Packing', 'T1027:Obfuscated Files or Information'] ELSE [] END,
+      CASE WHEN coalesce(entropy, 0.0) >= 7.5 THEN ['T1027:Obfuscated Files or Information', 'T1140:Deobfuscate/Decode Files or Information'] ELSE [] END,
+      CASE WHEN tan = 1 THEN ['T1070.006:Timestomp'] ELSE [] END,
+      CASE WHEN dllan = 1 THEN ['T1129:Shared Modules (anomalous import surface)'] ELSE [] END) AS raw_t
+    FROM ex) x,
+  LATERAL (SELECT list(t ORDER BY i) AS list_distinct_ordered FROM (
+      SELECT t, min(i) AS i FROM (SELECT unnest(raw_t) AS t, unnest(range(1, len(raw_t) + 1)) AS i) GROUP BY t)))
+"""
+
+ORACLES["evidence_bullets"] = _s("scores") + EXPLAIN_CTES + """
+SELECT sample_id, verdict, CAST(len(why) AS INTEGER) AS n_why, array_to_string(why, ' || ') AS why FROM ev2"""
+
+ORACLES["matched_techniques"] = _s("scores") + EXPLAIN_CTES + """
+SELECT e.sample_id, e.verdict, CAST(len(coalesce(t.techs, [])) AS INTEGER) AS n_techniques,
+       array_to_string(coalesce(t.techs, []), '|') AS techniques
+FROM ex e LEFT JOIN tech t USING (sample_id)"""
+
+ORACLES["recommended_actions"] = _s("scores") + EXPLAIN_CTES + f"""
+SELECT sample_id, verdict,
+       CASE verdict WHEN 'BLOCKED_MALWARE' THEN 5 WHEN 'BLOCKED_UNCERTAIN' THEN 4 ELSE 2 END AS n_actions,
+       CASE verdict WHEN 'BLOCKED_MALWARE' THEN {q(XT.ACTIONS['BLOCKED_MALWARE'][0])}
+                    WHEN 'BLOCKED_UNCERTAIN' THEN {q(XT.ACTIONS['BLOCKED_UNCERTAIN'][0])}
+                    ELSE {q(XT.ACTIONS['ALLOWED'][0])} END AS first_action
+FROM ex"""
+
+_PC = lambda x: f"printf('%.0f%%', ({x}) * 100)"
+ORACLES["explanation_report"] = _s("scores") + EXPLAIN_CTES + f"""
+SELECT sample_id, verdict,
+  CASE verdict
+    WHEN 'BLOCKED_MALWARE' THEN {sql_fill(XT.SUMMARY_BLOCKED, system="'The ensemble'", p0=_PC('probability'), c0=_PC('confidence'))}
+    WHEN 'BLOCKED_UNCERTAIN' THEN {sql_fill(XT.SUMMARY_UNCERTAIN, system="'The ensemble'", p0=_PC('probability'), c0=_PC('confidence'), t0=_PC('0.65'))}
+    ELSE {sql_fill(XT.SUMMARY_ALLOWED, system="'The ensemble'", g0=_PC('1 - probability'), p2="printf('%.2f%%', probability * 100)", c0=_PC('confidence'))}
+  END AS summary,
+  'template' AS backend
+FROM ex"""

@@ -472,3 +472,41 @@ def flagship(spark, d):
                                   F.bround("confidence", 4).alias("confidence"))
     return v.withColumns({"trend_class": st.select("trend_class").scalar(),
                           "n_active": st.select("n_active").scalar()})
+
+
+# --- explanations ---------------------------------------------------------------
+from tidemark.operators import explain as X  # noqa: E402
+
+
+def _explained(spark, d):
+    e = FE.engineer(_decided(spark, d), SPEC)  # X7: enrich before explaining
+    return X.explain(e, FIXTURE.rules)
+
+
+@query
+def evidence_bullets(spark, d):
+    e = _explained(spark, d)
+    return e.select("sample_id", "verdict", F.size("report.why").alias("n_why"),
+                    F.array_join("report.why", " || ").alias("why"))
+
+
+@query
+def matched_techniques(spark, d):
+    e = _explained(spark, d)
+    t = F.transform("report.attack_techniques", lambda s: F.concat(s["id"], F.lit(":"), s["name"]))
+    return e.select("sample_id", "verdict", F.size("report.attack_techniques").alias("n_techniques"),
+                    F.array_join(t, "|").alias("techniques"))
+
+
+@query
+def recommended_actions(spark, d):
+    e = _explained(spark, d)
+    return e.select("sample_id", "verdict", F.size("report.recommended_actions").alias("n_actions"),
+                    F.element_at("report.recommended_actions", 1).alias("first_action"))
+
+
+@query
+def explanation_report(spark, d):
+    e = _explained(spark, d)
+    return e.select("sample_id", "verdict", F.col("report.summary").alias("summary"),
+                    F.col("report.backend").alias("backend"))
