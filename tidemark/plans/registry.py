@@ -29,7 +29,7 @@ def r6(c):
 
 
 def _temporal(spark, d):
-    return S.temporal_split(FX.samples(spark, d), R)
+    return FX.reuse(spark, ("temporal", d), lambda: S.temporal_split(FX.samples(spark, d), R))
 
 
 def _windowed(spark, d):
@@ -270,6 +270,10 @@ def _p_of(model: "F.Column") -> "F.Column":
 
 
 def window_meta(spark, d):
+    return FX.reuse(spark, ("window_meta", d), lambda: _window_meta(spark, d))
+
+
+def _window_meta(spark, d):
     """Per window — size, classes, active flag, accuracy of its own
     model on its calibration tail (in_acc) and on the temporal test side
     (recent_acc), newest date. K rows."""

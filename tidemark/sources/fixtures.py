@@ -51,8 +51,26 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.array_sort(F.collect_set("p_brand")).alias("brands")))
 
 
+_CACHE: dict = {}
+
+
+def reuse(spark: SparkSession, key: tuple, build) -> DataFrame:
+    """Persist an intermediate that many branches of a plan read (splits
+    and scalar subqueries re-read the sample table several times).
+    MEMORY_AND_DISK: a lost executor's blocks are recomputed from lineage."""
+    from pyspark import StorageLevel
+    k = (id(spark), *key)
+    if k not in _CACHE:
+        _CACHE[k] = build()
+    return _CACHE[k].persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def samples(spark: SparkSession, sf_dir: str, keep_lists: bool = False) -> DataFrame:
-    """The labelled, partly dated sample table (see module doc)."""
+    """The labelled, partly dated sample table (see module doc), persisted."""
+    return reuse(spark, ("samples", sf_dir, keep_lists), lambda: _samples(spark, sf_dir, keep_lists))
+
+
+def _samples(spark: SparkSession, sf_dir: str, keep_lists: bool = False) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     lines = order_lines(spark, sf_dir)
     j = o.join(lines, o.o_orderkey == lines.l_orderkey, "left")
