@@ -29,18 +29,30 @@ def hash_uniform(h: Column) -> Column:
     return F.conv(F.substring(h, 1, 8), 16, 10).cast("double") / F.lit(4294967295.0)
 
 
+MAX_BUCKET_ROWS = 2_000_000
+
+
 def seeded_rank(df: DataFrame, id_col: str, seed: int, by: Sequence[str] = (),
-                out: str = "_rank", digits: int = 4, keep_hash: str | None = None) -> DataFrame:
+                out: str = "_rank", digits: int | None = None, keep_hash: str | None = None) -> DataFrame:
     """Add ``out`` = 0-based rank of each row within ``by`` in seeded order
     (ties broken by id). Also adds ``<out>_n`` = size of the group.
 
     Shuffles: one partial aggregation to ``|by| x 16^digits`` rows, and one
     exchange on (by, bucket) that the offsets join and the in-bucket window
-    share.
+    share. With ``digits=None`` the histogram starts at 3 hex digits (4,096
+    buckets per group) and is refined to 5 digits only when its largest
+    bucket exceeds ``MAX_BUCKET_ROWS`` — one small action, no full count.
     """
     by = list(by)
     h, b = "_h_" + out, "_b_" + out
-    x = df.withColumn(h, seeded_hash(id_col, seed)).withColumn(b, F.substring(h, 1, digits))
+    x = df.withColumn(h, seeded_hash(id_col, seed))
+    if digits is None:
+        digits = 3
+        c3 = x.groupBy(*by, F.substring(h, 1, 3).alias(b)).agg(F.count(F.lit(1)).alias("_c"))
+        top = c3.agg(F.max("_c")).first()[0]
+        if top is not None and top > MAX_BUCKET_ROWS:
+            digits = 5
+    x = x.withColumn(b, F.substring(h, 1, digits))
     counts = x.groupBy(*by, b).agg(F.count(F.lit(1)).alias("_c"))
     w_off = Window.partitionBy(*by).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     w_all = Window.partitionBy(*by)

@@ -703,3 +703,15 @@ SELECT sample_id, verdict,
   END AS summary,
   'template' AS backend
 FROM ex"""
+
+# --- scans ---------------------------------------------------------------------------
+ORACLES["dated_csv_scan"] = """
+SELECT o_orderkey AS sample_id, o_totalprice AS size, CAST(o_orderdate AS DATE) AS sample_date, 1 AS label
+FROM orders WHERE o_orderstatus = 'F'"""
+ORACLES["combined_load"] = """
+SELECT o_orderkey AS sample_id, o_totalprice AS "Size", TRY_CAST(o_orderpriority AS DOUBLE) AS "Identify",
+       CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS label,
+       CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderdate AS DATE) END AS sample_date
+FROM orders"""
+ORACLES["per_file_counts"] = """
+SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n FROM orders WHERE o_orderstatus = 'F' GROUP BY 1"""

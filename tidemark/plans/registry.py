@@ -33,8 +33,14 @@ def _temporal(spark, d):
 
 
 def _windowed(spark, d):
-    tr = _temporal(spark, d).filter(F.col("split") == "train").drop("cutoff", "split")
-    return S.assign_windows(tr, R, k=5)
+    def build():
+        tr = _temporal(spark, d).filter(F.col("split") == "train").drop("cutoff", "split")
+        return S.assign_windows(tr, R, k=5)
+    return FX.reuse(spark, ("windowed", d), build)
+
+
+def _tail(spark, d):
+    return FX.reuse(spark, ("tail", d), lambda: S.calibration_tail(_windowed(spark, d), R, 0.15))
 
 
 # --- splits ---------------------------------------------------------------
@@ -72,7 +78,7 @@ def window_assignment(spark, d):
 
 @query
 def calibration_tail(spark, d):
-    return S.calibration_tail(_windowed(spark, d), R, 0.15).select("sample_id", "window_id", "part")
+    return _tail(spark, d).select("sample_id", "window_id", "part")
 
 
 @query
@@ -278,8 +284,7 @@ def _window_meta(spark, d):
     model on its calibration tail (in_acc) and on the temporal test side
     (recent_acc), newest date. K rows."""
     t = _temporal(spark, d)
-    w = S.assign_windows(t.filter(F.col("split") == "train").drop("cutoff", "split"), R, k=K)
-    tail = S.calibration_tail(w, R, 0.15)
+    w, tail = _windowed(spark, d), _tail(spark, d)
     sizes = w.groupBy("window_id").agg(F.count(F.lit(1)).alias("n_rows"),
                                        F.count_if(F.col("label") == 1).alias("n_pos"),
                                        F.count_if(F.col("label") != 1).alias("n_neg"),
@@ -425,10 +430,12 @@ def _metric_records(spark, d):
     protocols: folds on the train side (T6), AUC/accuracy per fold (A13/A14)."""
     s = FX.samples(spark, d)
     names = F.element_at(F.array(*[F.lit(n) for n in HEADLINE_ORDER[:K]]), F.col("model_id") + 1)
-    sides = (S.random_split(s, R).withColumn("protocol", F.lit("random"))
-             .unionByName(S.temporal_split(s, R).drop("cutoff").withColumn("protocol", F.lit("temporal"))))
-    tr = S.assign_folds(sides.filter(F.col("split") == "train"), R, 10, by=["protocol"])
-    tr = tr.withColumn("model_id", F.explode(F.sequence(F.lit(0), F.lit(K - 1)))).withColumn("p", _p_of(F.col("model_id")))
+    sides = FX.reuse(spark, ("sides", d), lambda: (
+        S.random_split(s, R).withColumn("protocol", F.lit("random"))
+        .unionByName(_temporal(spark, d).drop("cutoff").withColumn("protocol", F.lit("temporal")))))
+    folds = FX.reuse(spark, ("folds", d), lambda: S.assign_folds(
+        sides.filter(F.col("split") == "train"), R, 10, by=["protocol"]))
+    tr = folds.withColumn("model_id", F.explode(F.sequence(F.lit(0), F.lit(K - 1)))).withColumn("p", _p_of(F.col("model_id")))
     cv = MT.auc_by_group(tr, ["model_id", "protocol", "fold"], "p", "label")
     acc = tr.groupBy("model_id", "protocol", "fold").agg(
         MT.accuracy((F.col("p") >= 0.5).cast("int"), F.col("label")).alias("accuracy"),
@@ -514,3 +521,53 @@ def explanation_report(spark, d):
     e = _explained(spark, d)
     return e.select("sample_id", "verdict", F.col("report.summary").alias("summary"),
                     F.col("report.backend").alias("backend"))
+
+
+# --- scans and sinks ----------------------------------------------------------------
+from tidemark.session import scratch_path  # noqa: E402
+from tidemark.sources import files as SRC  # noqa: E402
+
+DAY_DIR = r"day=(\d{4}-\d{2}-\d{2})/"
+
+
+def _csv_layout(spark, d):
+    """Daily CSV folders of 'F' orders plus one undated folder of the rest,
+    written once per scale factor into the shared checkpoint folder."""
+    root = scratch_path(spark, "csv-" + d.strip("/").replace("/", "_"))
+    key = ("csv_layout", d)
+    if key not in _WRITTEN:
+        o = FX.table(spark, d, "orders").select(
+            F.col("o_orderkey").alias("MD5"), F.col("o_totalprice").cast("string").alias("Size"),
+            F.col("o_orderpriority").alias("Identify"), F.col("o_orderstatus"),
+            F.to_date("o_orderdate").alias("day"))
+        SRC.write_daily_csv(o.filter(F.col("o_orderstatus") == "F").drop("o_orderstatus"), root + "/by-day", "day")
+        SRC.write_csv(o.filter(F.col("o_orderstatus") != "F").drop("o_orderstatus", "day"), root + "/undated")
+        _WRITTEN.add(key)
+    return root
+
+
+_WRITTEN: set = set()
+
+
+@query
+def dated_csv_scan(spark, d):
+    root = _csv_layout(spark, d)
+    x = SRC.read_dated_csv(spark, root + "/by-day", date_regex=DAY_DIR)
+    return x.select(F.col("MD5").cast("long").alias("sample_id"), F.col("Size").cast("double").alias("size"),
+                    F.col("__sample_date").alias("sample_date"), F.col("Label").alias("label"))
+
+
+@query
+def combined_load(spark, d):
+    root = _csv_layout(spark, d)
+    pos = SRC.read_dated_csv(spark, root + "/by-day", date_regex=DAY_DIR)
+    neg = SRC.read_labelled_csv(spark, root + "/undated", label=0)
+    x = SRC.combine_labelled(pos, neg, numeric_cols=["Size", "Identify"], keep=("MD5",))
+    return x.select(F.col("MD5").cast("long").alias("sample_id"), "Size", "Identify",
+                    F.col("Label").alias("label"), F.col("__sample_date").alias("sample_date"))
+
+
+@query
+def per_file_counts(spark, d):
+    root = _csv_layout(spark, d)
+    return SRC.per_file_counts(spark, root + "/by-day", DAY_DIR).select("day", "n")
