@@ -92,17 +92,52 @@ def _members(long: DataFrame, keys: list[str], v: str, br: DataFrame) -> DataFra
         .select(*keys, "_v", F.col("_m.tid").alias("tid"))
 
 
+def _small_groups(vals: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
+    """Groups known to hold at most ``max_exact`` values: one aggregation
+    sorts each (bounded) group and interpolates like numpy."""
+    arr = vals.groupBy(*keys).agg(F.array_sort(F.collect_list("_x")).alias("_a"))
+    n = F.size("_a").cast("long")
+    rows = []
+    for pi, p in enumerate(probs):
+        h = (n - 1).cast("double") * F.lit(float(p))
+        lo = F.floor(h).cast("int")
+        hi = F.least(lo + 1, (n - 1).cast("int"))
+        a, b = F.element_at("_a", lo + 1), F.element_at("_a", hi + 1)
+        frac = h - lo.cast("double")
+        v = F.when((frac == 0) | (a == b), a).otherwise(a + (b - a) * frac)
+        rows.append(F.struct(F.lit(pi).alias("prob_idx"), F.lit(float(p)).alias("prob"), n.alias("n"),
+                             v.alias("value")))
+    return arr.select(*keys, F.inline(F.array(*rows)))
+
+
 def exact_quantiles(long: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
                     max_exact: int = 2_000_000, accuracy: int = 10_000, max_rounds: int = 6) -> DataFrame:
     """(keys..., prob_idx, prob, n, value) for each group and probability.
 
     ``long`` holds one value per row (NULL / NaN rows are ignored). Groups
-    with no values give no rows.
+    with no values give no rows. One count per group decides the route:
+    groups up to ``max_exact`` values are sorted inside one aggregation
+    (bounded buffer), larger ones go through the bracket search below.
     """
     keys = list(keys)
     spark = long.sparkSession
     vals = long.select(*keys, F.col(value).cast("double").alias("_x")) \
         .filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
+    sizes = vals.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    big = sizes.filter(F.col("_n") > max_exact).select(*keys).collect()
+    if not big:
+        return _small_groups(vals, keys, probs)
+    big_keys = small_frame(spark, [tuple(r) for r in big], vals.select(*keys).schema)
+    small = _small_groups(vals.join(F.broadcast(big_keys), keys, "left_anti"), keys, probs)
+    large = _large_groups(vals.join(F.broadcast(big_keys), keys, "left_semi"), keys, probs,
+                          max_exact, accuracy, max_rounds)
+    return small.unionByName(large)
+
+
+def _large_groups(vals: DataFrame, keys: list[str], probs: Sequence[float], max_exact: int,
+                  accuracy: int, max_rounds: int) -> DataFrame:
+    """Bracket search for groups too large to sort in one task."""
+    spark = vals.sparkSession
     margin = 4.0 / accuracy
     qgrid = sorted({min(1.0, max(0.0, p + s * margin)) for p in probs for s in (-1, 1)})
     stats = vals.groupBy(*keys).agg(
@@ -126,13 +161,13 @@ def exact_quantiles(long: DataFrame, keys: Sequence[str], value: str, probs: Seq
                 targets[tid] = dict(key=key, n=n, k=k, L=L, U=U)
                 tid += 1
     if not targets:
-        schema = long.select(*keys).schema
+        schema = vals.select(*keys).schema
         for f_ in (T.StructField("prob_idx", T.IntegerType()), T.StructField("prob", T.DoubleType()),
                    T.StructField("n", T.LongType()), T.StructField("value", T.DoubleType())):
             schema = schema.add(f_)
         return spark.createDataFrame([], schema)
 
-    key_schema = long.select(*keys).schema
+    key_schema = vals.select(*keys).schema
     br_schema = T.StructType(list(key_schema.fields) + [
         T.StructField("tid", T.IntegerType()), T.StructField("L", T.DoubleType()),
         T.StructField("U", T.DoubleType())])

@@ -571,3 +571,46 @@ def combined_load(spark, d):
 def per_file_counts(spark, d):
     root = _csv_layout(spark, d)
     return SRC.per_file_counts(spark, root + "/by-day", DAY_DIR).select("day", "n")
+
+
+# --- training (rows-only checks: results depend on MLlib's fitting) -----------------
+from tidemark.plans import training as TR  # noqa: E402
+
+
+def _model_input(spark, d):
+    return FX.reuse(spark, ("model_input", d), lambda: FE.engineer(FX.samples(spark, d), SPEC))
+
+
+@query
+def cv_logistic(spark, d):
+    t = _temporal(spark, d)
+    tr = FE.engineer(t.filter(F.col("split") == "train").drop("cutoff", "split"), SPEC)
+    return TR.cross_validate(tr, "logistic_regression", TR.make_logistic_regression,
+                             FIXTURE.log_cols, FIXTURE.scale_cols, "temporal", R, k=10)
+
+
+@query
+def holdout_protocols(spark, d):
+    x = _model_input(spark, d)
+    r = TR.evaluate_holdout(S.random_split(x, R), "decision_tree", TR.make_decision_tree,
+                            FIXTURE.log_cols, FIXTURE.scale_cols, "random", R)
+    t = TR.evaluate_holdout(S.temporal_split(x, R).drop("cutoff"), "decision_tree", TR.make_decision_tree,
+                            FIXTURE.log_cols, FIXTURE.scale_cols, "temporal", R)
+    return r.unionByName(t)
+
+
+@query
+def ensemble_fit_score(spark, d):
+    x = S.temporal_split(_model_input(spark, d), R)
+    ens = TR.fit_windowed(x.filter(F.col("split") == "train").drop("cutoff", "split"), TR.make_decision_tree,
+                          FIXTURE.log_cols, FIXTURE.scale_cols, R)
+    return TR.evaluate_ensemble(ens, x.filter(F.col("split") == "test"), R)
+
+
+@query
+def grid_search(spark, d):
+    t = _temporal(spark, d)
+    tr = FE.engineer(t.filter(F.col("split") == "train").drop("cutoff", "split"), SPEC)
+    return TR.grid_search(tr, TR.make_decision_tree, {"maxDepth": [6, 12], "minInstancesPerNode": [5, 20]},
+                          FIXTURE.log_cols, FIXTURE.scale_cols, R, k=3,
+                          default={"maxDepth": 12, "minInstancesPerNode": 20})
