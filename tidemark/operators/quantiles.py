@@ -39,6 +39,10 @@ def small_frame(spark, rows, schema: T.StructType) -> DataFrame:
     statistics, no Python worker), built from literals."""
     if not rows:
         return spark.createDataFrame([], schema)
+    if len(rows) > 200:
+        import pandas as pd
+        pdf = pd.DataFrame([list(r) for r in rows], columns=[f.name for f in schema.fields])
+        return spark.createDataFrame(pdf, schema)
     structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, schema.fields)])
                for r in rows]
     return spark.range(1).select(F.inline(F.array(*structs)))

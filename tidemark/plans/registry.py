@@ -614,3 +614,60 @@ def grid_search(spark, d):
     return TR.grid_search(tr, TR.make_decision_tree, {"maxDepth": [6, 12], "minInstancesPerNode": [5, 20]},
                           FIXTURE.log_cols, FIXTURE.scale_cols, R, k=3,
                           default={"maxDepth": 12, "minInstancesPerNode": 20})
+
+
+# --- streaming (rows-only: results are the batch operators' over a stream) ---------
+from tidemark.streaming import monitor as Z  # noqa: E402
+
+
+def _tag(d):
+    return d.strip("/").replace("/", "_")
+
+
+@query
+def stream_scoring(spark, d):
+    """Orders arrive as a stream; each row is enriched (stream-static join
+    with the lineitem rollup), scored by the K window probabilities, voted,
+    decided and explained — all narrow."""
+    w, a = _weights(spark, d)
+    orders = Z.read_stream_table(spark, d, "orders")
+    s = FX._samples(spark, d, orders=orders)
+    s = s.select("*", *[FX.pseudo_probability(FX.model_uniform(i, F.col("sample_id")), F.col("label")).alias(f"p_{i}")
+                        for i in range(K)])
+    dec = DC.decide(s, PCOLS, w, a)
+    out = X.explain(FE.engineer(dec, SPEC), FIXTURE.rules).select(
+        "sample_id", "verdict", "probability", "confidence", F.col("report.summary").alias("summary"),
+        F.size("report.why").alias("n_why"))
+    return spark.read.parquet(Z.run_to_files(out, "scoring-" + _tag(d)))
+
+
+@query
+def stream_psi(spark, d):
+    """Daily drift of event features against the train edges (batch
+    exact quantiles of the train side), PSI per closed day."""
+    tr, _ = _drift_frames(spark, d)
+    edges = {r["feature"]: r["edges"] for r in D.psi_edges(
+        __import__("tidemark.operators.quantiles", fromlist=["to_long"]).to_long(tr, FX.DRIFT_FEATURES)
+    ).collect()}
+    edges = {k: v for k, v in edges.items() if len(v) >= 2}
+    ev = Z.read_stream_table(spark, d, "events").select(
+        "ts", F.col("value").cast("double").alias("value"), F.col("user_id").cast("double").alias("user_id"),
+        F.get_json_object("props", "$.k").cast("double").alias("prop_k"), F.hour("ts").cast("double").alias("hour"))
+    counts = spark.read.parquet(Z.run_to_files(Z.stream_bucket_counts(ev, "ts", edges), "psi-" + _tag(d)))
+    from tidemark.operators.quantiles import to_long
+    tl = to_long(tr, list(edges)).join(F.broadcast(spark.createDataFrame(
+        [(k, v) for k, v in edges.items()], "feature STRING, edges ARRAY<DOUBLE>")), "feature")
+    tc = tl.select("feature", D.bucketize(F.col("value"), F.col("edges")).alias("bucket")) \
+        .filter(F.col("bucket").isNotNull()).groupBy("feature", "bucket").agg(F.count(F.lit(1)).alias("tc"))
+    return Z.psi_from_counts(counts, tc)
+
+
+@query
+def stream_accuracy(spark, d):
+    """Z3: accuracy per 30-day window and model as labelled orders arrive."""
+    o = Z.read_stream_table(spark, d, "orders").select(
+        F.col("o_orderkey").alias("sample_id"), "o_orderdate",
+        F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("label"))
+    o = o.withColumn("model_id", F.explode(F.sequence(F.lit(0), F.lit(K - 1)))).withColumn("p", _p_of(F.col("model_id")))
+    acc = Z.stream_window_accuracy(o, "o_orderdate", "model_id", F.col("p") >= 0.5, "label")
+    return spark.read.parquet(Z.run_to_files(acc, "accuracy-" + _tag(d)))

@@ -25,8 +25,12 @@ DAY_FILE = r"(\d{4}-\d{2}-\d{2})\.csv$"
 NULL_TOKENS = ("", "NA", "N/A", "NAN", "NULL", "NONE", "#N/A", "-NAN", "NA/NA", "<NA>")
 
 
+_STATUS = re.compile(r"path=([^;]+); isDirectory=(\w+)(?:; length=(\d+))?")
+
+
 def _fs_list(spark: SparkSession, path: str, suffix: str = ".csv") -> list[tuple[str, int]]:
-    """(file path, size) of the files under ``path`` — listing metadata only."""
+    """(file path, size) of the files under ``path`` — filesystem metadata
+    only (0-byte files included, unlike the file sources)."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -36,10 +40,9 @@ def _fs_list(spark: SparkSession, path: str, suffix: str = ".csv") -> list[tuple
     it = fs.listFiles(p, True)
     out = []
     while it.hasNext():
-        st = it.next()
-        name = st.getPath().toString()
-        if name.endswith(suffix):
-            out.append((name, st.getLen()))
+        m = _STATUS.search(it.next().toString())
+        if m and m.group(2) == "false" and m.group(1).endswith(suffix):
+            out.append((m.group(1), int(m.group(3) or 0)))
     return sorted(out)
 
 
@@ -216,8 +219,12 @@ def write_csv(df: DataFrame, path: str) -> None:
 def per_file_counts(spark: SparkSession, path: str, date_regex: str = DAY_FILE) -> DataFrame:
     """S12 + A6: rows per dated file without parsing columns; 0-byte files
     from the listing count 0 (listing right-joined to the counts)."""
-    listed = list_files(spark, path).filter(F.regexp_extract("path", date_regex, 1) != "") \
-        .select(F.col("path").alias("_file"), "length")
+    # file metadata from the filesystem listing: the file sources skip
+    # 0-byte files, which must count as empty days here
+    from tidemark.operators.quantiles import small_frame
+    rows = [(f, n) for f, n in _fs_list(spark, path) if re.search(date_regex, f)]
+    sch = T.StructType([T.StructField("_file", T.StringType()), T.StructField("length", T.LongType())])
+    listed = small_frame(spark, rows, sch)
     counts = (spark.read.option("header", True).option("recursiveFileLookup", True)
               .option("pathGlobFilter", "*.csv").csv(path)
               .select(F.col("_metadata.file_path").alias("_file")).groupBy("_file").count())
@@ -235,5 +242,6 @@ def write_daily_csv(df: DataFrame, path: str, date_col: str) -> None:
     """Write one CSV folder per day (``<date_col>=YYYY-MM-DD/``), the layout
     ``read_dated_csv(date_regex=...)`` reads back; rows are clustered by day
     first so each day is one file."""
-    df.repartition(F.col(date_col)).write.mode("overwrite").option("header", True) \
-        .partitionBy(date_col).csv(path)
+    (df.repartition(F.col(date_col)).write.mode("overwrite").option("header", True)
+     .option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+     .partitionBy(date_col).csv(path))
