@@ -57,3 +57,25 @@ def test_json_backfill_and_parts(spark, tmp_path):
     write(str(p / "other.json"), '[{"model_name": "x"}]')
     parts = SRC.read_result_parts(spark, str(p)).collect()
     assert sorted((x["stage"], x["file_protocol"]) for x in parts) == [("cv", "random"), ("holdout", "temporal")]
+
+
+def test_results_sink_is_idempotent(spark, tmp_path):
+    out = str(tmp_path / "results")
+    a = spark.createDataFrame([("cv", "random", "rf", 0.9), ("cv", "temporal", "rf", 0.8)],
+                              "stage STRING, protocol STRING, model_name STRING, auc DOUBLE")
+    assert SRC.write_results(a, out).count() == 2
+    b = spark.createDataFrame([("cv", "random", "rf", 0.1), ("holdout", "random", "rf", 0.7)],
+                              "stage STRING, protocol STRING, model_name STRING, auc DOUBLE")
+    written = SRC.write_results(b, out)
+    assert [r["stage"] for r in written.collect()] == ["holdout"]
+    back = spark.read.parquet(out)
+    assert back.count() == 3 and back.filter("stage = 'cv' AND protocol = 'random'").first()["auc"] == 0.9
+
+
+def test_lookup_and_schema_inventory(spark):
+    from tidemark.operators.profile import schema_inventory
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id INT, v STRING")
+    ids = spark.createDataFrame([(2,), (3,)], "id INT")
+    assert [r["v"] for r in SRC.lookup(df, ids, "id").collect()] == ["b"]
+    inv = {r["column"]: r["where"] for r in schema_inventory(df, spark.createDataFrame([(1.0,)], "id DOUBLE")).collect()}
+    assert inv == {"id": "shared", "v": "left_only"}

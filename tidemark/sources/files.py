@@ -245,3 +245,10 @@ def write_daily_csv(df: DataFrame, path: str, date_col: str) -> None:
     (df.repartition(F.col(date_col)).write.mode("overwrite").option("header", True)
      .option("mapreduce.fileoutputcommitter.algorithm.version", "2")
      .partitionBy(date_col).csv(path))
+
+
+def lookup(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` whose ``key`` is in ``ids`` (a batch of requested
+    ids); a semi-join, so the optimizer broadcasts the id side only when its
+    statistics show it is small."""
+    return df.join(ids.select(key).distinct(), key, "left_semi")
