@@ -62,6 +62,18 @@ def cut_lineage(df, eager: bool = True):
     return df.checkpoint(eager=eager)
 
 
+def materialize(df, name: str):
+    """Cut the lineage of a reused intermediate: write it as Parquet into the
+    shared checkpoint folder and read it back. Later plans are a plain scan
+    with real size statistics (so planning stays cheap and broadcast
+    decisions are informed), and the data survives executor loss."""
+    import uuid
+    spark = df.sparkSession
+    path = scratch_path(spark, f"materialized/{name}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     return os.path.join(checkpoint_dir(spark), name)

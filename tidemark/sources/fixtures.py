@@ -55,14 +55,21 @@ _CACHE: dict = {}
 
 
 def reuse(spark: SparkSession, key: tuple, build) -> DataFrame:
-    """Persist an intermediate that many branches of a plan read (splits
-    and scalar subqueries re-read the sample table several times).
-    MEMORY_AND_DISK: a lost executor's blocks are recomputed from lineage."""
-    from pyspark import StorageLevel
+    """Materialise an intermediate that many branches and jobs read (splits
+    and scalar subqueries re-read the sample table several times) as a
+    written table in the shared checkpoint folder — lineage is cut, so each
+    later job plans a plain scan."""
+    from tidemark.session import materialize
     k = (id(spark), *key)
     if k not in _CACHE:
-        _CACHE[k] = build()
-    return _CACHE[k].persist(StorageLevel.MEMORY_AND_DISK)
+        name = "-".join(str(x).strip("/").replace("/", "_") for x in key)
+        _CACHE[k] = materialize(build(), name)
+    return _CACHE[k]
+
+
+def reset_reuse() -> None:
+    """Forget materialised intermediates (the bench measures queries cold)."""
+    _CACHE.clear()
 
 
 def samples(spark: SparkSession, sf_dir: str, keep_lists: bool = False) -> DataFrame:
