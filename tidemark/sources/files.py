@@ -238,11 +238,14 @@ def head(df: DataFrame, n: int = 10, order_by: Sequence[str] = ()) -> DataFrame:
     return (df.orderBy(*order_by) if order_by else df).limit(n)
 
 
-def write_daily_csv(df: DataFrame, path: str, date_col: str) -> None:
+def write_daily_csv(df: DataFrame, path: str, date_col: str, salts: int = 4) -> None:
     """Write one CSV folder per day (``<date_col>=YYYY-MM-DD/``), the layout
-    ``read_dated_csv(date_regex=...)`` reads back; rows are clustered by day
-    first so each day is one file."""
-    (df.repartition(F.col(date_col)).write.mode("overwrite").option("header", True)
+    ``read_dated_csv(date_regex=...)`` reads back. Rows are clustered by day
+    and a deterministic row-hash salt, so a day holding most of the rows is
+    written by ``salts`` tasks (several files in its folder), and a retried
+    task rebuilds exactly the same partition."""
+    salt = F.pmod(F.hash(*[F.col(c) for c in df.columns]), F.lit(salts))
+    (df.repartition(F.col(date_col), salt).write.mode("overwrite").option("header", True)
      .option("mapreduce.fileoutputcommitter.algorithm.version", "2")
      .partitionBy(date_col).csv(path))
 
