@@ -37,3 +37,18 @@ def test_windowed_ensemble(spark, tiny_combined):
     assert sum(ens.active) >= 1 and all(0.0 <= a <= 1.0 for a in ens.in_acc)
     res = TR.evaluate_ensemble(ens, df).first()
     assert res["n_test"] == 50 and 0.0 <= res["blocking_accuracy"] <= 1.0
+
+
+def test_pipeline_stages_and_save(spark, tiny_combined, tmp_path):
+    from pyspark.ml import Pipeline
+    from tidemark.plans.stages import Preprocessor, WindowedEnsemble
+    pm = Pipeline(stages=[Preprocessor(["x"], ["y"])]).fit(tiny_combined)
+    out = pm.transform(tiny_combined)
+    assert abs(out.agg(F.avg("y")).first()[0]) < 1e-9 and out.count() == 50
+    model = WindowedEnsemble(TR.make_decision_tree, ["x"], ["y"], k=3).fit(tiny_combined)
+    dec = model.transform(tiny_combined.select("sample_id", "label", "x", "y"))
+    assert dec.filter("verdict IS NULL").count() == 0
+    model.ensemble.save(str(tmp_path / "ens"))
+    import os
+    assert os.path.isdir(tmp_path / "ens" / "meta")
+    assert any(os.path.isdir(tmp_path / "ens" / f"window_{i}" / "model") for i in range(3))
