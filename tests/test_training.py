@@ -52,3 +52,16 @@ def test_pipeline_stages_and_save(spark, tiny_combined, tmp_path):
     import os
     assert os.path.isdir(tmp_path / "ens" / "meta")
     assert any(os.path.isdir(tmp_path / "ens" / f"window_{i}" / "model") for i in range(3))
+
+
+def test_balance_and_batch_score(spark, tiny_combined):
+    b = TR.balance_by_resampling(tiny_combined)
+    c = {r["label"]: r["count"] for r in b.groupBy("label").count().collect()}
+    assert c == {0: 30, 1: 30}
+    ens = TR.fit_windowed(tiny_combined, TR.make_decision_tree, ["x"], ["y"], k=3)
+    rows, metrics = TR.batch_score(ens, tiny_combined)
+    m = metrics.first()
+    assert rows.count() == 50 and m["tn"] + m["fp"] + m["fn"] + m["tp"] == 50
+    assert m["n_allowed"] + m["n_blocked_malware"] + m["n_blocked_uncertain"] == 50
+    rows2, none = TR.batch_score(ens, tiny_combined.drop("label"))
+    assert none is None and rows2.count() == 50

@@ -211,10 +211,14 @@ def prevalence_sample(df: DataFrame, roles: Roles = Roles(), n: int = 500, rate:
 
 
 def per_class_sample(df: DataFrame, roles: Roles = Roles(), counts: dict | None = None,
-                     seed: int = SEED) -> DataFrame:
+                     seed: int = SEED, label_names: dict | None = None) -> DataFrame:
     """A fixed number of rows per class (default 3 positives, 2 negatives)
-    in seeded order, with ``pick`` = 0-based position inside the class."""
+    in seeded order, with ``pick`` = 0-based position inside the class and,
+    when ``label_names`` is given, a ``label_name`` column."""
     counts = counts or {1: 3, 0: 2}
+    if label_names:
+        m = F.create_map(*[x for k, v in label_names.items() for x in (F.lit(k), F.lit(v))])
+        df = df.withColumn("label_name", m[F.col(roles.label)])
     r = seeded_rank(df, roles.id, seed, by=[roles.label], out="pick")
     cond = None
     for lab, c in counts.items():

@@ -226,8 +226,8 @@ def near_zero_variance(spark, d):
 
 # --- preprocessing ------------------------------------------------------------
 def _prep_input(spark, d):
-    s = FE.engineer(FX.samples(spark, d), SPEC)
-    return S.temporal_split(s, R)
+    return FX.reuse(spark, ("prep_input", d),
+                    lambda: S.temporal_split(FE.engineer(FX.samples(spark, d), SPEC), R))
 
 
 def _fit(spark, d):
@@ -534,7 +534,7 @@ def _csv_layout(spark, d):
     """Daily CSV folders of 'F' orders plus one undated folder of the rest,
     written once per scale factor into the shared checkpoint folder."""
     root = scratch_path(spark, "csv-" + d.strip("/").replace("/", "_"))
-    key = ("csv_layout", d)
+    key = ("csv_layout", root)
     if key not in _WRITTEN:
         o = FX.table(spark, d, "orders").select(
             F.col("o_orderkey").alias("MD5"), F.col("o_totalprice").cast("string").alias("Size"),
@@ -601,7 +601,7 @@ def holdout_protocols(spark, d):
 
 @query
 def ensemble_fit_score(spark, d):
-    x = S.temporal_split(_model_input(spark, d), R)
+    x = _prep_input(spark, d)
     ens = TR.fit_windowed(x.filter(F.col("split") == "train").drop("cutoff", "split"), TR.make_decision_tree,
                           FIXTURE.log_cols, FIXTURE.scale_cols, R)
     return TR.evaluate_ensemble(ens, x.filter(F.col("split") == "test"), R)
