@@ -55,8 +55,9 @@ def empty_periods(daily: DataFrame) -> DataFrame:
 
 
 def timestamp_profile(df: DataFrame, col: str, fmt: str = "yyyy-MM-dd HH:mm:ss") -> DataFrame:
-    """Rows, parseable values, min and max of a timestamp string column."""
-    ts = F.try_to_timestamp(F.col(col), F.lit(fmt))
+    """Rows, parseable values, min and max of a timestamp string column
+    (wall-clock values without a zone, hence TIMESTAMP_NTZ)."""
+    ts = F.try_to_timestamp(F.col(col), F.lit(fmt)).cast("timestamp_ntz")
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count(ts).alias("n_valid"),
                   F.min(ts).alias("min_ts"), F.max(ts).alias("max_ts"))
 

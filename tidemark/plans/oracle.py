@@ -306,16 +306,16 @@ FROM samples GROUP BY order_date"""
 ORACLES["daily_counts"] = DAILY + "SELECT day, n FROM daily"
 
 ORACLES["monthly_rollup"] = DAILY + """
-SELECT strftime(day, '%Y-%m') AS month, sum(n) AS total, round(avg(n), 6) AS mean_per_day,
+SELECT strftime(day, '%Y-%m') AS month, CAST(sum(n) AS BIGINT) AS total, round(avg(n), 6) AS mean_per_day,
        max(n) AS max_per_day, count(*) AS days
 FROM daily GROUP BY 1"""
 
 ORACLES["empty_periods"] = DAILY + """
 SELECT CAST(year(day) AS INTEGER) AS year, count(*) AS days, count(*) FILTER (WHERE n = 0) AS empty_days,
-       sum(n) AS total, round_even(100.0 * count(*) FILTER (WHERE n = 0) / count(*), 1) AS pct_empty
+       CAST(sum(n) AS BIGINT) AS total, round_even(100.0 * count(*) FILTER (WHERE n = 0) / count(*), 1) AS pct_empty
 FROM daily GROUP BY 1
 UNION ALL
-SELECT NULL, count(*), count(*) FILTER (WHERE n = 0), sum(n),
+SELECT NULL, count(*), count(*) FILTER (WHERE n = 0), CAST(sum(n) AS BIGINT),
        round_even(100.0 * count(*) FILTER (WHERE n = 0) / count(*), 1)
 FROM daily"""
 
