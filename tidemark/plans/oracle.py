@@ -715,3 +715,16 @@ SELECT o_orderkey AS sample_id, o_totalprice AS "Size", TRY_CAST(o_orderpriority
 FROM orders"""
 ORACLES["per_file_counts"] = """
 SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n FROM orders WHERE o_orderstatus = 'F' GROUP BY 1"""
+
+
+# --- streaming: closed 30-day event-time windows (watermark = latest event - 1 day)
+ORACLES["stream_accuracy"] = f"""
+WITH o AS (SELECT o_orderkey AS sample_id, o_orderdate AS ts, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS label
+           FROM orders),
+m AS (SELECT o.*, CAST(r.model_id AS INTEGER) AS model_id, {PF('r.model_id', 'o.sample_id', 'o.label')} AS p
+      FROM o, (SELECT range AS model_id FROM range(5)) r),
+b AS (SELECT time_bucket(INTERVAL '30 days', ts, TIMESTAMP '1970-01-01') AS window_start, * FROM m),
+wm AS (SELECT max(ts) - INTERVAL '1 day' AS wmark FROM o)
+SELECT window_start, model_id, round({ACC('p >= 0.5')}, 6) AS accuracy, count(*) AS n
+FROM b, wm WHERE window_start + INTERVAL '30 days' <= wmark
+GROUP BY window_start, model_id"""

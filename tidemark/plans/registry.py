@@ -670,4 +670,6 @@ def stream_accuracy(spark, d):
         F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("label"))
     o = o.withColumn("model_id", F.explode(F.sequence(F.lit(0), F.lit(K - 1)))).withColumn("p", _p_of(F.col("model_id")))
     acc = Z.stream_window_accuracy(o, "o_orderdate", "model_id", F.col("p") >= 0.5, "label")
-    return spark.read.parquet(Z.run_to_files(acc, "accuracy-" + _tag(d)))
+    out = spark.read.parquet(Z.run_to_files(acc, "accuracy-" + _tag(d)))
+    return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                      F.col("model_id").cast("int").alias("model_id"), r6("accuracy").alias("accuracy"), "n")
