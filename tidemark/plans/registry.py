@@ -654,12 +654,20 @@ def stream_psi(spark, d):
         "ts", F.col("value").cast("double").alias("value"), F.col("user_id").cast("double").alias("user_id"),
         F.get_json_object("props", "$.k").cast("double").alias("prop_k"), F.hour("ts").cast("double").alias("hour"))
     counts = spark.read.parquet(Z.run_to_files(Z.stream_bucket_counts(ev, "ts", edges), "psi-" + _tag(d)))
-    from tidemark.operators.quantiles import to_long
-    tl = to_long(tr, list(edges)).join(F.broadcast(spark.createDataFrame(
-        [(k, v) for k, v in edges.items()], "feature STRING, edges ARRAY<DOUBLE>")), "feature")
-    tc = tl.select("feature", D.bucketize(F.col("value"), F.col("edges")).alias("bucket")) \
+    from tidemark.operators.quantiles import small_frame, to_long
+    from pyspark.sql import types as T
+    ef = small_frame(spark, [(k, [float(x) for x in v]) for k, v in edges.items()],
+                     T.StructType([T.StructField("feature", T.StringType()),
+                                   T.StructField("edges", T.ArrayType(T.DoubleType()))]))
+    tl = to_long(tr, list(edges)).filter(F.col("value").isNotNull()).join(F.broadcast(ef), "feature")
+    counted = tl.select("feature", D.bucketize(F.col("value"), F.col("edges")).alias("bucket")) \
         .filter(F.col("bucket").isNotNull()).groupBy("feature", "bucket").agg(F.count(F.lit(1)).alias("tc"))
-    return Z.psi_from_counts(counts, tc)
+    # full spine: buckets without train rows count 0 (pct = eps), as in batch PSI
+    spine = ef.select("feature", F.explode(F.sequence(F.lit(0), F.size("edges") - 2)).alias("bucket"))
+    tc = spine.join(counted, ["feature", "bucket"], "left").fillna(0, ["tc"])
+    res = Z.psi_from_counts(counts, tc)
+    return res.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "feature",
+                      r6("psi").alias("psi"), F.col("n_deploy").cast("long").alias("n_deploy"))
 
 
 @query
