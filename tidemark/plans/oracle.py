@@ -751,3 +751,13 @@ pc AS (SELECT *, tc / greatest(sum(tc) OVER (PARTITION BY window_start, feature)
               dc / greatest(sum(dc) OVER (PARTITION BY window_start, feature), 1) + 1e-6 AS dp FROM j)
 SELECT window_start, feature, round(sum((dp - tp) * ln(dp / tp)), 6) AS psi, CAST(sum(dc) AS BIGINT) AS n_deploy
 FROM pc GROUP BY window_start, feature"""
+
+ORACLES["stream_scoring"] = _s("scores") + EXPLAIN_CTES + f"""
+SELECT sample_id, verdict, round_even(probability, 4) AS probability, round_even(confidence, 4) AS confidence,
+  CASE verdict
+    WHEN 'BLOCKED_MALWARE' THEN {sql_fill(XT.SUMMARY_BLOCKED, system="'The ensemble'", p0=_PC('probability'), c0=_PC('confidence'))}
+    WHEN 'BLOCKED_UNCERTAIN' THEN {sql_fill(XT.SUMMARY_UNCERTAIN, system="'The ensemble'", p0=_PC('probability'), c0=_PC('confidence'), t0=_PC('0.65'))}
+    ELSE {sql_fill(XT.SUMMARY_ALLOWED, system="'The ensemble'", g0=_PC('1 - probability'), p2="printf('%.2f%%', probability * 100)", c0=_PC('confidence'))}
+  END AS summary,
+  CAST(len(why) AS INTEGER) AS n_why
+FROM ev2"""

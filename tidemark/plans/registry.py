@@ -636,8 +636,9 @@ def stream_scoring(spark, d):
                         for i in range(K)])
     dec = DC.decide(s, PCOLS, w, a)
     out = X.explain(FE.engineer(dec, SPEC), FIXTURE.rules).select(
-        "sample_id", "verdict", "probability", "confidence", F.col("report.summary").alias("summary"),
-        F.size("report.why").alias("n_why"))
+        "sample_id", "verdict", F.bround("probability", 4).alias("probability"),
+        F.bround("confidence", 4).alias("confidence"),
+        F.col("report.summary").alias("summary"), F.size("report.why").alias("n_why"))
     return spark.read.parquet(Z.run_to_files(out, "scoring-" + _tag(d)))
 
 
