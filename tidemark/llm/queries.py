@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
+from . import bpe, token_counts
 from .common import read_table
 
 
@@ -21,6 +22,17 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                           public_tokenizers.PATTERN)
 
 
+#: Documents with more tokens are over the limit.
+TOKEN_LIMIT = 4096
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document under the 32k piece vocabulary."""
+    counts = token_counts.count_tokens(read_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
 QUERIES = {
+    "op4_token_counts": op4_token_counts,
     "op9_byte_bpe": op9_byte_bpe,
 }
