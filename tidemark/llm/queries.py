@@ -5,7 +5,7 @@ from __future__ import annotations
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, token_counts
+from . import bpe, language, token_counts
 from .common import read_table
 
 
@@ -32,7 +32,13 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from three quarters of them."""
+    return language.identify(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op4_token_counts": op4_token_counts,
+    "op7_language_id": op7_language_id,
     "op9_byte_bpe": op9_byte_bpe,
 }
