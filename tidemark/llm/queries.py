@@ -5,7 +5,7 @@ from __future__ import annotations
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, language, token_counts
+from . import bpe, language, licenses, token_counts
 from .common import read_table
 
 
@@ -32,6 +32,15 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+#: Phrases that are always looked for, with their labels.
+BASE_PHRASES = [("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc")]
+
+
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses that documents name, by all signature rules."""
+    return licenses.label_documents(licenses.scan_licenses(read_table(spark, sf_dir, "documents"), BASE_PHRASES))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from three quarters of them."""
     return language.identify(read_table(spark, sf_dir, "documents"))
@@ -39,6 +48,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_token_counts": op4_token_counts,
+    "op6_license_scan": op6_license_scan,
     "op7_language_id": op7_language_id,
     "op9_byte_bpe": op9_byte_bpe,
 }
