@@ -1,3 +1,25 @@
 """DuckDB twins of the queries that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+OP10 = r"""
+WITH line AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS s, generate_subscripts(string_split(text, chr(10)), 1) AS i
+  FROM documents WHERE text IS NOT NULL),
+filled AS (
+  SELECT doc_id, i, trim(s, chr(32) || chr(9) || chr(11) || chr(12) || chr(13)) AS s FROM line
+  WHERE trim(s, chr(32) || chr(9) || chr(11) || chr(12) || chr(13)) <> ''),
+win AS (
+  SELECT doc_id, i AS a, lead(i, 1) OVER d AS b, lead(i, 2) OVER d AS c,
+         s AS x, lead(s, 1) OVER d AS y, lead(s, 2) OVER d AS z
+  FROM filled WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+occurrence AS (
+  SELECT doc_id, a, b, c, row_number() OVER (PARTITION BY x, y, z ORDER BY doc_id, a) AS k FROM win WHERE z IS NOT NULL),
+gone AS (SELECT DISTINCT doc_id, unnest([a, b, c]) AS i FROM occurrence WHERE k > 1),
+kept AS (
+  SELECT l.doc_id, count(*) AS n_lines, count(g.i) AS n_removed,
+         coalesce(string_agg(CASE WHEN g.i IS NULL THEN l.s END, chr(10) ORDER BY l.i), '') AS t
+  FROM line l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.i = l.i GROUP BY l.doc_id)
+SELECT d.doc_id, coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_removed, 0) AS n_removed, sha256(k.t) AS kept_sha256
+FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
+"""
+
+ORACLES: dict[str, str] = {"op10_line_dedup": OP10}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, language, licenses, token_counts
+from . import bpe, language, licenses, line_dedup, token_counts
 from .common import read_table
 
 
@@ -46,9 +46,16 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(read_table(spark, sf_dir, "documents"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without lines of repeated windows."""
+    done = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents"))
+    return done.select("doc.doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op4_token_counts": op4_token_counts,
     "op6_license_scan": op6_license_scan,
     "op7_language_id": op7_language_id,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_line_dedup": op10_line_dedup,
 }
