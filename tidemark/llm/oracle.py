@@ -22,4 +22,27 @@ SELECT d.doc_id, coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_removed, 0) AS
 FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
 """
 
-ORACLES: dict[str, str] = {"op10_line_dedup": OP10}
+#: Words after lower-casing A-Z: runs of what is no ASCII separator.
+_WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+OP5 = rf"""
+WITH item AS (SELECT item_id::VARCHAR AS item, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+item_win AS (
+  SELECT item, least(len(w), 10) AS n, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i, w FROM item WHERE len(w) > 0),
+win AS (SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS t FROM item_win),
+doc AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+place AS (
+  SELECT doc_id, s.n, unnest(range(1, len(w) - s.n + 2)) AS i, w FROM doc, (SELECT DISTINCT n FROM win) s WHERE len(w) >= s.n),
+hit AS (
+  SELECT p.doc_id, p.i, p.n, v.item FROM (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS t FROM place) p
+  JOIN win v ON v.t = p.t AND v.n = p.n),
+covered AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS j FROM hit) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+          FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(c.n_hit, 0) AS n_hit, coalesce(m.n_items, 0) AS n_items,
+       sha256(coalesce(m.items, '')) AS items_sha256, coalesce(c.n_hit, 0) > 0 AS contaminated
+FROM doc d LEFT JOIN covered c ON c.doc_id = d.doc_id LEFT JOIN named m ON m.doc_id = d.doc_id
+"""
+
+ORACLES: dict[str, str] = {"op5_decontaminate": OP5, "op10_line_dedup": OP10}

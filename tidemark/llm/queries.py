@@ -5,7 +5,7 @@ from __future__ import annotations
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, language, licenses, line_dedup, token_counts
+from . import bpe, decontaminate, language, licenses, line_dedup, token_counts
 from .common import read_table
 
 
@@ -32,6 +32,11 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside windows of the benchmark."""
+    return decontaminate.report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 #: Phrases that are always looked for, with their labels.
 BASE_PHRASES = [("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc")]
 
@@ -54,6 +59,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_token_counts": op4_token_counts,
+    "op5_decontaminate": op5_decontaminate,
     "op6_license_scan": op6_license_scan,
     "op7_language_id": op7_language_id,
     "op9_byte_bpe": op9_byte_bpe,
