@@ -5,7 +5,7 @@ from __future__ import annotations
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, language, licenses, line_dedup, token_counts
+from . import bpe, decontaminate, language, licenses, line_dedup, simhash, token_counts
 from .common import read_table
 
 
@@ -22,6 +22,12 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                           public_tokenizers.PATTERN)
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of documents by SimHash."""
+    groups = simhash.group_documents(read_table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
+
+
 #: Documents with more tokens are over the limit.
 TOKEN_LIMIT = 4096
 
@@ -58,6 +64,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_simhash": op2_simhash,
     "op4_token_counts": op4_token_counts,
     "op5_decontaminate": op5_decontaminate,
     "op6_license_scan": op6_license_scan,
