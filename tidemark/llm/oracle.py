@@ -22,6 +22,54 @@ SELECT d.doc_id, coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_removed, 0) AS
 FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
 """
 
+def _op1() -> str:
+    from .quality import ERROR, RISK, RULES, STRATA
+    value = lambda e: e.replace(" div ", " // ")
+    ladders = ", ".join(f"({r}, {p}, {c})" for r, (_, _, ladder) in enumerate(RULES) for p, c in enumerate(ladder))
+    values = ", ".join(value(e) for _, e, _ in RULES)
+    share = RISK / len(RULES)
+    level = ERROR / ((len(STRATA) + 1) * len(RULES))
+    strata = ", ".join(f"'{x}'" for x in STRATA)
+    return rf"""
+WITH doc AS (
+  SELECT doc_id, CASE WHEN lang IN ({strata}) THEN lang ELSE 'other' END AS stratum, coalesce(text, '') AS t FROM documents),
+word AS (SELECT doc_id, regexp_extract_all(t, '[^ 	-]+') AS w FROM doc),
+win AS (SELECT doc_id, i, w[i:i + 2] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM word)),
+twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM win) WHERE n > 1),
+rep AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS j FROM twice) GROUP BY doc_id),
+line AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS s FROM doc),
+lines AS (SELECT doc_id, count(*) AS n, count(*) - count(DISTINCT s) AS dup FROM line
+          WHERE regexp_matches(s, '[^ 	-]') GROUP BY doc_id),
+feature AS (
+  SELECT d.doc_id, d.stratum, len(w.w) AS n_words, length(array_to_string(w.w, '')) AS word_chars,
+         len(regexp_extract_all(d.t, '[#*$%&|<>]')) AS n_symbols, coalesce(l.n, 0) AS n_lines,
+         coalesce(l.dup, 0) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words
+  FROM doc d JOIN word w ON w.doc_id = d.doc_id LEFT JOIN lines l ON l.doc_id = d.doc_id LEFT JOIN rep r ON r.doc_id = d.doc_id),
+judged AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+         CASE WHEN n_words > 0 THEN [{values}] END AS v FROM feature),
+rated AS (SELECT doc_id, min(quality) AS quality FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
+seen AS (SELECT j.*, r.quality FROM judged j JOIN rated r ON r.doc_id = j.doc_id WHERE NOT base_failed),
+ladder(rule, position, cutoff) AS (VALUES {ladders}),
+cell AS (
+  SELECT stratum, rule, position, cutoff, count(*) FILTER (quality >= 1) AS good, count(*) FILTER (quality < 1) AS bad,
+         count(*) FILTER (quality >= 1 AND v[rule + 1] > cutoff) AS k, count(*) FILTER (quality < 1 AND v[rule + 1] > cutoff) AS b
+  FROM seen, ladder GROUP BY ALL),
+term AS (SELECT *, unnest(range(0, k + 1)) AS i FROM cell WHERE k < good * {share}),
+tail AS (
+  SELECT stratum, rule, position, cutoff, good, bad, k, b,
+         sum(exp(lgamma(good + 1) - lgamma(i + 1) - lgamma(good - i + 1) + i * ln({share}) + (good - i) * ln(1 - {share}))) AS p
+  FROM term GROUP BY ALL),
+best AS (
+  SELECT stratum, rule, cutoff, row_number() OVER (PARTITION BY stratum, rule ORDER BY b * good - k * bad DESC, position) AS r
+  FROM tail WHERE p <= {level} AND b * good - k * bad > 0),
+failed AS (SELECT DISTINCT j.doc_id FROM judged j JOIN best c ON c.stratum = j.stratum AND c.r = 1 WHERE j.v[c.rule + 1] > c.cutoff)
+SELECT j.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND f.doc_id IS NULL AS kept, stratum
+FROM judged j LEFT JOIN failed f ON f.doc_id = j.doc_id
+"""
+
+
 #: Words after lower-casing A-Z: runs of what is no ASCII separator.
 _WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
           r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
@@ -45,4 +93,4 @@ SELECT d.doc_id, len(d.w) AS n_words, coalesce(c.n_hit, 0) AS n_hit, coalesce(m.
 FROM doc d LEFT JOIN covered c ON c.doc_id = d.doc_id LEFT JOIN named m ON m.doc_id = d.doc_id
 """
 
-ORACLES: dict[str, str] = {"op5_decontaminate": OP5, "op10_line_dedup": OP10}
+ORACLES: dict[str, str] = {"op1_quality_rules": _op1(), "op5_decontaminate": OP5, "op10_line_dedup": OP10}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, language, licenses, line_dedup, simhash, token_counts
+from . import bpe, decontaminate, language, licenses, line_dedup, quality, simhash, token_counts
 from .common import read_table
 
 
@@ -22,6 +22,11 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                           public_tokenizers.PATTERN)
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts of every document and the verdict of the certified rules."""
+    return quality.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of documents by SimHash."""
     groups = simhash.group_documents(read_table(spark, sf_dir, "documents"))
@@ -64,6 +69,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
     "op2_simhash": op2_simhash,
     "op4_token_counts": op4_token_counts,
     "op5_decontaminate": op5_decontaminate,
