@@ -5,7 +5,7 @@ from __future__ import annotations
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, language, licenses, line_dedup, quality, simhash, token_counts
+from . import bpe, decontaminate, language, licenses, line_dedup, quality, sharding, simhash, token_counts
 from .common import read_table
 
 
@@ -33,6 +33,16 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
 
 
+SHARDS = 8
+
+
+def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A uniform shuffle of all documents into shards of equal row counts."""
+    placed = sharding.shuffle_into_shards(read_table(spark, sf_dir, "documents"), SHARDS)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
 #: Documents with more tokens are over the limit.
 TOKEN_LIMIT = 4096
 
@@ -71,6 +81,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_simhash": op2_simhash,
+    "op3_shards": op3_shards,
     "op4_token_counts": op4_token_counts,
     "op5_decontaminate": op5_decontaminate,
     "op6_license_scan": op6_license_scan,
