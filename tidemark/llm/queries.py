@@ -5,7 +5,7 @@ from __future__ import annotations
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, language, licenses, line_dedup, quality, sharding, simhash, token_counts
+from . import bpe, decontaminate, language, licenses, line_dedup, quality, sharding, simhash, substring_dedup, token_counts
 from .common import read_table
 
 
@@ -14,6 +14,14 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without bytes inside 100-byte strings that start earlier too."""
+    done = substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    return done.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document under the multilingual 50k vocabulary, and the
     bytes they decode to, as digests."""
@@ -86,6 +94,7 @@ QUERIES = {
     "op5_decontaminate": op5_decontaminate,
     "op6_license_scan": op6_license_scan,
     "op7_language_id": op7_language_id,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_line_dedup": op10_line_dedup,
 }
