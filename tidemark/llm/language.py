@@ -177,12 +177,13 @@ def predict(docs: DataFrame, model: Model, keep: list[str], text_col: str = "tex
         for whole in batches:
             for start in range(0, whole.num_rows, 256):
                 b = whole.slice(start, 256)
-                pred, score = zip(*map(judge, b.column(b.num_columns - 1).to_pylist()))
-                yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(pred, pa.string()),
+                pred, score = zip(*map(judge, b.column(at).to_pylist()))
+                yield pa.RecordBatch.from_arrays([*b.columns[:len(keep)], pa.array(pred, pa.string()),
                                                   pa.array(score, pa.float64())], [*keep, "lang_pred", "score"])
 
-    frame = docs.select(*[col(c) for c in keep], col(text_col).alias("text to judge"))
-    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in frame.schema[:-1])
+    at = keep.index(text_col) if text_col in keep else len(keep)
+    frame = docs.select(*[col(c) for c in keep], *([] if text_col in keep else [col(text_col).alias("text to judge")]))
+    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in frame.schema[:len(keep)])
     return frame.mapInArrow(run, f"{kinds}lang_pred string, score double")
 
 

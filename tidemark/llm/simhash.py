@@ -60,18 +60,19 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, fp`` (long), a row per input row. Null and blank texts have
-    fingerprint 0; fewer words than a shingle make one shingle."""
+    """``doc_id, doc_key, fp``, a row per input row; ``doc_key`` is a hash of the
+    whole text. Null and blank texts have fingerprint 0; fewer words than a
+    shingle make one shingle."""
 
     def run(batches):
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 b = whole.slice(at, 256)
-                fp = [fingerprint(t or b"", shingle) for t in b.column(1).cast(pa.binary()).to_pylist()]
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp, pa.int64())], ["doc_id", "fp"])
+                fp = [fingerprint(t or b"", shingle) for t in b.column(2).cast(pa.binary()).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(fp, pa.int64())], ["doc_id", "doc_key", "fp"])
 
-    frame = docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text"))
-    return frame.mapInArrow(run, f"doc_id {frame.schema[0].dataType.simpleString()}, fp long")
+    frame = docs.select(col(id_col).alias("doc_id"), F.xxhash64(col(text_col)).alias("doc_key"), col(text_col).alias("text"))
+    return frame.mapInArrow(run, f"doc_id {frame.schema[0].dataType.simpleString()}, doc_key long, fp long")
 
 
 def _mask(*segments: int) -> int:
@@ -117,7 +118,9 @@ def _signed(x: int) -> int:
 
 
 def group_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, fp, component_id`` with a row per input row.
+    """``doc_id, doc_key, fp, root, component_id`` with a row per input row.
+
+    ``root`` is the smallest fingerprint (or joining point) of the group.
 
     ``component_id`` is the smallest id that links reach, the document's own
     included; null ids are no candidates, and a group without other ids has a
@@ -130,9 +133,22 @@ def group_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = nodes.join(groups.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     lowest = named.where(F.col("root") != F.col("fp")).select("root").distinct()
     shared = named.join(lowest, "root").groupBy("root").agg(F.min("low").alias("component_id"))
-    alone = named.join(lowest, "root", "left_anti").select("fp", F.col("low").alias("component_id"))
-    by_fp = named.join(shared, "root").select("fp", "component_id").unionByName(alone)
-    return marked.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+    alone = named.join(lowest, "root", "left_anti").select("fp", "root", F.col("low").alias("component_id"))
+    by_fp = named.join(shared, "root").select("fp", "root", "component_id").unionByName(alone)
+    return marked.join(by_fp, "fp").select("doc_id", "doc_key", "fp", "root", "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
+    """One row of each group, with all columns of ``docs``: that of the smallest
+    id (null ids last; among rows of one id, by a hash of the text). Of rows
+    equal in id and text the one whose columns sort first stays, so columns must
+    be of types that sort."""
+    groups = group_documents(docs, id_col, text_col, shingle)
+    first = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "doc_key")).alias("x")).select(
+        F.col("x.doc_id").alias("k_id"), F.col("x.doc_key").alias("k_key"))
+    rows = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("doc"), col(id_col).alias("id"), F.xxhash64(col(text_col)).alias("key"))
+    kept = rows.join(first, F.col("id").eqNullSafe(F.col("k_id")) & (F.col("key") == F.col("k_key")), "left_semi")
+    return kept.groupBy("id", "key").agg(F.min("doc").alias("doc")).select("doc.*")
 
 
 def hex_digits(fp: str = "fp") -> Column:
