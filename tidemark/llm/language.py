@@ -28,6 +28,8 @@ from .common import col
 
 #: Labelled documents of a language that a model is fitted on, about.
 SAMPLE_DOCS = 4_000
+#: Languages that a model can tell apart: the most frequent labels.
+MAX_LANGUAGES = 256
 #: Words, and character n-grams of each length, kept for each language.
 TOP_WORDS, TOP_GRAMS = 20_000, 8_000
 LONGEST = 5
@@ -61,10 +63,12 @@ class Model:
 
 def sample_of(labelled: DataFrame, docs_per_language: int = SAMPLE_DOCS) -> DataFrame:
     """About ``docs_per_language`` rows of each ``lang`` of ``id, text, lang``,
-    by a hash of the id."""
-    share = labelled.groupBy("lang").agg((docs_per_language / F.count("*")).alias("share"))
+    by a hash of the id. Texts stay where they are read: the shares, a row for
+    each of at most ``MAX_LANGUAGES`` labels, go to them."""
+    share = labelled.groupBy("lang").agg(F.count("*").alias("k")).orderBy(F.desc("k"), "lang").limit(MAX_LANGUAGES).select(
+        "lang", (docs_per_language / F.col("k")).alias("share"))
     place = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)
-    return labelled.join(share, "lang").where(place < F.col("share")).select("text", "lang")
+    return labelled.join(F.broadcast(share), "lang").where(place < F.col("share")).select("text", "lang")
 
 
 def fit(labelled: DataFrame, docs_per_language: int = SAMPLE_DOCS, top_words: int = TOP_WORDS,
