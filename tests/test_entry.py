@@ -13,7 +13,8 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle_or_is_declared(spark):
-    q, o = E.queries(), E.oracle_sql()
+    from tidemark.plans.registry import QUERIES
+    q, o = QUERIES, E.oracle_sql()
     rows_only = {k for k in q if k not in o}
     assert rows_only <= {"cv_logistic", "holdout_protocols", "ensemble_fit_score", "grid_search",
                          "stream_scoring", "stream_psi", "stream_accuracy"}

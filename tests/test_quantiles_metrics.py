@@ -3,16 +3,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import metrics as MT
-from tidemark.operators.quantiles import exact_quantiles
+from tidemark.operators.quantiles import exact_quantiles, value_bucket
 
 
-@pytest.mark.parametrize("max_exact", [10_000_000, 300])
-def test_exact_quantiles(spark, max_exact):
+def test_exact_quantiles(spark):
     rng = np.random.default_rng(3)
     vals = np.round(rng.normal(size=4000), 2)
     df = spark.createDataFrame([("a" if i % 2 else "b", float(v)) for i, v in enumerate(vals)], "g STRING, v DOUBLE")
     probs = [0.0, 0.05, 0.5, 0.95, 1.0]
-    got = exact_quantiles(df, ["g"], "v", probs, max_exact=max_exact).collect()
+    got = exact_quantiles(df, ["g"], "v", probs).collect()
     for r in got:
         x = np.array([v for i, v in enumerate(vals) if ("a" if i % 2 else "b") == r["g"]])
         assert r["value"] == pytest.approx(np.quantile(x, r["prob"]), abs=1e-12)
@@ -31,7 +30,7 @@ def test_auc_ties(spark):
     y = (rng.random(600) < s).astype(int)
     df = spark.createDataFrame([(int(i % 2), float(a), int(b)) for i, (a, b) in enumerate(zip(s, y))],
                                "g INT, s DOUBLE, y INT")
-    got = {r["g"]: r["auc"] for r in MT.auc_by_group(df, ["g"], "s", "y", ranges=4).collect()}
+    got = {r["g"]: r["auc"] for r in MT.auc_by_group(df, ["g"], "s", "y").collect()}
     for g in (0, 1):
         idx = [i for i in range(600) if i % 2 == g]
         assert got[g] == pytest.approx(brute_auc(s[idx], y[idx]), abs=1e-12)
@@ -61,3 +60,23 @@ def test_cv_summary_and_gap(spark):
     assert s["auc_std"] == pytest.approx(round(np.std([0.97 - 0.001 * f for f in range(10)], ddof=1), 4))
     lines = MT.render_report(MT.drift_gap_table(cvd, ho), MT.cv_summary(cvd)).orderBy("line_no").collect()
     assert lines[0]["line"].startswith("| Model |") and any("xgboost" in r["line"] for r in lines)
+
+
+def test_quantiles_of_repeated_odd_and_extreme_values(spark):
+    groups = {"flag": [0.0] * 300 + [1.0] * 700, "signs": [-5.5, -0.0, 0.0, 3.0, 1e-300, -1e300, 2.0], "one": [4.0],
+              "steps": [float(i) for i in range(1001)], "inf": [float("inf"), 1.0, -float("inf")]}
+    rows = [(g, v) for g, x in groups.items() for v in x] + [("flag", None), ("flag", float("nan")), ("none", None)]
+    probs = [0.0, 0.1, 0.25, 0.5, 0.975, 1.0]
+    got = exact_quantiles(spark.createDataFrame(rows, "g STRING, v DOUBLE"), ["g"], "v", probs).collect()
+    assert {r["g"] for r in got} == set(groups) and len(got) == len(groups) * len(probs)
+    for r in got:
+        if r["g"] != "inf":
+            assert r["value"] == pytest.approx(np.quantile(groups[r["g"]], r["prob"]), rel=1e-12, abs=1e-12)
+        assert r["n"] == len(groups[r["g"]])
+
+
+def test_value_bucket_never_falls(spark):
+    v = sorted([0.0, -1.0, 1.0, 0.1, 0.2, 0.5, 0.999999, 1e-310, -1e-310, 1e308, -1e308, 2.0**52, 1.0000001])
+    df = spark.createDataFrame([(x,) for x in v], "x DOUBLE").select("x", value_bucket(F.col("x")).alias("b"))
+    b = [r["b"] for r in df.orderBy("x").collect()]
+    assert b == sorted(b) and len(set(b)) == len(b) - 1

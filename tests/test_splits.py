@@ -65,7 +65,7 @@ def test_folds(tiny_combined):
 
 def test_seeded_rank_is_sort(spark):
     df = spark.range(3000).withColumnRenamed("id", "sample_id").withColumn("g", F.col("sample_id") % 3)
-    r = seeded_rank(df, "sample_id", 7, by=["g"], out="r", digits=1)
+    r = seeded_rank(df, "sample_id", 7, by=["g"], out="r")
     got = {(x["g"], x["r"]): x["sample_id"] for x in r.collect()}
     rows = df.withColumn("h", seeded_hash("sample_id", 7)).collect()
     for g in range(3):

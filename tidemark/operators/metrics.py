@@ -1,11 +1,11 @@
 """Evaluation metrics and result tables.
 
 ``auc_by_group`` is the exact rank statistic (ties count one half) for many
-groups at once. Scores are first collapsed to (group, score) counts, then
-each group's score range is cut into ``ranges`` slices at approximate
-quantiles: negatives-below offsets come from a running sum over the small
-(group, slice) table, and the exact running sum over distinct scores only
-runs inside one slice — so one large group is still many tasks.
+groups at once. Scores are first collapsed to (group, score) counts. Buckets
+that grow with the score cut each group's range: negatives-below offsets come
+from a running sum over the small (group, bucket) table, and the exact running
+sum over distinct scores only runs inside one bucket — so one large group is
+many tasks, as many as its scores need.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.config import HEADLINE_ORDER
-from tidemark.operators.quantiles import small_frame
+from tidemark.operators.quantiles import small_frame, value_bucket
 from pyspark.sql import types as T
 
 
@@ -25,23 +25,17 @@ def accuracy(pred: Column, label: Column) -> Column:
     return F.avg((pred == label).cast("double"))
 
 
-def auc_by_group(df: DataFrame, keys: Sequence[str], score: str, label: str, ranges: int = 64) -> DataFrame:
+def auc_by_group(df: DataFrame, keys: Sequence[str], score: str, label: str) -> DataFrame:
     """(keys..., auc, n_pos, n_neg); NULL auc when a class is missing."""
     keys = list(keys)
-    if not keys:
-        df, keys = df.withColumn("_g", F.lit(0)), ["_g"]
-        return auc_by_group(df, keys, score, label, ranges).drop("_g")
     per = df.groupBy(*keys, F.col(score).alias("_s")).agg(
         F.count_if(F.col(label) == 1).alias("_p"), F.count_if(F.col(label) != 1).alias("_n"))
-    probs = [i / ranges for i in range(1, ranges)]
-    cuts = per.groupBy(*keys).agg(F.percentile_approx("_s", F.array(*[F.lit(p) for p in probs]), 1000).alias("_cuts"))
-    x = per.join(cuts, keys, "inner")
-    x = x.withColumn("_r", F.size(F.filter(F.array_distinct("_cuts"), lambda c: c < F.col("_s")))).drop("_cuts")
-    slice_tot = x.groupBy(*keys, "_r").agg(F.sum("_n").alias("_sn"))
+    per = per.withColumn("_r", value_bucket(F.col("_s")))
+    slices = per.groupBy(*keys, "_r").agg(F.sum("_n").alias("_sn"))
     w_off = Window.partitionBy(*keys).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
-    offs = slice_tot.select(*keys, "_r", F.coalesce(F.sum("_sn").over(w_off), F.lit(0)).alias("_off"))
+    offs = slices.select(*keys, "_r", F.coalesce(F.sum("_sn").over(w_off), F.lit(0)).alias("_off"))
     w_in = Window.partitionBy(*keys, "_r").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    y = x.join(offs, [*keys, "_r"], "inner") \
+    y = per.join(offs, [*keys, "_r"], "inner") \
         .withColumn("_below", F.col("_off") + F.coalesce(F.sum("_n").over(w_in), F.lit(0)))
     contrib = F.col("_p") * (F.col("_below") + F.lit(0.5) * F.col("_n"))
     agg = y.groupBy(*keys).agg(F.sum(contrib).alias("_u"), F.sum("_p").alias("n_pos"), F.sum("_n").alias("n_neg"))

@@ -5,244 +5,86 @@ For a group of n values and probability p the answer is
 ``x[lo] + (x[hi] - x[lo]) * frac`` with ``h = (n-1)p``, ``lo = floor(h)``,
 ``hi = min(lo+1, n-1)`` (numpy's default, DuckDB ``quantile_cont``).
 
-How the order statistics ``x[k]`` are found:
-
-1. one aggregation per group: ``n`` and ``percentile_approx`` at
-   ``p +- margin`` (a mergeable sketch; partial aggregation);
-2. each wanted rank k gets a value bracket [L, U]; two small histograms
-   (how many values sit below each L, at or below each U) are computed in
-   one pass and verified: ``below(L) <= k < upto(U)``;
-3. brackets still holding more than ``max_exact`` rows are narrowed again
-   with ``percentile_approx`` over just their members;
-4. the rows inside the final brackets (a tiny fraction) are ranked with a
-   window partitioned by (group, target) and the k-th one is picked.
-
-Groups with at most ``max_exact`` rows skip the sketch (bracket = all).
-The driver only ever sees per-(group, target) numbers.
+How the order statistics ``x[k]`` are found, alike at every size:
+
+1. values are counted by (group, value), combined before the shuffle, so ties
+   of any number are one row;
+2. every value falls into a bucket that grows with it (``value_bucket``, about
+   a thousand for each power of two); running sums over a group's buckets, a
+   table bounded by the buckets there are, tell which ones hold a wanted rank;
+3. running sums over the distinct values of those buckets alone pick ``x[k]``.
+
+All of it is one lazy plan; the driver sees no intermediate result.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-INF = float("inf")
-GRID = 256
+#: Buckets for each power of two of a value's size.
+BUCKETS_PER_OCTAVE = 1024
+#: Beyond the exponents of doubles on both sides.
+_EXPONENTS = 1100.0
 
 
 def small_frame(spark, rows, schema: T.StructType) -> DataFrame:
-    """A driver-side table of bounded size as a local relation (known
-    statistics, no Python worker), built from literals."""
-    if not rows:
-        return spark.createDataFrame([], schema)
-    if len(rows) > 200:
-        import pandas as pd
-        pdf = pd.DataFrame([list(r) for r in rows], columns=[f.name for f in schema.fields])
-        return spark.createDataFrame(pdf, schema)
-    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, schema.fields)])
-               for r in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
-
-
-def _targets_for(n: int, probs: Sequence[float]):
-    out = []
-    for pi, p in enumerate(probs):
-        h = (n - 1) * p
-        lo = int(math.floor(h))
-        hi = min(lo + 1, n - 1)
-        out.append((pi, p, lo, hi, h - lo))
-    return out
-
-
-def _bracket_counts(long: DataFrame, keys: list[str], v: str, br: DataFrame) -> DataFrame:
-    """For every bracket (keys, tid, L, U): below = #(v < L), upto = #(v <= U).
-
-    ``br`` is grouped into one row per key with sorted L and U arrays; each
-    value row computes its position among them (array expression, no theta
-    join), so the pass emits two small histograms instead of exploding rows.
-    """
-    per_key = br.groupBy(*keys).agg(F.array_sort(F.collect_list("L")).alias("_Ls"),
-                                    F.array_sort(F.collect_list("U")).alias("_Us"))
-    x = long.join(F.broadcast(per_key), keys, "inner")
-    x = x.select(*keys,
-                 F.size(F.filter("_Ls", lambda l: l <= F.col(v))).alias("_iL"),
-                 F.size(F.filter("_Us", lambda u: u < F.col(v))).alias("_iU"))
-    hl = x.groupBy(*keys, "_iL").count()
-    hu = x.groupBy(*keys, "_iU").count()
-    # first index of L (resp. U) in its sorted array
-    b = br.join(per_key, keys, "inner").select(
-        *keys, "tid", "L", "U",
-        F.array_position("_Ls", F.col("L")).cast("int").alias("_pL"),
-        F.array_position("_Us", F.col("U")).cast("int").alias("_pU"))
-    below = b.join(hl, keys, "inner").filter(F.col("_iL") <= F.col("_pL") - 1) \
-        .groupBy(*keys, "tid").agg(F.sum("count").alias("below"))
-    upto = b.join(hu, keys, "inner").filter(F.col("_iU") <= F.col("_pU") - 1) \
-        .groupBy(*keys, "tid").agg(F.sum("count").alias("upto"))
-    return b.select(*keys, "tid", "L", "U") \
-        .join(below, [*keys, "tid"], "left").join(upto, [*keys, "tid"], "left") \
-        .fillna(0, ["below", "upto"])
-
-
-def _members(long: DataFrame, keys: list[str], v: str, br: DataFrame) -> DataFrame:
-    """Rows inside their group's brackets, one output row per (row, bracket)."""
-    per_key = br.groupBy(*keys).agg(F.collect_list(F.struct("tid", "L", "U")).alias("_b"))
-    x = long.join(F.broadcast(per_key), keys, "inner")
-    hit = F.filter("_b", lambda b: (F.col(v) >= b["L"]) & (F.col(v) <= b["U"]))
-    return x.select(*keys, F.col(v).alias("_v"), F.explode(hit).alias("_m")) \
-        .select(*keys, "_v", F.col("_m.tid").alias("tid"))
-
-
-def _small_groups(vals: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
-    """Groups known to hold at most ``max_exact`` values: one aggregation
-    sorts each (bounded) group and interpolates like numpy."""
-    arr = vals.groupBy(*keys).agg(F.array_sort(F.collect_list("_x")).alias("_a"))
-    n = F.size("_a").cast("long")
-    rows = []
-    for pi, p in enumerate(probs):
-        h = (n - 1).cast("double") * F.lit(float(p))
-        lo = F.floor(h).cast("int")
-        hi = F.least(lo + 1, (n - 1).cast("int"))
-        a, b = F.element_at("_a", lo + 1), F.element_at("_a", hi + 1)
-        frac = h - lo.cast("double")
-        v = F.when((frac == 0) | (a == b), a).otherwise(a + (b - a) * frac)
-        rows.append(F.struct(F.lit(pi).alias("prob_idx"), F.lit(float(p)).alias("prob"), n.alias("n"),
-                             v.alias("value")))
-    return arr.select(*keys, F.inline(F.array(*rows)))
-
-
-def exact_quantiles(long: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
-                    max_exact: int = 2_000_000, accuracy: int = 10_000, max_rounds: int = 6) -> DataFrame:
+    """A driver-side table of bounded size as a local relation, so that its
+    statistics are known."""
+    arrow = to_arrow_schema(schema)
+    columns = list(zip(*rows)) if rows else [()] * len(schema.fields)
+    return spark.createDataFrame(pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow), schema)
+
+
+def value_bucket(x: Column) -> Column:
+    """A whole number that never falls as ``x`` grows: by sign and logarithm."""
+    size = F.floor((F.least(F.log2(F.abs(x)), F.lit(_EXPONENTS)) + _EXPONENTS) * BUCKETS_PER_OCTAVE).cast("long") + 1
+    return F.when(x > 0, size).when(x < 0, -size).otherwise(F.lit(0).cast("long"))
+
+
+def exact_quantiles(long: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
     """(keys..., prob_idx, prob, n, value) for each group and probability.
 
     ``long`` holds one value per row (NULL / NaN rows are ignored). Groups
-    with no values give no rows. One count per group decides the route:
-    groups up to ``max_exact`` values are sorted inside one aggregation
-    (bounded buffer), larger ones go through the bracket search below.
+    with no values give no rows.
     """
     keys = list(keys)
-    spark = long.sparkSession
-    vals = long.select(*keys, F.col(value).cast("double").alias("_x")) \
-        .filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
-    sizes = vals.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    big = sizes.filter(F.col("_n") > max_exact).select(*keys).collect()
-    if not big:
-        return _small_groups(vals, keys, probs)
-    big_keys = small_frame(spark, [tuple(r) for r in big], vals.select(*keys).schema)
-    small = _small_groups(vals.join(F.broadcast(big_keys), keys, "left_anti"), keys, probs)
-    large = _large_groups(vals.join(F.broadcast(big_keys), keys, "left_semi"), keys, probs,
-                          max_exact, accuracy, max_rounds)
-    return small.unionByName(large)
-
-
-def _large_groups(vals: DataFrame, keys: list[str], probs: Sequence[float], max_exact: int,
-                  accuracy: int, max_rounds: int) -> DataFrame:
-    """Bracket search for groups too large to sort in one task."""
-    spark = vals.sparkSession
-    margin = 4.0 / accuracy
-    qgrid = sorted({min(1.0, max(0.0, p + s * margin)) for p in probs for s in (-1, 1)})
-    stats = vals.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("_x", F.array(*[F.lit(q) for q in qgrid]), accuracy).alias("_aq")).collect()
-
-    # driver-side state is per (group, target) — bounded by groups x probs
-    targets = {}
-    tid = 0
-    for row in stats:
-        key = tuple(row[k] for k in keys)
-        n = row["_n"]
-        approx = dict(zip(qgrid, row["_aq"]))
-        for pi, p, lo, hi, frac in _targets_for(n, probs):
-            for k in {lo, hi}:
-                if n <= max_exact:
-                    L, U = -INF, INF
-                else:
-                    L = approx[min(1.0, max(0.0, p - margin))]
-                    U = approx[min(1.0, max(0.0, p + margin))]
-                targets[tid] = dict(key=key, n=n, k=k, L=L, U=U)
-                tid += 1
-    if not targets:
-        schema = vals.select(*keys).schema
-        for f_ in (T.StructField("prob_idx", T.IntegerType()), T.StructField("prob", T.DoubleType()),
-                   T.StructField("n", T.LongType()), T.StructField("value", T.DoubleType())):
-            schema = schema.add(f_)
-        return spark.createDataFrame([], schema)
-
-    key_schema = vals.select(*keys).schema
-    br_schema = T.StructType(list(key_schema.fields) + [
-        T.StructField("tid", T.IntegerType()), T.StructField("L", T.DoubleType()),
-        T.StructField("U", T.DoubleType())])
-
-    def br_frame(ids):
-        return small_frame(spark, [(*targets[i]["key"], i, targets[i]["L"], targets[i]["U"]) for i in ids],
-                           br_schema)
-
-    pending = [i for i, t in targets.items() if t["L"] != -INF or t["U"] != INF]
-    for t in targets.values():
-        if t["L"] == -INF and t["U"] == INF:
-            t["below"], t["cnt"] = 0, t["n"]
-    for _ in range(max_rounds):
-        if not pending:
-            break
-        counts = _bracket_counts(vals, keys, "_x", br_frame(pending)).collect()
-        widen, refine = [], []
-        for r in counts:
-            t = targets[r["tid"]]
-            if not (r["below"] <= t["k"] < r["upto"]):
-                widen.append(r["tid"])  # sketch missed: fall back to the whole group
-                t["L"], t["U"], t["below"], t["cnt"] = -INF, INF, 0, t["n"]
-                continue
-            t["below"], t["cnt"] = r["below"], r["upto"] - r["below"]
-            if t["cnt"] > max_exact:
-                refine.append(r["tid"])
-        if not refine:
-            break
-        mem = _members(vals, keys, "_x", br_frame(refine))
-        grid = [i / GRID for i in range(GRID + 1)]
-        qa = mem.groupBy("tid").agg(
-            F.percentile_approx("_v", F.array(*[F.lit(g) for g in grid]), accuracy).alias("_g")).collect()
-        for r in qa:
-            t = targets[r["tid"]]
-            q = (t["k"] - t["below"] + 1) / t["cnt"]
-            lo_i = max(0, int(math.floor((q - margin) * GRID)) - 1)
-            hi_i = min(GRID, int(math.ceil((q + margin) * GRID)) + 1)
-            t["L"], t["U"] = r["_g"][lo_i], r["_g"][hi_i]
-        pending = refine
-
-    # targets sharing a bracket (e.g. the whole group) are ranked once
-    bids, tid_bid = {}, {}
-    for i, t in targets.items():
-        tid_bid[i] = bids.setdefault((t["key"], t["L"], t["U"]), len(bids))
-    final = small_frame(spark, [(*key, b, L, U) for (key, L, U), b in bids.items()], br_schema)
-    mem = _members(vals, keys, "_x", final)
-    wanted = small_frame(spark, sorted({(tid_bid[i], int(t["k"] - t["below"])) for i, t in targets.items()}),
-                         T.StructType([T.StructField("_wtid", T.IntegerType()), T.StructField("_pos", T.LongType())]))
-    w = Window.partitionBy("tid").orderBy("_v")
-    picked = mem.withColumn("_rn", F.row_number().over(w) - 1) \
-        .join(F.broadcast(wanted), (F.col("tid") == F.col("_wtid")) & (F.col("_rn") == F.col("_pos")), "left_semi") \
-        .select("tid", "_rn", "_v").collect()
-    got = {(r["tid"], r["_rn"]): r["_v"] for r in picked}
-    xk = {i: got.get((tid_bid[i], int(t["k"] - t["below"]))) for i, t in targets.items()}
-
-    # assemble (driver holds groups x probs numbers only)
-    rows = []
-    by_key = {}
-    for i, t in targets.items():
-        by_key.setdefault(t["key"], {})[t["k"]] = xk.get(i)
-    for row in stats:
-        key = tuple(row[k] for k in keys)
-        n = row["_n"]
-        for pi, p, lo, hi, frac in _targets_for(n, probs):
-            a, b = by_key[key].get(lo), by_key[key].get(hi)
-            val = a if frac == 0 or a == b else a + (b - a) * frac
-            rows.append((*key, pi, float(p), int(n), float(val)))
-    out_schema = T.StructType(list(key_schema.fields) + [
-        T.StructField("prob_idx", T.IntegerType()), T.StructField("prob", T.DoubleType()),
-        T.StructField("n", T.LongType()), T.StructField("value", T.DoubleType())])
-    return small_frame(spark, rows, out_schema)
+    counts = long.select(*keys, F.col(value).cast("double").alias("_x")) \
+        .filter(F.col("_x").isNotNull() & ~F.isnan("_x")) \
+        .groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_c")).withColumn("_b", value_bucket(F.col("_x")))
+
+    whole = Window.partitionBy(*keys)
+    before = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    hist = counts.groupBy(*keys, "_b").agg(F.sum("_c").alias("_c")).select(
+        *keys, "_b", "_c", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"), F.sum("_c").over(whole).alias("_n"))
+    last = F.col("_n") - 1
+    ranks = []
+    for i, p in enumerate(probs):
+        lo = F.floor(last * F.lit(float(p))).cast("long")
+        ranks += [F.struct(F.lit(i).alias("i"), F.lit(k).alias("k"), r.alias("rank")) for k, r in ((0, lo), (1, F.least(lo + 1, last)))]
+    inside = F.filter(F.array(*ranks), lambda r: (r["rank"] >= F.col("_off")) & (r["rank"] < F.col("_off") + F.col("_c")))
+    wanted = hist.select(*keys, "_b", "_off", "_n", inside.alias("_r")).filter(F.size("_r") > 0)
+
+    within = Window.partitionBy(*keys, "_b").orderBy("_x")
+    found = counts.join(wanted, [*keys, "_b"]).select(
+        *keys, "_x", "_n", "_r", "_c", (F.col("_off") + F.sum("_c").over(within)).alias("_end"))
+    hit = F.filter("_r", lambda r: (r["rank"] < F.col("_end")) & (r["rank"] >= F.col("_end") - F.col("_c")))
+    picked = found.select(*keys, "_x", "_n", F.explode(hit).alias("_r"))
+    both = picked.groupBy(*keys, F.col("_r.i").alias("prob_idx")).agg(
+        F.max("_n").alias("n"), F.max(F.when(F.col("_r.k") == 0, F.col("_x"))).alias("_a"),
+        F.max(F.when(F.col("_r.k") == 1, F.col("_x"))).alias("_z"))
+    prob = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("prob_idx") + 1)
+    h = (F.col("n") - 1) * F.col("prob")
+    frac = h - F.floor(h)
+    return both.withColumn("prob", prob).select(
+        *keys, "prob_idx", "prob", "n",
+        F.when((frac == 0) | (F.col("_a") == F.col("_z")), F.col("_a"))
+        .otherwise(F.col("_a") + (F.col("_z") - F.col("_a")) * frac).alias("value"))
 
 
 def to_long(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (),
