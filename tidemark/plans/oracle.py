@@ -723,24 +723,22 @@ WITH o AS (SELECT o_orderkey AS sample_id, o_orderdate AS ts, CASE WHEN o_orders
            FROM orders),
 m AS (SELECT o.*, CAST(r.model_id AS INTEGER) AS model_id, {PF('r.model_id', 'o.sample_id', 'o.label')} AS p
       FROM o, (SELECT range AS model_id FROM range(5)) r),
-b AS (SELECT time_bucket(INTERVAL '30 days', ts, TIMESTAMP '1970-01-01') AS window_start, * FROM m),
-wm AS (SELECT max(ts) - INTERVAL '1 day' AS wmark FROM o)
+b AS (SELECT time_bucket(INTERVAL '30 days', ts, TIMESTAMP '1970-01-01') AS window_start, * FROM m)
 SELECT window_start, model_id, round({ACC('p >= 0.5')}, 6) AS accuracy, count(*) AS n
-FROM b, wm WHERE window_start + INTERVAL '30 days' <= wmark
+FROM b
 GROUP BY window_start, model_id"""
 
 ORACLES["stream_psi"] = _s("drift") + DRIFT_CTES + """,
 ev AS (SELECT ts, CAST(value AS DOUBLE) AS value, CAST(user_id AS DOUBLE) AS user_id,
               CAST(json_extract_string(props, '$.k') AS DOUBLE) AS prop_k, CAST(hour(ts) AS DOUBLE) AS hour FROM events),
 evl AS (SELECT * FROM ev UNPIVOT INCLUDE NULLS (value FOR feature IN (value, user_id, prop_k, hour))),
-wm AS (SELECT max(ts) - INTERVAL '1 hour' AS wmark FROM events),
 evb AS (SELECT time_bucket(INTERVAL '1 day', e.ts, TIMESTAMP '1970-01-01') AS window_start, e.feature,
                CASE WHEN e.value < g.e[1] OR e.value > g.e[len(g.e)] THEN NULL
                     WHEN len(list_filter(g.e, lambda x: x <= e.value)) - 1 >= len(g.e) - 1 THEN len(g.e) - 2
                     ELSE len(list_filter(g.e, lambda x: x <= e.value)) - 1 END AS bucket
         FROM evl e JOIN edges g USING (feature) WHERE e.value IS NOT NULL AND len(g.e) >= 2),
-dcn AS (SELECT window_start, feature, bucket, count(*) AS dc FROM evb, wm
-        WHERE bucket IS NOT NULL AND window_start + INTERVAL '1 day' <= wmark GROUP BY ALL),
+dcn AS (SELECT window_start, feature, bucket, count(*) AS dc FROM evb
+        WHERE bucket IS NOT NULL GROUP BY ALL),
 wins AS (SELECT DISTINCT window_start, feature FROM dcn),
 trc AS (SELECT sp.feature, sp.bucket, coalesce(c.tc, 0) AS tc FROM spine sp
         LEFT JOIN (SELECT feature, bucket, count(*) FILTER (WHERE side = 'train') AS tc FROM bk

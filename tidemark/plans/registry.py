@@ -617,6 +617,8 @@ def grid_search(spark, d):
 
 
 # --- streaming (rows-only: results are the batch operators' over a stream) ---------
+from pyspark.sql import types as T  # noqa: E402
+from tidemark.operators.quantiles import small_frame, to_long  # noqa: E402
 from tidemark.streaming import monitor as Z  # noqa: E402
 
 
@@ -631,7 +633,8 @@ def stream_scoring(spark, d):
     decided and explained — all narrow."""
     w, a = _weights(spark, d)
     orders = Z.read_stream_table(spark, d, "orders")
-    s = FX._samples(spark, d, orders=orders)
+    lines = FX.reuse(spark, ("order_lines", d), lambda: FX.order_lines(spark, d))  # once, not in every micro-batch
+    s = FX._samples(spark, d, orders=orders, lines=lines)
     s = s.select("*", *[FX.pseudo_probability(FX.model_uniform(i, F.col("sample_id")), F.col("label")).alias(f"p_{i}")
                         for i in range(K)])
     dec = DC.decide(s, PCOLS, w, a)
@@ -645,18 +648,15 @@ def stream_scoring(spark, d):
 @query
 def stream_psi(spark, d):
     """Daily drift of event features against the train edges (batch
-    exact quantiles of the train side), PSI per closed day."""
+    exact quantiles of the train side), PSI per day of the whole input."""
     tr, _ = _drift_frames(spark, d)
-    edges = {r["feature"]: r["edges"] for r in D.psi_edges(
-        __import__("tidemark.operators.quantiles", fromlist=["to_long"]).to_long(tr, FX.DRIFT_FEATURES)
-    ).collect()}
+    edges = {r["feature"]: r["edges"] for r in D.psi_edges(to_long(tr, FX.DRIFT_FEATURES)).collect()}
     edges = {k: v for k, v in edges.items() if len(v) >= 2}
     ev = Z.read_stream_table(spark, d, "events").select(
         "ts", F.col("value").cast("double").alias("value"), F.col("user_id").cast("double").alias("user_id"),
         F.get_json_object("props", "$.k").cast("double").alias("prop_k"), F.hour("ts").cast("double").alias("hour"))
-    counts = spark.read.parquet(Z.run_to_files(Z.stream_bucket_counts(ev, "ts", edges), "psi-" + _tag(d)))
-    from tidemark.operators.quantiles import small_frame, to_long
-    from pyspark.sql import types as T
+    run = Z.run_windowed(spark, lambda end: Z.stream_bucket_counts(ev, "ts", edges, marker=end), "psi-" + _tag(d))
+    counts = spark.read.parquet(run.path)
     ef = small_frame(spark, [(k, [float(x) for x in v]) for k, v in edges.items()],
                      T.StructType([T.StructField("feature", T.StringType()),
                                    T.StructField("edges", T.ArrayType(T.DoubleType()))]))
@@ -678,7 +678,8 @@ def stream_accuracy(spark, d):
         F.col("o_orderkey").alias("sample_id"), "o_orderdate",
         F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("label"))
     o = o.withColumn("model_id", F.explode(F.sequence(F.lit(0), F.lit(K - 1)))).withColumn("p", _p_of(F.col("model_id")))
-    acc = Z.stream_window_accuracy(o, "o_orderdate", "model_id", F.col("p") >= 0.5, "label")
-    out = spark.read.parquet(Z.run_to_files(acc, "accuracy-" + _tag(d)))
+    run = Z.run_windowed(spark, lambda end: Z.stream_window_accuracy(
+        o, "o_orderdate", "model_id", F.col("p") >= 0.5, "label", marker=end), "accuracy-" + _tag(d))
+    out = spark.read.parquet(run.path)
     return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                       F.col("model_id").cast("int").alias("model_id"), r6("accuracy").alias("accuracy"), "n")

@@ -77,11 +77,12 @@ def samples(spark: SparkSession, sf_dir: str, keep_lists: bool = False) -> DataF
     return reuse(spark, ("samples", sf_dir, keep_lists), lambda: _samples(spark, sf_dir, keep_lists))
 
 
-def _samples(spark: SparkSession, sf_dir: str, keep_lists: bool = False, orders: DataFrame | None = None) -> DataFrame:
-    """Build the sample rows; ``orders`` may be a streaming frame (the
-    lineitem rollup is then a static side of a stream-static join)."""
+def _samples(spark: SparkSession, sf_dir: str, keep_lists: bool = False, orders: DataFrame | None = None,
+             lines: DataFrame | None = None) -> DataFrame:
+    """Build the sample rows; ``orders`` may be a streaming frame, joined to
+    ``lines``, the lineitem rollup as a written table."""
     o = orders if orders is not None else table(spark, sf_dir, "orders")
-    lines = order_lines(spark, sf_dir)
+    lines = lines if lines is not None else order_lines(spark, sf_dir)
     j = o.join(lines, o.o_orderkey == lines.l_orderkey, "left")
     k = F.col("o_orderkey")
     label = F.when(F.col("o_orderstatus") == "F", 1).otherwise(0)
