@@ -77,3 +77,26 @@ def test_prevalence_sample(spark):
     df = spark.range(5000).withColumnRenamed("id", "sample_id").withColumn("label", (F.col("sample_id") % 3 == 0).cast("int"))
     s = S.prevalence_sample(df, R, 500, 0.10)
     assert s.count() == 500 and s.filter("label = 1").count() == 50
+
+
+def test_bad_input_raises(spark):
+    import pytest
+    kind = "sample_id STRING, label INT, sample_date DATE"
+    from datetime import date
+    good = [("a", 1, date(2020, 1, 1)), ("b", 1, date(2020, 2, 1)), ("c", 0, None)]
+    for bad, words in ((("x", 1, None), "lack a value"), (("x", None, None), "other than 0 and 1"), (("x", 2, None), "other than 0 and 1")):
+        with pytest.raises(ValueError, match=words):
+            S.temporal_split(spark.createDataFrame([*good, bad], kind), R)
+    with pytest.raises(ValueError, match="label 1"):
+        S.temporal_split(spark.createDataFrame(good[2:], kind), R)
+
+
+def test_no_row_is_lost(spark):
+    from datetime import date
+    kind = "sample_id STRING, label INT, sample_date DATE, window_id INT"
+    rows = [(f"p{i}", 1, date(2020, 1, 1 + i % 5) if i % 4 else None, i % 2) for i in range(40)]
+    rows += [(f"n{i}", 0, None, i % 2) for i in range(11)] + [("u", None, None, 0)]
+    df = spark.createDataFrame(rows, kind)
+    assert S.random_split(df, R).count() == 52
+    tail = S.calibration_tail(df.filter("label IS NOT NULL"), R, 0.15)
+    assert tail.count() == 51 and tail.filter("sample_date IS NULL AND label = 1 AND part = 'calibration'").count() == 0

@@ -14,13 +14,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.config import Roles, SEED, TEST_FRACTION
-from tidemark.operators.ranking import seeded_rank
+from tidemark.operators.quantiles import exact_quantiles
+from tidemark.operators.ranking import seeded_hash, seeded_rank
 
 
 def _require(df: DataFrame, *cols: str) -> None:
     missing = [c for c in cols if c not in df.columns]
     if missing:
-        raise ValueError(f"Missing required column(s): {missing}")
+        raise ValueError(f"no column named {', '.join(missing)}")
 
 
 def _ts_micros(c: Column) -> Column:
@@ -30,8 +31,8 @@ def _ts_micros(c: Column) -> Column:
 
 def random_split(df: DataFrame, roles: Roles = Roles(), fraction: float = TEST_FRACTION,
                  seed: int = SEED, out: str = "split") -> DataFrame:
-    """Stratified by label; per class the first ``ceil(n*fraction)`` rows
-    in seeded order are 'test'."""
+    """Stratified by label (null labels are a class of their own); per class
+    the first ``ceil(n*fraction)`` rows in seeded order are 'test'."""
     _require(df, roles.label, roles.id)
     r = seeded_rank(df, roles.id, seed, by=[roles.label], out="_r")
     n_test = F.ceil(F.col("_r_n") * F.lit(fraction))
@@ -39,40 +40,49 @@ def random_split(df: DataFrame, roles: Roles = Roles(), fraction: float = TEST_F
 
 
 def temporal_cutoff(df: DataFrame, roles: Roles = Roles(), fraction: float = TEST_FRACTION) -> DataFrame:
-    """T2 (first half): one-row frame (cutoff, n_pos, n_test_target).
+    """T2 (first half): one-row frame (cutoff, n_pos, n_pos_test).
 
-    Daily histogram of positive dates -> running count over the (small) day
-    table -> the date at 0-based position ``n - max(round_half_even(n*f), 1)``.
+    The cutoff is the date at 0-based position ``n - max(round_half_even(n*f),
+    1)`` among the positives. Running counts over calendar days find its day;
+    if the role has a time of day, running counts within that day find it.
     """
-    pos = df.filter(F.col(roles.label) == 1)
-    days = pos.groupBy(F.col(roles.date).alias("d")).agg(F.count(F.lit(1)).alias("c"))
-    w = Window.orderBy("d").rowsBetween(Window.unboundedPreceding, 0)
-    tot = Window.partitionBy(F.lit(1))
-    cum = days.select("d", F.sum("c").over(w).alias("cum"), F.sum("c").over(tot).alias("n"))
-    n_test = F.greatest(F.bround(F.col("n") * F.lit(fraction), 0).cast("long"), F.lit(1))
-    idx = F.col("n") - n_test  # 0-based position of the cutoff row
-    return (cum.filter(F.col("cum") > idx)
-            .groupBy().agg(F.min("d").alias("cutoff"), F.first("n").alias("n_pos"))
-            .select("cutoff", "n_pos",
-                    F.greatest(F.bround(F.col("n_pos") * F.lit(fraction), 0).cast("long"), F.lit(1)).alias("n_pos_test")))
+    date = F.col(roles.date)
+    pos = df.filter((F.col(roles.label) == 1) & date.isNotNull())
+    days = pos.groupBy(F.to_date(date).alias("d")).agg(F.count(F.lit(1)).alias("c"))
+    cum = days.select("d", "c", F.sum("c").over(Window.orderBy("d")).alias("cum"),  # one row per calendar day
+                      F.sum("c").over(Window.partitionBy(F.lit(1))).alias("n_pos"))
+    n_test = F.greatest(F.bround(F.col("n_pos") * F.lit(fraction), 0).cast("long"), F.lit(1))
+    day = cum.withColumn("n_pos_test", n_test).filter(F.col("cum") > F.col("n_pos") - F.col("n_pos_test")).groupBy().agg(
+        F.min("d").alias("d"), F.min(F.col("cum")).alias("cum"), F.min_by("c", "d").alias("c"),
+        F.first("n_pos").alias("n_pos"), F.first("n_pos_test").alias("n_pos_test"))
+    times = pos.groupBy(date.alias("t")).agg(F.count(F.lit(1)).alias("k"))
+    within = times.join(F.broadcast(day), F.to_date("t") == F.col("d")).withColumn(
+        "upto", F.col("cum") - F.col("c") + F.sum("k").over(Window.partitionBy("d").orderBy("t")))
+    return within.filter(F.col("upto") > F.col("n_pos") - F.col("n_pos_test")).groupBy("n_pos", "n_pos_test").agg(
+        F.min("t").alias("cutoff")).select("cutoff", "n_pos", "n_pos_test")
 
 
 def check_temporal_input(df: DataFrame, roles: Roles = Roles()) -> None:
-    """Raise when there are no positives or some positive lacks a date
-    (one aggregation action)."""
+    """Raise unless there are positives, all of them dated, and every label
+    is 0 or 1 (one aggregation action)."""
     _require(df, roles.label, roles.date)
-    row = df.agg(F.count_if(F.col(roles.label) == 1).alias("pos"),
-                 F.count_if((F.col(roles.label) == 1) & F.col(roles.date).isNull()).alias("undated")).first()
+    label, date = F.col(roles.label), F.col(roles.date)
+    row = df.agg(F.count_if(label == 1).alias("pos"), F.count_if((label == 1) & date.isNull()).alias("undated"),
+                 F.count_if(~F.coalesce(label.isin(0, 1), F.lit(False))).alias("other")).first()
+    if row["other"]:
+        raise ValueError(f"{row['other']} rows have a label other than 0 and 1")
     if not row["pos"]:
-        raise ValueError("Cannot do temporal split: no positive samples.")
+        raise ValueError("no row has label 1, so there are no dates to split by")
     if row["undated"]:
-        raise ValueError(f"{row['undated']} positive rows have no {roles.date!r}.")
+        raise ValueError(f"{row['undated']} rows of label 1 lack a value in {roles.date!r}")
 
 
 def temporal_split(df: DataFrame, roles: Roles = Roles(), fraction: float = TEST_FRACTION,
-                   seed: int = SEED, out: str = "split", validate: bool = False) -> DataFrame:
+                   seed: int = SEED, out: str = "split", validate: bool = True) -> DataFrame:
     """Positives by date (whole cutoff day -> test); negatives (undated)
-    split at random with the same fraction. Adds ``out`` and ``cutoff``.
+    split at random with the same fraction. Adds ``out`` and ``cutoff``. Input
+    that cannot be split by date raises, unless it has been checked before
+    (``validate=False``).
 
     The cutoff is a one-row aggregate joined back (no driver round trip); the
     optimizer broadcasts it.
@@ -81,7 +91,7 @@ def temporal_split(df: DataFrame, roles: Roles = Roles(), fraction: float = TEST
     if validate:
         check_temporal_input(df, roles)
     cut = temporal_cutoff(df, roles, fraction).select("cutoff").scalar()
-    neg = random_split(df.filter(F.col(roles.label) != 1), roles, fraction, seed, out)
+    neg = random_split(df.filter(F.col(roles.label) == 0), roles, fraction, seed, out)
     pos = (df.filter(F.col(roles.label) == 1)
            .withColumn(out, F.when(F.col(roles.date) < cut, "train").otherwise("test")))
     return pos.unionByName(neg).withColumn("cutoff", cut)
@@ -109,15 +119,13 @@ def validate_temporal(split_df: DataFrame, roles: Roles = Roles(), split_col: st
 def window_cutoffs(df: DataFrame, roles: Roles = Roles(), k: int = 5) -> DataFrame:
     """K+1 linearly interpolated quantiles of positive dates, as micros.
 
-    Exact ``percentile`` with a frequency over the day histogram: the
-    aggregation buffer holds one entry per distinct day, not per row.
+    Exact quantiles over the counts of distinct dates, whose ties are combined
+    before the shuffle; a role with a time of day works alike.
     Returns one row per cutoff: (cutoff_idx, cutoff_micros).
     """
     pos = df.filter((F.col(roles.label) == 1) & F.col(roles.date).isNotNull())
-    days = pos.groupBy(_ts_micros(F.col(roles.date)).alias("m")).agg(F.count(F.lit(1)).alias("c"))
-    probs = [i / k for i in range(k + 1)]
-    q = days.agg(F.percentile(F.col("m").cast("double"), F.array(*[F.lit(p) for p in probs]), F.col("c")).alias("q"))
-    return q.select(F.posexplode("q").alias("cutoff_idx", "cutoff_micros"))
+    q = exact_quantiles(pos.select(_ts_micros(F.col(roles.date)).alias("m")), [], "m", [i / k for i in range(k + 1)])
+    return q.select(F.col("prob_idx").alias("cutoff_idx"), F.col("value").alias("cutoff_micros"))
 
 
 def cutoffs_array(cutoffs: DataFrame) -> DataFrame:
@@ -164,12 +172,14 @@ def calibration_tail(windowed: DataFrame, roles: Roles = Roles(), fraction: floa
     """
     pos = windowed.filter(F.col(roles.label) == 1)
     days = pos.groupBy(window_col, F.col(roles.date).alias("_d")).agg(F.count(F.lit(1)).alias("_c"))
-    w_newer = Window.partitionBy(window_col).orderBy(F.col("_d").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    w_newer = Window.partitionBy(window_col).orderBy(F.col("_d").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
     w_tot = Window.partitionBy(window_col)
     days = days.select(window_col, "_d", "_c", F.coalesce(F.sum("_c").over(w_newer), F.lit(0)).alias("_newer"),
                        F.sum("_c").over(w_tot).alias("_npos"))
     days = days.withColumn("_ncal", F.greatest(F.bround(F.col("_npos") * F.lit(fraction), 0), F.lit(1)))
-    p = pos.join(days.withColumnRenamed("_d", roles.date), [window_col, roles.date], "inner")
+    days = days.withColumnsRenamed({"_d": "_day", window_col: "_win"})
+    p = pos.join(days, (F.col(window_col) == F.col("_win")) & F.col(roles.date).eqNullSafe(F.col("_day"))).drop("_day", "_win")
+    # undated positives count as the oldest ones
     whole_in = F.col("_newer") + F.col("_c") <= F.col("_ncal")
     whole_out = F.col("_newer") >= F.col("_ncal")
     settled = p.filter(whole_in | whole_out).withColumn(
@@ -194,20 +204,33 @@ def assign_folds(df: DataFrame, roles: Roles = Roles(), k: int = 10, seed: int =
     return r.withColumn(out, F.pmod(F.col("_r"), F.lit(k)).cast("int")).drop("_r", "_r_n")
 
 
+def _smallest(df: DataFrame, roles: Roles, counts: dict, seed: int) -> DataFrame:
+    """The first ``counts[label]`` rows of each listed label in seeded order, with
+    their hash in ``_h`` and their 0-based place in ``_r``. Every task passes on
+    no more rows of a label than asked for, so nothing else is shuffled."""
+    hashed = df.withColumn("_h", F.coalesce(seeded_hash(roles.id, seed), F.lit("")))
+    parts = []
+    for label, n in counts.items():
+        first = hashed.filter(F.col(roles.label) == label).orderBy("_h", roles.id).limit(n)
+        parts.append(first.withColumn("_r", (F.row_number().over(Window.partitionBy(roles.label).orderBy("_h", roles.id)) - 1).cast("long")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def prevalence_sample(df: DataFrame, roles: Roles = Roles(), n: int = 500, rate: float = 0.10,
                       seed: int = SEED) -> DataFrame:
     """Exactly ``round(n*rate)`` positives and ``n - that`` negatives,
     without replacement, in seeded (shuffled) order — a sampling operator, so
     the limit is the feature. Adds ``sample_pos`` (0-based order)."""
     n_pos = int(round(n * rate))
-    r = seeded_rank(df, roles.id, seed, by=[roles.label], out="_r", keep_hash="_h")
-    picked = r.filter(((F.col(roles.label) == 1) & (F.col("_r") < n_pos)) |
-                      ((F.col(roles.label) != 1) & (F.col("_r") < n - n_pos)))
+    picked = _smallest(df, roles, {1: n_pos, 0: n - n_pos}, seed)
     w = Window.orderBy("_h2")
     # at most n rows reach this window by construction
     return (picked.withColumn("_h2", F.md5(F.concat(F.lit(f"{seed}:shuffle:"), F.col(roles.id).cast("string"))))
             .withColumn("sample_pos", F.row_number().over(w) - 1)
-            .drop("_r", "_r_n", "_h", "_h2"))
+            .drop("_r", "_h", "_h2"))
 
 
 def per_class_sample(df: DataFrame, roles: Roles = Roles(), counts: dict | None = None,
@@ -215,16 +238,11 @@ def per_class_sample(df: DataFrame, roles: Roles = Roles(), counts: dict | None
     """A fixed number of rows per class (default 3 positives, 2 negatives)
     in seeded order, with ``pick`` = 0-based position inside the class and,
     when ``label_names`` is given, a ``label_name`` column."""
-    counts = counts or {1: 3, 0: 2}
+    picked = _smallest(df, roles, counts or {1: 3, 0: 2}, seed).withColumnRenamed("_r", "pick").drop("_h")
     if label_names:
         m = F.create_map(*[x for k, v in label_names.items() for x in (F.lit(k), F.lit(v))])
-        df = df.withColumn("label_name", m[F.col(roles.label)])
-    r = seeded_rank(df, roles.id, seed, by=[roles.label], out="pick")
-    cond = None
-    for lab, c in counts.items():
-        term = (F.col(roles.label) == lab) & (F.col("pick") < c)
-        cond = term if cond is None else cond | term
-    return r.filter(cond).drop("pick_n")
+        picked = picked.withColumn("label_name", m[F.col(roles.label)])
+    return picked
 
 
 def first_months_per_year(df: DataFrame, date_col: str, months: int = 1) -> DataFrame:

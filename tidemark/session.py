@@ -1,13 +1,16 @@
 """Session helper.
 
-The cluster owns ``spark.checkpoint.dir``; we only fill it in when it is
-unset (local tests), and never use a machine-local folder otherwise.
+The cluster owns ``spark.checkpoint.dir``; we only fill it in when it is unset
+in a local session (tests), and never use a machine-local folder otherwise.
 """
 
 from __future__ import annotations
 
-import os
+import atexit
+import re
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -43,37 +46,39 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
-    Read from ``spark.checkpoint.dir``; only when it is unset (local runs,
-    tests) a scratch folder is created and registered.
+    Read from ``spark.checkpoint.dir``. Where it is unset, a local session
+    (driver and executors in one process) gets a scratch folder that goes when
+    the process ends; on a cluster there is no folder to fall back on.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="tidemark-ckpt-")
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
 
 
-def cut_lineage(df, eager: bool = True):
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
-
-
 def materialize(df, name: str):
     """Cut the lineage of a reused intermediate: write it as Parquet into the
     shared checkpoint folder and read it back. Later plans are a plain scan
     with real size statistics (so planning stays cheap and broadcast
     decisions are informed), and the data survives executor loss."""
-    import uuid
     spark = df.sparkSession
     path = scratch_path(spark, f"materialized/{name}-{uuid.uuid4().hex[:12]}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Delete all that this application wrote into the shared folder. Frames
+    that read it must not be used any more."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, ""))
+    root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for written tables."""
-    return os.path.join(checkpoint_dir(spark), name)
+    """A sub-folder, of this application, of the shared checkpoint folder."""
+    return "/".join(x for x in (checkpoint_dir(spark).rstrip("/"), f"tidemark-{spark.sparkContext.applicationId}", name) if x)
