@@ -69,3 +69,11 @@ def test_engineer_missing_sources(spark):
 @pytest.mark.parametrize("n,v", [(0, 1), (5, 0), (50, 0), (150, 1)])
 def test_dll_anomaly(spark, n, v):
     assert spark.range(1).select(FE.count_anomaly(F.lit(n), 100).alias("v")).first()["v"] == v
+
+
+def test_literals_with_white_space_and_bare_words(spark):
+    from tidemark.functions import lists as L
+    cases = {"\n['a','b']": ["a", "b"], "\t[ 'a' ]\n": ["a"], "[null, true]": [], "['null', 'x,true,y']": ["null", "x,true,y"],
+             "a |\tb": ["a", "b"], "[1, 2]": ["1", "2"], "['a', NaN]": []}
+    df = spark.createDataFrame([(k,) for k in cases], "s STRING").select("s", L.list_from_literal("s").alias("v"))
+    assert {r["s"]: r["v"] for r in df.collect()} == cases

@@ -20,11 +20,24 @@ def _c(x: str | Column) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+#: What surrounds a literal or a token without being part of it.
+_SPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
+#: A quoted string, and words that are values in JSON but not in a list literal.
+_QUOTED = r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*\""""
+_JSON_WORDS = r"[\[,]\s*(?:null|true|false|NaN|[+-]?Infinity|[+-]?INF)\s*[,\]]"
+
+
+def _strip(s: Column) -> Column:
+    return F.btrim(s, F.lit(_SPACE))
+
+
 def _bracket_parse(s: Column) -> Column:
     """Parse a bracketed literal to array<string>; NULL when malformed.
-    A trailing comma (valid in Python, not in JSON) is removed first."""
+    A trailing comma (valid in the literal, not in JSON) is removed first, and
+    bare words that only JSON knows make it malformed."""
     cleaned = F.regexp_replace(s, r",\s*\]$", "]")
-    return F.from_json(cleaned, "array<string>", _JSON_OPTS)
+    bare = F.regexp_replace(cleaned, _QUOTED, "''")
+    return F.when(~bare.rlike(_JSON_WORDS), F.from_json(cleaned, "array<string>", _JSON_OPTS))
 
 
 def list_from_literal(col: str | Column) -> Column:
@@ -35,9 +48,9 @@ def list_from_literal(col: str | Column) -> Column:
     literal, any failure -> []. Nested lists come back as one stringified
     element each.
     """
-    s = F.trim(_c(col))
-    tokens = F.filter(F.split(s, r"[|,]"), lambda t: F.trim(t) != "")
-    plain = F.transform(tokens, lambda t: F.regexp_replace(F.trim(t), r"^['\"]+|['\"]+$", ""))
+    s = _strip(_c(col))
+    tokens = F.filter(F.split(s, r"[|,]"), lambda t: _strip(t) != "")
+    plain = F.transform(tokens, lambda t: F.regexp_replace(_strip(t), r"^['\"]+|['\"]+$", ""))
     empty = F.array().cast("array<string>")
     return (F.when(s.isNull() | (s == ""), empty)
             .when(~s.startswith("["), plain)
@@ -49,7 +62,7 @@ def parse_status(col: str | Column) -> Column:
 
     Exposes the cases F1 silently maps to [] — e.g. truncated long lists.
     """
-    s = F.trim(_c(col))
+    s = _strip(_c(col))
     return (F.when(s.isNull() | (s == ""), "empty")
             .when(s.startswith("[") & _bracket_parse(s).isNull(), "malformed")
             .otherwise("ok"))

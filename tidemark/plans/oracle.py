@@ -688,9 +688,9 @@ FROM ex e LEFT JOIN tech t USING (sample_id)"""
 ORACLES["recommended_actions"] = _s("scores") + EXPLAIN_CTES + f"""
 SELECT sample_id, verdict,
        CASE verdict WHEN 'BLOCKED_MALWARE' THEN 5 WHEN 'BLOCKED_UNCERTAIN' THEN 4 ELSE 2 END AS n_actions,
-       CASE verdict WHEN 'BLOCKED_MALWARE' THEN {q(XT.ACTIONS['BLOCKED_MALWARE'][0])}
-                    WHEN 'BLOCKED_UNCERTAIN' THEN {q(XT.ACTIONS['BLOCKED_UNCERTAIN'][0])}
-                    ELSE {q(XT.ACTIONS['ALLOWED'][0])} END AS first_action
+       CASE verdict WHEN 'BLOCKED_MALWARE' THEN {q(' || '.join(XT.ACTIONS['BLOCKED_MALWARE']))}
+                    WHEN 'BLOCKED_UNCERTAIN' THEN {q(' || '.join(XT.ACTIONS['BLOCKED_UNCERTAIN']))}
+                    ELSE {q(' || '.join(XT.ACTIONS['ALLOWED']))} END AS actions
 FROM ex"""
 
 _PC = lambda x: f"printf('%.0f%%', ({x}) * 100)"
@@ -717,7 +717,7 @@ ORACLES["per_file_counts"] = """
 SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n FROM orders WHERE o_orderstatus = 'F' GROUP BY 1"""
 
 
-# --- streaming: closed 30-day event-time windows (watermark = latest event - 1 day)
+# --- streaming: all 30-day event-time windows of the input
 ORACLES["stream_accuracy"] = f"""
 WITH o AS (SELECT o_orderkey AS sample_id, o_orderdate AS ts, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS label
            FROM orders),
@@ -759,3 +759,40 @@ SELECT sample_id, verdict, round_even(probability, 4) AS probability, round_even
   END AS summary,
   CAST(len(why) AS INTEGER) AS n_why
 FROM ev2"""
+
+
+ORACLES["date_filtered_scan"] = """
+SELECT o_orderkey AS sample_id, o_totalprice AS size, CAST(o_orderdate AS DATE) AS sample_date FROM orders
+WHERE o_orderstatus = 'F' AND CAST(o_orderdate AS DATE) BETWEEN DATE '1997-01-01' AND DATE '1997-12-31'"""
+
+ORACLES["json_backfill"] = """
+SELECT o_orderkey AS sample_id, CASE WHEN o_orderkey % 7 = 0 OR o_orderkey % 5 = 0 THEN 0.0 ELSE o_totalprice END AS size,
+       CAST(0 AS DOUBLE) AS entropy, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderpriority ELSE '' END AS name FROM orders"""
+
+ORACLES["results_sink"] = """
+SELECT o_orderstatus AS stage, o_orderpriority AS protocol, 'm' AS model_name,
+       count(*) + CASE WHEN o_orderstatus = 'F' THEN 0 ELSE 1000 END AS n FROM orders GROUP BY o_orderstatus, o_orderpriority"""
+
+ORACLES["head_rows"] = "SELECT o_orderkey, o_orderstatus FROM orders ORDER BY o_orderkey LIMIT 10"
+
+ORACLES["key_lookup"] = """
+SELECT o_orderkey AS sample_id, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS label FROM orders
+WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_quantity = 50)"""
+
+ORACLES["schema_inventory"] = """
+WITH a AS (SELECT column_name AS c FROM (DESCRIBE SELECT * FROM documents)),
+b AS (SELECT column_name AS c FROM (DESCRIBE SELECT * FROM benchmark))
+SELECT coalesce(a.c, b.c) AS "column", CASE WHEN a.c IS NULL THEN 'right_only' WHEN b.c IS NULL THEN 'left_only' ELSE 'shared' END AS "where"
+FROM a FULL JOIN b ON a.c = b.c"""
+
+ORACLES["required_columns"] = """
+SELECT o_orderkey AS sample_id, o_totalprice AS total_price, m AS max_discount FROM orders
+JOIN (SELECT l_orderkey, abs(max(l_discount)) AS m FROM lineitem GROUP BY l_orderkey) ON l_orderkey = o_orderkey
+WHERE m IS NOT NULL AND isfinite(m)"""
+
+ORACLES["precondition_counts"] = """
+SELECT count(*) FILTER (o_orderstatus = 'F') AS n_pos, count(*) FILTER (o_orderstatus = 'F' AND o_orderdate IS NULL) AS n_undated FROM orders"""
+
+ORACLES["csv_round_trip"] = """
+SELECT o_orderkey AS sample_id, o_totalprice AS size, o_orderpriority AS "Identify", 0 AS label
+FROM orders WHERE o_orderstatus <> 'F'"""

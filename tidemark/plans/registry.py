@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import uuid
+
 from tidemark.config import FIXTURE
 from tidemark.operators import splits as S
 from tidemark.sources import fixtures as FX
@@ -513,7 +515,7 @@ def matched_techniques(spark, d):
 def recommended_actions(spark, d):
     e = _explained(spark, d)
     return e.select("sample_id", "verdict", F.size("report.recommended_actions").alias("n_actions"),
-                    F.element_at("report.recommended_actions", 1).alias("first_action"))
+                    F.array_join("report.recommended_actions", " || ").alias("actions"))
 
 
 @query
@@ -569,8 +571,85 @@ def combined_load(spark, d):
 
 @query
 def per_file_counts(spark, d):
+    """Rows of each day's files; how many files a day has is up to the writer."""
+    root = _csv_layout(spark, d)
+    return SRC.per_file_counts(spark, root + "/by-day", DAY_DIR).groupBy("day").agg(F.sum("n").alias("n"))
+
+
+@query
+def date_filtered_scan(spark, d):
     root = _csv_layout(spark, d)
-    return SRC.per_file_counts(spark, root + "/by-day", DAY_DIR).select("day", "n")
+    year = lambda day: day.between(F.lit("1997-01-01").cast("date"), F.lit("1997-12-31").cast("date"))
+    x = SRC.read_dated_csv(spark, root + "/by-day", year, DAY_DIR, columns=["MD5", "Size", "Identify"])
+    return x.select(F.col("MD5").cast("long").alias("sample_id"), F.col("Size").cast("double").alias("size"),
+                    F.col("__sample_date").alias("sample_date"))
+
+
+@query
+def csv_round_trip(spark, d):
+    """What the CSV sink wrote, read back, for the undated folder."""
+    root = _csv_layout(spark, d)
+    x = SRC.read_labelled_csv(spark, root + "/undated", label=0)
+    return x.select(F.col("MD5").cast("long").alias("sample_id"), F.col("Size").cast("double").alias("size"), "Identify", F.col("Label").alias("label"))
+
+
+@query
+def json_backfill(spark, d):
+    """Records with missing and unparseable numbers and missing strings."""
+    o = FX.table(spark, d, "orders")
+    k = F.col("o_orderkey")
+    size = F.when(k % 7 == 0, "oops").when(k % 5 != 0, F.col("o_totalprice").cast("string"))
+    path = scratch_path(spark, "json-" + uuid.uuid4().hex[:12])
+    o.select(k.cast("string").alias("Id"), size.alias("Size"), F.when(k % 3 != 0, F.col("o_orderpriority")).alias("Name")).write.json(path)
+    x = SRC.read_records_json(spark, path, ["Id", "Size", "Entropy"], ["Name"])
+    return x.select(F.col("Id").cast("long").alias("sample_id"), F.col("Size").alias("size"),
+                    F.col("Entropy").alias("entropy"), F.col("Name").alias("name"))
+
+
+@query
+def results_sink(spark, d):
+    """S9 + J6: a second write of the results keeps the parts that exist."""
+    o = FX.table(spark, d, "orders").groupBy(F.col("o_orderstatus").alias("stage"), F.col("o_orderpriority").alias("protocol")).agg(
+        F.count(F.lit(1)).alias("n")).withColumn("model_name", F.lit("m"))
+    path = scratch_path(spark, "results-" + uuid.uuid4().hex[:12])
+    SRC.write_results(o.filter("stage = 'F'"), path)
+    SRC.write_results(o.withColumn("n", F.col("n") + 1000), path)
+    back = spark.read.schema(o.schema).parquet(path)
+    return back.select("stage", "protocol", "model_name", "n")
+
+
+@query
+def head_rows(spark, d):
+    """S13 + P12: a report of the first ten orders."""
+    return SRC.head(FX.table(spark, d, "orders").select("o_orderkey", "o_orderstatus"), 10, ["o_orderkey"])
+
+
+@query
+def key_lookup(spark, d):
+    """Samples of the orders that some line of 50 pieces asks for."""
+    ids = FX.table(spark, d, "lineitem").filter(F.col("l_quantity") == 50).select(F.col("l_orderkey").alias("sample_id"))
+    return SRC.lookup(FX.samples(spark, d), ids, "sample_id").select("sample_id", "label")
+
+
+@query
+def schema_inventory(spark, d):
+    x = P.schema_inventory(FX.table(spark, d, "documents"), FX.table(spark, d, "benchmark"))
+    return x.select("column", "where")
+
+
+@query
+def required_columns(spark, d):
+    """P4 + P8: the needed columns, rows with a finite value only."""
+    x = N.require_columns(FX.samples(spark, d), ["sample_id", "total_price", "max_discount"])
+    return N.finite_filter(x, "max_discount")
+
+
+@query
+def precondition_counts(spark, d):
+    """What the temporal split's input check looks at."""
+    s = FX.samples(spark, d)
+    S.check_temporal_input(s, R)
+    return s.agg(F.count_if(F.col("label") == 1).alias("n_pos"), F.count_if((F.col("label") == 1) & F.col("sample_date").isNull()).alias("n_undated"))
 
 
 # --- training (rows-only checks: results depend on MLlib's fitting) -----------------

@@ -6,13 +6,14 @@
   before they are opened.
 * Files whose headers list the same columns in another order are read per
   header group and combined with ``unionByName`` (Spark applies one header
-  by position otherwise).
+  by position otherwise). Finding the headers reads the matching files once
+  more; naming the columns saves that.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,10 @@ from tidemark.config import IDENTIFIER_COLUMNS, NEAR_ZERO_VARIANCE_COLUMNS
 from tidemark.functions.numeric import coerce_numeric, drop_columns
 
 DAY_FILE = r"(\d{4}-\d{2}-\d{2})\.csv$"
-NULL_TOKENS = ("", "NA", "N/A", "NAN", "NULL", "NONE", "#N/A", "-NAN", "NA/NA", "<NA>")
+# Spellings that the study's CSV reader takes as missing (exact,
+# case-sensitive).
+NULL_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+               "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
 
 _STATUS = re.compile(r"path=([^;]+); isDirectory=(\w+)(?:; length=(\d+))?")
@@ -46,48 +50,51 @@ def _fs_list(spark: SparkSession, path: str, suffix: str = ".csv") -> list[tuple
     return sorted(out)
 
 
-def _exists(spark: SparkSession, path: str) -> None:
+def _has_files(spark: SparkSession, path: str) -> bool:
+    """Whether the folder exists and holds any Parquet file."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
-    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
-        raise FileNotFoundError(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return False
+    files = fs.listFiles(p, True)
+    while files.hasNext():
+        if files.next().getPath().getName().endswith(".parquet"):
+            return True
+    return False
 
 
-def _first_line(spark: SparkSession, path: str, encoding: str = "ISO-8859-1") -> str:
+def _exists(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
-    stream = p.getFileSystem(conf).open(p)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, encoding))
-        return reader.readLine() or ""
-    finally:
-        stream.close()
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        raise FileNotFoundError(path)
 
 
-def list_files(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
-    """(path, length) of every file under ``path`` — the ``binaryFile``
-    source with only metadata columns selected, so contents are not read."""
-    return (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob)
-            .load(path).select("path", "length"))
+def _path_date(path: Column, date_regex: str) -> Column:
+    """The date in a file's path; null where there is none."""
+    return F.try_to_date(F.regexp_extract(path, date_regex, 1), "yyyy-MM-dd")
 
 
-def file_headers(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+def file_headers(spark: SparkSession, path: str | Sequence[str], keep: Column | None = None) -> DataFrame:
     """(file, header line) for every file, found by one distributed text
     scan: the first row a task emits from a file's first block is its
-    header. One row per file reaches the driver."""
+    header. One row per file reaches the driver. ``keep``, a condition on
+    ``_metadata`` alone, leaves files out before they are opened."""
     src = path if isinstance(path, str) else list(path)
     t = (spark.read.option("encoding", "ISO-8859-1").option("recursiveFileLookup", True)
-         .option("pathGlobFilter", "*.csv").text(src)
-         .select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("bs"),
-                 F.monotonically_increasing_id().alias("rid"), "value"))
+         .option("pathGlobFilter", "*.csv").text(src))
+    if keep is not None:
+        t = t.filter(keep)
+    t = t.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("bs"),
+                 F.monotonically_increasing_id().alias("rid"), "value")
     return t.filter(F.col("bs") == 0).groupBy("f").agg(F.min_by("value", "rid").alias("header"))
 
 
-def header_groups(spark: SparkSession, path: str | Sequence[str]) -> dict[tuple, list[str]]:
+def header_groups(spark: SparkSession, path: str | Sequence[str], keep: Column | None = None) -> dict[tuple, list[str]]:
     """Group CSV files by their header (column order matters)."""
     groups: dict[tuple, list[str]] = {}
-    for r in file_headers(spark, path).collect():
+    for r in file_headers(spark, path, keep).collect():
         cols = tuple(c.strip().strip('"') for c in (r["header"] or "").split(","))
         groups.setdefault(cols, []).append(r["f"])
     return {k: sorted(v) for k, v in groups.items()}
@@ -100,43 +107,53 @@ def _reader(spark: SparkSession):
 
 
 def normalise_nulls(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Map the usual null spellings to NULL (Spark has a single nullValue)."""
+    """Map the null spellings to NULL (Spark has a single nullValue)."""
     cols = cols or [c for c, t in df.dtypes if t == "string"]
-    return df.withColumns({c: F.when(F.upper(F.trim(F.col(c))).isin(*NULL_TOKENS), None).otherwise(F.col(c))
+    return df.withColumns({c: F.when(F.col(c).isin(*NULL_TOKENS), None).otherwise(F.col(c))
                            for c in cols})
 
 
-def read_csv_strings(spark: SparkSession, path: str) -> DataFrame:
+def read_csv_strings(spark: SparkSession, path: str, keep: Column | None = None,
+                     columns: Sequence[str] | None = None) -> DataFrame:
     """All-string read of every CSV under ``path`` (0-byte files give no
     rows). When all headers agree this is one scan of the folder; files with
     a different column order are read per header group and combined by name.
-    Adds ``_file``."""
-    groups = header_groups(spark, path)
+    ``keep``, a condition on ``_metadata`` alone, leaves files out before they
+    are opened. Where all headers are known to be ``columns``, they are not
+    looked up first, and a file with another header raises. Adds ``_file``."""
+    groups = {tuple(columns): []} if columns else header_groups(spark, path, keep)
     if not groups:
         return spark.createDataFrame([], T.StructType([T.StructField("_file", T.StringType())]))
     parts = []
     for cols, group in groups.items():
         schema = T.StructType([T.StructField(c, T.StringType()) for c in cols])
         src = path if len(groups) == 1 else group
-        parts.append(_reader(spark).schema(schema).csv(src).withColumn("_file", F.col("_metadata.file_path")))
+        part = _reader(spark).option("enforceSchema", columns is None).schema(schema).csv(src)
+        part = part if keep is None else part.filter(keep)
+        parts.append(part.withColumn("_file", F.col("_metadata.file_path")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
     return normalise_nulls(out, [c for c in out.columns if c != "_file"])
 
 
-def read_dated_csv(spark: SparkSession, path: str, date_predicate: Column | None = None,
+def read_dated_csv(spark: SparkSession, path: str, date_predicate: Callable[[Column], Column] | None = None,
                    date_regex: str = DAY_FILE, label: int | None = 1,
-                   label_col: str = "Label", date_col: str = "__sample_date") -> DataFrame:
+                   label_col: str = "Label", date_col: str = "__sample_date",
+                   columns: Sequence[str] | None = None) -> DataFrame:
     """S1 + S2 + P5: every CSV under ``path`` whose path carries a date;
     0-byte files and names without a parseable date yield nothing; ``label``
-    and the date are attached. ``date_predicate`` (a Column on ``date_col``)
-    filters on file metadata, so non-matching files are pruned."""
-    df = read_csv_strings(spark, path)
-    d = F.try_to_date(F.regexp_extract(F.col("_file"), date_regex, 1), "yyyy-MM-dd")
-    df = df.withColumn(date_col, d).filter(F.col(date_col).isNotNull())
+    and the date are attached. ``date_predicate`` turns a date Column into a
+    condition; it filters on file metadata, so other files are opened neither
+    for their rows nor for their headers."""
+    of_file = _path_date(F.col("_metadata.file_path"), date_regex)
+    keep = of_file.isNotNull()
     if date_predicate is not None:
-        df = df.filter(date_predicate)
+        keep = keep & date_predicate(of_file)
+    df = read_csv_strings(spark, path, keep, columns)
+    if "_file" not in df.columns or len(df.columns) == 1:  # no file at all
+        return df.drop("_file").withColumn(date_col, F.lit(None).cast("date"))
+    df = df.withColumn(date_col, _path_date(F.col("_file"), date_regex))
     if label is not None:
         df = df.withColumn(label_col, F.lit(label))
     return df
@@ -198,16 +215,14 @@ def write_results(df: DataFrame, path: str, keys: Sequence[str] = ("stage", "pro
     """S9 + J6: idempotent per part — rows whose key combination already has
     a part are skipped (anti-join with what is on disk); new parts are
     written with dynamic partition overwrite. Returns what was written."""
+    from tidemark.session import materialize
     spark = df.sparkSession
     todo = df
-    if skip_existing:
-        try:
-            done = spark.read.parquet(path).select(*keys).distinct()
-            todo = df.join(done, list(keys), "left_anti")
-        except Exception:  # noqa: BLE001 - nothing written yet
-            pass
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    todo.write.mode("overwrite").partitionBy(*keys).parquet(path)
+    if skip_existing and _has_files(spark, path):
+        done = spark.read.schema(df.schema).parquet(path).select(*keys).distinct()
+        todo = df.join(done, list(keys), "left_anti")
+    todo = materialize(todo, "results")  # what is written must not depend on the folder written to
+    todo.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
     return todo
 
 
@@ -234,19 +249,16 @@ def per_file_counts(spark: SparkSession, path: str, date_regex: str = DAY_FILE)
 
 
 def head(df: DataFrame, n: int = 10, order_by: Sequence[str] = ()) -> DataFrame:
-    """First n rows (deterministic when ``order_by`` is given)."""
-    return (df.orderBy(*order_by) if order_by else df).limit(n)
+    """The first n rows by ``order_by``, or else by all columns."""
+    return df.orderBy(*(order_by or df.columns)).limit(n)
 
 
-def write_daily_csv(df: DataFrame, path: str, date_col: str, salts: int = 4) -> None:
+def write_daily_csv(df: DataFrame, path: str, date_col: str) -> None:
     """Write one CSV folder per day (``<date_col>=YYYY-MM-DD/``), the layout
-    ``read_dated_csv(date_regex=...)`` reads back. Rows are clustered by day
-    and a deterministic row-hash salt, so a day holding most of the rows is
-    written by ``salts`` tasks (several files in its folder), and a retried
-    task rebuilds exactly the same partition."""
-    salt = F.pmod(F.hash(*[F.col(c) for c in df.columns]), F.lit(salts))
-    (df.repartition(F.col(date_col), salt).write.mode("overwrite").option("header", True)
-     .option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+    ``read_dated_csv(date_regex=...)`` reads back. Rows are gathered by day;
+    a day holding most of the rows is split over as many tasks as its size
+    needs, into several files of its folder."""
+    (df.hint("rebalance", F.col(date_col)).write.mode("overwrite").option("header", True)
      .partitionBy(date_col).csv(path))
 
 
