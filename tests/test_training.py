@@ -16,24 +16,47 @@ def dense(spark):
     return spark.createDataFrame(rows, "sample_id INT, label INT, " + ", ".join(f"{c} DOUBLE" for c in cols)), cols
 
 
-def test_registry():
-    assert len(TR.BASELINES) == 4 and len(TR.ADVANCED) == 3
+def test_presets_have_report_names():
+    assert len(TR.PRESETS) == 7 and len(TR.REPORT_NAMES) == 7
 
 
-@pytest.mark.parametrize("name", ["logistic_regression", "decision_tree", "random_forest", "torch_mlp"])
+FEW = {"forest": {"numTrees": 20}, "boosted_depthwise": {"maxIter": 5}, "boosted_leafwise": {"maxIter": 5}, "boosted_symmetric": {"maxIter": 5}}
+
+
+@pytest.mark.parametrize("name", list(TR.PRESETS))
 def test_models_fit(spark, dense, name):
     df, cols = dense
-    fp, model, _ = TR.fit_model(df, TR.REGISTRY[name], cols[:5], cols[5:])
-    out = model.transform(TR._assemble(fp.transform(df, keep=["label"]), fp.columns))
-    out = TR.positive_probability(out)
-    bad = out.filter((F.col("p") >= 0.5).cast("int") != F.col("prediction").cast("int")).count()
-    assert bad == 0
-    assert TR.evaluate(out.select("label", "p"))["auc"] > 0.9
+    preset = TR.PRESETS[name].with_params(**FEW[name]) if name in FEW else TR.PRESETS[name]
+    train, test = df.filter("sample_id < 70"), df.filter("sample_id >= 70")
+    fp, model, _ = TR.fit_model(train, preset, cols[:5], cols[5:])
+    out = TR.positive_probability(model.transform(TR._assemble(fp.transform(test, keep=["label"]), fp.columns)))
+    assert out.filter((F.col("p") >= 0.5).cast("int") != F.col("prediction").cast("int")).count() == 0
+    scores = TR.evaluate(out.select("label", "p"))
+    assert scores["auc"] > 0.9 and scores["accuracy"] > 0.85
+
+
+def test_neural_net_on_unequal_classes(spark, dense):
+    df, cols = dense
+    train = df.filter("sample_id < 80 AND (label = 0 OR sample_id % 5 = 0)")
+    fp, model, _ = TR.fit_model(train, TR.PRESETS["neural_net"], cols[:5], cols[5:])
+    assert TR.evaluate(TR.score(df.filter("sample_id >= 80"), fp, model, ["label"]))["accuracy"] > 0.85
+
+
+def test_a_failing_fit_is_raised_and_a_one_class_fold_skipped(spark, dense):
+    df, cols = dense
+
+    def broken(n_features, n_rows):
+        raise RuntimeError("no such model")
+
+    with pytest.raises(RuntimeError, match="no such model"):
+        TR.cross_validate(df, "x", broken, cols[:5], cols[5:], "random", k=2)
+    one = df.filter("label = 0 OR sample_id = 1")
+    assert TR.cross_validate(one, "tree", TR.PRESETS["tree"], cols[:5], cols[5:], "random", k=3).count() == 0
 
 
 def test_windowed_ensemble(spark, tiny_combined):
     df = tiny_combined.withColumn("label", F.col("label"))
-    ens = TR.fit_windowed(df, TR.make_decision_tree, ["x"], ["y"], k=3)
+    ens = TR.fit_windowed(df, TR.PRESETS["tree"], ["x"], ["y"], k=3)
     assert sum(ens.active) >= 1 and all(0.0 <= a <= 1.0 for a in ens.in_acc)
     res = TR.evaluate_ensemble(ens, df).first()
     assert res["n_test"] == 50 and 0.0 <= res["blocking_accuracy"] <= 1.0
@@ -45,20 +68,22 @@ def test_pipeline_stages_and_save(spark, tiny_combined, tmp_path):
     pm = Pipeline(stages=[Preprocessor(["x"], ["y"])]).fit(tiny_combined)
     out = pm.transform(tiny_combined)
     assert abs(out.agg(F.avg("y")).first()[0]) < 1e-9 and out.count() == 50
-    model = WindowedEnsemble(TR.make_decision_tree, ["x"], ["y"], k=3).fit(tiny_combined)
+    model = WindowedEnsemble(TR.PRESETS["tree"], ["x"], ["y"], k=3).fit(tiny_combined)
     dec = model.transform(tiny_combined.select("sample_id", "label", "x", "y"))
     assert dec.filter("verdict IS NULL").count() == 0
     model.ensemble.save(str(tmp_path / "ens"))
-    import os
-    assert os.path.isdir(tmp_path / "ens" / "meta")
-    assert any(os.path.isdir(tmp_path / "ens" / f"window_{i}" / "model") for i in range(3))
+    again = TR.WindowedEnsemble.load(spark, str(tmp_path / "ens"))
+    key = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    data = tiny_combined.select("sample_id", "label", "x", "y")
+    assert key(again.decide(data, ["sample_id"])) == key(model.ensemble.decide(data, ["sample_id"]))
+    assert again.window_dates == model.ensemble.window_dates and again.active == model.ensemble.active
 
 
 def test_balance_and_batch_score(spark, tiny_combined):
     b = TR.balance_by_resampling(tiny_combined)
     c = {r["label"]: r["count"] for r in b.groupBy("label").count().collect()}
     assert c == {0: 30, 1: 30}
-    ens = TR.fit_windowed(tiny_combined, TR.make_decision_tree, ["x"], ["y"], k=3)
+    ens = TR.fit_windowed(tiny_combined, TR.PRESETS["tree"], ["x"], ["y"], k=3)
     rows, metrics = TR.batch_score(ens, tiny_combined)
     m = metrics.first()
     assert rows.count() == 50 and m["tn"] + m["fp"] + m["fn"] + m["tp"] == 50

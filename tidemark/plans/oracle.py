@@ -796,3 +796,10 @@ SELECT count(*) FILTER (o_orderstatus = 'F') AS n_pos, count(*) FILTER (o_orders
 ORACLES["csv_round_trip"] = """
 SELECT o_orderkey AS sample_id, o_totalprice AS size, o_orderpriority AS "Identify", 0 AS label
 FROM orders WHERE o_orderstatus <> 'F'"""
+
+ORACLES["isotonic_calibration"] = _s("samples") + f""",
+g AS (SELECT {PF('0', 'sample_id', 'label')} AS p, sum(label) AS s, count(*) AS n FROM samples GROUP BY 1),
+c AS (SELECT p, sum(s) OVER (ORDER BY p) AS su, sum(n) OVER (ORDER BY p) AS nu, s, n FROM g),
+m AS (SELECT i.p, j.p AS pj, min((k.su - j.su + j.s) / (k.nu - j.nu + j.n)) AS least
+      FROM c i JOIN c j ON j.p <= i.p JOIN c k ON k.p >= i.p GROUP BY i.p, j.p)
+SELECT p, round(max(least), 6) AS calibrated FROM m GROUP BY p"""

@@ -664,16 +664,16 @@ def _model_input(spark, d):
 def cv_logistic(spark, d):
     t = _temporal(spark, d)
     tr = FE.engineer(t.filter(F.col("split") == "train").drop("cutoff", "split"), SPEC)
-    return TR.cross_validate(tr, "logistic_regression", TR.make_logistic_regression,
+    return TR.cross_validate(tr, "logistic", TR.PRESETS["logistic"],
                              FIXTURE.log_cols, FIXTURE.scale_cols, "temporal", R, k=10)
 
 
 @query
 def holdout_protocols(spark, d):
     x = _model_input(spark, d)
-    r = TR.evaluate_holdout(S.random_split(x, R), "decision_tree", TR.make_decision_tree,
+    r = TR.evaluate_holdout(S.random_split(x, R), "tree", TR.PRESETS["tree"],
                             FIXTURE.log_cols, FIXTURE.scale_cols, "random", R)
-    t = TR.evaluate_holdout(S.temporal_split(x, R).drop("cutoff"), "decision_tree", TR.make_decision_tree,
+    t = TR.evaluate_holdout(S.temporal_split(x, R).drop("cutoff"), "tree", TR.PRESETS["tree"],
                             FIXTURE.log_cols, FIXTURE.scale_cols, "temporal", R)
     return r.unionByName(t)
 
@@ -681,7 +681,7 @@ def holdout_protocols(spark, d):
 @query
 def ensemble_fit_score(spark, d):
     x = _prep_input(spark, d)
-    ens = TR.fit_windowed(x.filter(F.col("split") == "train").drop("cutoff", "split"), TR.make_decision_tree,
+    ens = TR.fit_windowed(x.filter(F.col("split") == "train").drop("cutoff", "split"), TR.PRESETS["tree"],
                           FIXTURE.log_cols, FIXTURE.scale_cols, R)
     return TR.evaluate_ensemble(ens, x.filter(F.col("split") == "test"), R)
 
@@ -690,11 +690,38 @@ def ensemble_fit_score(spark, d):
 def grid_search(spark, d):
     t = _temporal(spark, d)
     tr = FE.engineer(t.filter(F.col("split") == "train").drop("cutoff", "split"), SPEC)
-    return TR.grid_search(tr, TR.make_decision_tree, {"maxDepth": [6, 12], "minInstancesPerNode": [5, 20]},
+    return TR.grid_search(tr, TR.PRESETS["tree"], {"maxDepth": [6, 12], "minInstancesPerNode": [5, 20]},
                           FIXTURE.log_cols, FIXTURE.scale_cols, R, k=3,
                           default={"maxDepth": 12, "minInstancesPerNode": 20})
 
 
+@query
+def batch_scoring(spark, d):
+    """E9 + S11: a saved ensemble, loaded again, scores the labelled test side
+    and the same rows without labels; verdict counts of both and the metrics."""
+    x = _prep_input(spark, d)
+    ens = TR.fit_windowed(x.filter(F.col("split") == "train").drop("cutoff", "split"), TR.PRESETS["tree"],
+                          FIXTURE.log_cols, FIXTURE.scale_cols, R)
+    path = scratch_path(spark, "ensemble-" + uuid.uuid4().hex[:12])
+    ens.save(path)
+    ens = TR.WindowedEnsemble.load(spark, path)
+    test = x.filter(F.col("split") == "test").drop("cutoff", "split")
+    rows, metrics = TR.batch_score(ens, test, R)
+    plain, _ = TR.batch_score(ens, test.drop(R.label), R)
+    same = rows.join(plain.withColumnsRenamed({"verdict": "v", "probability": "p"}).select("sample_id", "v", "p"), "sample_id").agg(
+        F.count_if((F.col("v") == F.col("verdict")) & (F.col("p") == F.col("probability"))).alias("n_same_unlabelled"))
+    return metrics.withColumn("n_same_unlabelled", same.scalar())
+
+
+@query
+def isotonic_calibration(spark, d):
+    """The calibrator fitted on one model's scores, at every score."""
+    from pyspark.ml.regression import IsotonicRegression
+    s = FX.scores_long(spark, d, 1).select("p", F.col("label").cast("double").alias("label"))
+    model = IsotonicRegression(featuresCol="p", labelCol="label", predictionCol="calibrated").fit(s)
+    return model.transform(s.select("p").distinct()).select("p", r6("calibrated").alias("calibrated"))
+
+
 # --- streaming (rows-only: results are the batch operators' over a stream) ---------
 from pyspark.sql import types as T  # noqa: E402
 from tidemark.operators.quantiles import small_frame, to_long  # noqa: E402
