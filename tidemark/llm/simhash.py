@@ -129,12 +129,11 @@ def group_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     marked = written(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     nodes = written(marked.groupBy("fp").agg(F.min("doc_id").alias("low")), "fingerprint-nodes")
-    groups = connected_components(links(nodes))
-    named = nodes.join(groups.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    lowest = named.where(F.col("root") != F.col("fp")).select("root").distinct()
-    shared = named.join(lowest, "root").groupBy("root").agg(F.min("low").alias("component_id"))
-    alone = named.join(lowest, "root", "left_anti").select("fp", "root", F.col("low").alias("component_id"))
-    by_fp = named.join(shared, "root").select("fp", "root", "component_id").unionByName(alone)
+    groups = written(connected_components(links(nodes)), "fingerprint-groups")
+    shared = groups.join(nodes, groups["node"] == nodes["fp"]).groupBy("root").agg(F.min("low").alias("least"))
+    linked = groups.join(shared, "root").select(F.col("node").alias("fp"), "root", "least")
+    by_fp = nodes.join(linked, "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"), F.when(F.col("root").isNull(), F.col("low")).otherwise(F.col("least")).alias("component_id"))
     return marked.join(by_fp, "fp").select("doc_id", "doc_key", "fp", "root", "component_id")
 
 
