@@ -59,7 +59,9 @@ def test_cv_summary_and_gap(spark):
     s = MT.cv_summary(cvd).filter("protocol = 'random'").first()
     assert s["auc_std"] == pytest.approx(round(np.std([0.97 - 0.001 * f for f in range(10)], ddof=1), 4))
     lines = MT.render_report(MT.drift_gap_table(cvd, ho), MT.cv_summary(cvd)).orderBy("line_no").collect()
-    assert lines[0]["line"].startswith("| Model |") and any("xgboost" in r["line"] for r in lines)
+    text = [r["line"] for r in lines]
+    assert [t for t in text if t.startswith("###")] == list(MT.REPORT_TITLES) and sum("| xgboost |" in t for t in text) == 4
+    assert text[4:6] == [MT.REPORT_HEADS[0], "|---|---|---|---|---|---|---|"] and len({r["line_no"] for r in lines}) == len(lines)
 
 
 def test_quantiles_of_repeated_odd_and_extreme_values(spark):

@@ -63,12 +63,12 @@ def test_windowed_ensemble(spark, tiny_combined):
 
 
 def test_pipeline_stages_and_save(spark, tiny_combined, tmp_path):
-    from pyspark.ml import Pipeline
+    from pyspark.ml import Pipeline, PipelineModel
     from tidemark.plans.stages import Preprocessor, WindowedEnsemble
     pm = Pipeline(stages=[Preprocessor(["x"], ["y"])]).fit(tiny_combined)
     out = pm.transform(tiny_combined)
     assert abs(out.agg(F.avg("y")).first()[0]) < 1e-9 and out.count() == 50
-    model = WindowedEnsemble(TR.PRESETS["tree"], ["x"], ["y"], k=3).fit(tiny_combined)
+    model = WindowedEnsemble("tree", ["x"], ["y"], k=3).fit(tiny_combined)
     dec = model.transform(tiny_combined.select("sample_id", "label", "x", "y"))
     assert dec.filter("verdict IS NULL").count() == 0
     model.ensemble.save(str(tmp_path / "ens"))
@@ -76,6 +76,13 @@ def test_pipeline_stages_and_save(spark, tiny_combined, tmp_path):
     key = lambda df: sorted(map(tuple, df.collect()), key=repr)
     data = tiny_combined.select("sample_id", "label", "x", "y")
     assert key(again.decide(data, ["sample_id"])) == key(model.ensemble.decide(data, ["sample_id"]))
+    both = Pipeline(stages=[Preprocessor(["x"], ["y"]), WindowedEnsemble("tree", ["x"], ["y"], k=3)])
+    both.write().overwrite().save(str(tmp_path / "unfitted"))
+    fitted = Pipeline.load(str(tmp_path / "unfitted")).fit(tiny_combined)
+    fitted.write().overwrite().save(str(tmp_path / "fitted"))
+    loaded = PipelineModel.load(str(tmp_path / "fitted"))
+    columns = ["sample_id", "x", "probability", "verdict"]
+    assert key(loaded.transform(tiny_combined).select(*columns)) == key(fitted.transform(tiny_combined).select(*columns))
     assert again.window_dates == model.ensemble.window_dates and again.active == model.ensemble.active
 
 
@@ -90,3 +97,14 @@ def test_balance_and_batch_score(spark, tiny_combined):
     assert m["n_allowed"] + m["n_blocked_malware"] + m["n_blocked_uncertain"] == 50
     rows2, none = TR.batch_score(ens, tiny_combined.drop("label"))
     assert none is None and rows2.count() == 50
+
+
+def test_string_features_can_be_saved(spark, tmp_path):
+    from tidemark.config import FIXTURE
+    from tidemark.functions.features import ENGINEERED
+    from tidemark.plans.stages import StringFeatures
+    from tidemark.sources import fixtures as FX
+    s = FX.samples(spark, "/root/testdata/sf0.001").limit(50)
+    StringFeatures(FIXTURE.features).write().overwrite().save(str(tmp_path / "f"))
+    out = StringFeatures.load(str(tmp_path / "f")).transform(s)
+    assert set(ENGINEERED) <= set(out.columns) and out.count() == 50

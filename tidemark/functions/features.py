@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.config import FeatureSpec
+from tidemark.config import ENGINEERED_FEATURES, FeatureSpec
 from tidemark.functions import lists as L
 
 
@@ -30,9 +30,7 @@ def count_anomaly(n: Column, many: int) -> Column:
     return F.when((n == 0) | (n > many), 1).otherwise(0)
 
 
-ENGINEERED = ("n_imported_dlls", "n_imported_symbols", "identify_is_packed",
-              "identify_signature_count", "formatted_timedatestamp_year",
-              "imports_dangerous_api", "time_alignment_anomaly", "dll_count_anomaly")
+ENGINEERED = ENGINEERED_FEATURES
 
 
 def engineer(df: DataFrame, spec: FeatureSpec = FeatureSpec()) -> DataFrame:

@@ -82,13 +82,14 @@ def numeric_describe(df: DataFrame, cols: Sequence[str], probs=(0.05, 0.5, 0.95)
 def missingness(df: DataFrame, cols: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
     """Per column: type, null count, null %, distinct non-null count;
     sorted by null % descending then name. Distinct counts come from one
-    (column, value) aggregation over the stringified long form."""
+    (column, value) aggregation over the hashed long form."""
     cols = list(cols or df.columns)
     types = dict(df.dtypes)
     n = F.count(F.lit(1))
     nulls = df.agg(n.alias("_n"), *[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
     nl = nulls.unpivot(["_n"], cols, "column", "null_count")
-    long = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot([], cols, "column", "v") \
+    # hashes of 128 bits stand for the values, which can be long, in the shuffle
+    long = df.select(*[F.unhex(F.md5(F.col(c).cast("string"))).alias(c) for c in cols]).unpivot([], cols, "column", "v") \
         .filter(F.col("v").isNotNull())
     if approx:
         dist = long.groupBy("column").agg(F.approx_count_distinct("v").alias("n_distinct"))
@@ -106,11 +107,11 @@ def missingness(df: DataFrame, cols: Sequence[str] | None = None, approx: bool =
 def string_cardinality(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Non-null count, distinct count, max length and integer median
     length per string column."""
-    long = df.select(*cols).unpivot([], list(cols), "column", "v").filter(F.col("v").isNotNull())
+    both = df.select(*[F.when(F.col(c).isNotNull(), F.struct(F.unhex(F.md5(c)).alias("v"), F.length(c).alias("len"))).alias(c) for c in cols])
+    long = both.unpivot([], list(cols), "column", "x").filter(F.col("x").isNotNull()).select("column", "x.*")
     base = long.groupBy("column").agg(F.count(F.lit(1)).alias("non_null"),
-                                      F.count_distinct("v").alias("n_distinct"),
-                                      F.max(F.length("v")).alias("max_len"))
-    med = exact_quantiles(long.select("column", F.length("v").alias("len")), ["column"], "len", [0.5]) \
+                                      F.count_distinct("v").alias("n_distinct"), F.max("len").alias("max_len"))
+    med = exact_quantiles(long, ["column"], "len", [0.5]) \
         .select("column", F.col("value").cast("int").alias("median_len"))
     return base.join(med, "column", "left").orderBy(F.col("n_distinct").desc(), "column")
 

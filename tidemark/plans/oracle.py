@@ -803,3 +803,18 @@ c AS (SELECT p, sum(s) OVER (ORDER BY p) AS su, sum(n) OVER (ORDER BY p) AS nu,
 m AS (SELECT i.p, j.p AS pj, min((k.su - j.su + j.s) / (k.nu - j.nu + j.n)) AS least
       FROM c i JOIN c j ON j.p <= i.p JOIN c k ON k.p >= i.p GROUP BY i.p, j.p)
 SELECT p, round(max(least), 6) AS calibrated FROM m GROUP BY p"""
+
+
+def _report() -> str:
+    from tidemark.operators.metrics import REPORT_ROWS, report_frame
+    fixed = ", ".join(f"({1000 * s + i}, {q(line)})" for s in range(3) for i, line in enumerate(report_frame(s)))
+    row = lambda s, *c: f"printf({q(REPORT_ROWS[s])}, {', '.join(c)}) AS line"
+    return f"""
+WITH h AS ({ORACLES["drift_gap_table"]}), s AS ({ORACLES["cv_summary"]})
+SELECT CAST(n AS INTEGER) AS line_no, line FROM (VALUES {fixed}) f(n, line)
+UNION ALL SELECT CAST(100 + ord AS INTEGER), {row(0, "model_name", "random_holdout_auc", "temporal_holdout_auc", "drift_gap_holdout_auc", "random_holdout_acc", "temporal_holdout_acc", "drift_gap_holdout_acc")} FROM h
+UNION ALL SELECT CAST(1100 + ord AS INTEGER), {row(1, "model_name", "random_cv_auc", "random_cv_std", "temporal_cv_auc", "temporal_cv_std")} FROM h
+UNION ALL SELECT CAST(2100 + row_number() OVER (ORDER BY model_name, protocol) AS INTEGER), {row(2, "model_name", "protocol", "auc_mean", "auc_std", "acc_mean", "acc_std", "fit_seconds_mean")} FROM s"""
+
+
+ORACLES["evaluation_report"] = _report()

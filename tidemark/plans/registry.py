@@ -477,6 +477,13 @@ def drift_gap_table(spark, d):
     return MT.drift_gap_table(cv, ho)
 
 
+@query
+def evaluation_report(spark, d):
+    """A4: the report's lines."""
+    cv, ho = _metric_records(spark, d)
+    return MT.render_report(MT.drift_gap_table(cv, ho), MT.cv_summary(cv))
+
+
 def flagship(spark, d):
     """Verdicts for every order plus the ensemble's drift status columns."""
     st = D.drift_status(window_meta(spark, d))
