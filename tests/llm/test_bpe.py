@@ -20,13 +20,17 @@ def test_perfect_hash_is_minimal_and_perfect():
 def test_round_trip_matches_the_library(spark, odd, empty, texts):
     ranks = bpe.load_ranks(PATH)
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    got = sorted((tuple(r) for r in bpe.round_trip(odd, PATH, public_tokenizers.PATTERN).collect()), key=repr)
+    got = sorted((tuple(r) for r in bpe.digests(bpe.round_trip(odd, PATH, public_tokenizers.PATTERN)).collect()), key=repr)
     want = []
     for i, t, _ in texts:
         ids = library.encode_ordinary(t or "")
         want.append((i, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()))
     assert got == sorted(want, key=repr)
     assert bpe.round_trip(empty, PATH, public_tokenizers.PATTERN).count() == 0
+    # the same ids and bytes from the two steps apart
+    ids = bpe.encode_documents(odd, PATH, public_tokenizers.PATTERN)
+    apart = bpe.decode_tokens(ids, PATH, ["doc_id"]).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, bytes(r.decoded)) for r in apart) == sorted((i is None, i or 0, (t or "").encode()) for i, t, _ in texts)
 
 
 def test_merge_order_and_long_pieces():
