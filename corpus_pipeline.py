@@ -14,17 +14,17 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm import bpe, decontaminate, language, line_dedup, simhash
 from tidemark.llm.common import read_table, written
 
-#: Documents whose language is unknown, or that score lower, go.
-LEAST_LANGUAGE_SCORE = 0.35
 #: Column order of the documents table, which all stages but the last keep.
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the model knows. Their columns are unchanged."""
+    """Documents in a language that the model knows; null texts and texts without
+    a letter go. (A low score is no reason: documents of mixed languages, or full
+    of codes, score low too.) Columns are unchanged."""
     model = language.fit(language.training_rows(docs))
     judged = language.predict(docs, model, COLUMNS)
-    return judged.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE)).select(*COLUMNS)
+    return judged.where(F.col("lang_pred") != language.UNKNOWN).select(*COLUMNS)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +47,7 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of what is left, as digests: ``doc_id, n_tokens, ids_sha256,
     decoded_sha256``."""
-    return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return bpe.digests(bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN))
 
 
 STAGES = [

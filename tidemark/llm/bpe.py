@@ -28,8 +28,9 @@ from pyspark.sql import DataFrame
 
 from .common import col, worker_cache
 
-#: Distinct pre-tokens that a Python worker remembers before it starts anew.
-MEMO_ENTRIES = 1 << 19
+#: Distinct pre-tokens that a Python worker remembers before it starts anew,
+#: about 250 bytes each.
+MEMO_ENTRIES = 1 << 17
 _M64 = (1 << 64) - 1
 
 
@@ -153,6 +154,28 @@ def _chunks(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
         yield batch.slice(at, rows)
 
 
+def _encoder_state(vocabulary: str) -> tuple:
+    """What an encoder needs, at most a vocabulary in size."""
+    ranks = load_ranks(vocabulary)
+    hashed = PerfectHash.build(list(ranks))
+    return ranks, hashed.shift, hashed.slot_key
+
+
+def _encoder(state: tuple, pattern: str) -> Encoder:
+    ranks, shift, slot_key = state
+    return Encoder(ranks, pattern, PerfectHash(shift, slot_key))
+
+
+def _decoder_table(ranks: dict[bytes, int]) -> list[bytes]:
+    """The bytes of each id; ids that the vocabulary leaves out have none."""
+    entries = {i: k for k, i in ranks.items()}
+    return [entries.get(i, b"") for i in range(max(entries) + 1)]
+
+
+def _decode(packed: bytes | None, entry) -> bytes | None:
+    return None if packed is None else b"".join(map(entry, np.frombuffer(packed, "<u4").tolist()))
+
+
 def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
     """``doc_id, token_ids`` with one row per input row.
@@ -163,17 +186,10 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, id_col: str
     ``vocabulary`` is the path of a rank file and ``pattern`` the pre-token
     expression (``regex`` syntax).
     """
-    spark = docs.sparkSession
-    ranks = load_ranks(vocabulary)
-    hashed = PerfectHash.build(list(ranks))
-    shared = spark.sparkContext.broadcast((ranks, hashed.shift, hashed.slot_key))
-
-    def ready():
-        ranks, shift, slot_key = shared.value
-        return Encoder(ranks, pattern, PerfectHash(shift, slot_key))
+    shared = docs.sparkSession.sparkContext.broadcast(_encoder_state(vocabulary))
 
     def run(batches):
-        enc = worker_cache(("bpe-encoder", vocabulary, pattern), ready)
+        enc = worker_cache(("bpe-encoder", vocabulary, pattern), lambda: _encoder(shared.value, pattern))
         for whole in batches:
             for b in _chunks(whole):
                 ids = [enc.encode(t) if t else b"" for t in b.column(1).to_pylist()]
@@ -189,17 +205,15 @@ def decode_tokens(tokens: DataFrame, vocabulary: str, keep: list[str]) -> DataFr
     packed ids in ``token_ids`` stand for, which need not be valid UTF-8 when
     ids were cut. Null ids give null."""
     spark = tokens.sparkSession
-    entries = {i: k for k, i in load_ranks(vocabulary).items()}
-    table = [entries.get(i, b"") for i in range(max(entries) + 1)]
-    shared = spark.sparkContext.broadcast(table)
+    shared = spark.sparkContext.broadcast(_decoder_table(load_ranks(vocabulary)))
 
     def run(batches):
         entry = worker_cache(("bpe-decoder", vocabulary), lambda: shared.value).__getitem__
         for whole in batches:
             for b in _chunks(whole):
                 packed = b.column(b.num_columns - 1).to_pylist()
-                out = [None if p is None else b"".join(map(entry, np.frombuffer(p, "<u4").tolist())) for p in packed]
-                yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(out, pa.binary())], [*keep, "decoded"])
+                out = pa.array([_decode(p, entry) for p in packed], pa.binary())
+                yield pa.RecordBatch.from_arrays([*b.columns[:-1], out], [*keep, "decoded"])
 
     frame = tokens.select(*[col(c) for c in keep], F.col("token_ids"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema[:-1])
@@ -208,10 +222,27 @@ def decode_tokens(tokens: DataFrame, vocabulary: str, keep: list[str]) -> DataFr
 
 def round_trip(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
-    """Digests of a round trip per document: ``doc_id, n_tokens, ids_sha256,
-    decoded_sha256`` (lower-case hex)."""
-    ids = encode_documents(docs, vocabulary, pattern, id_col, text_col)
-    known = ids.select("doc_id", (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),
-                       F.sha2("token_ids", 256).alias("ids_sha256"), "token_ids")
-    decoded = decode_tokens(known, vocabulary, ["doc_id", "n_tokens", "ids_sha256"])
-    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    """``doc_id, token_ids, decoded`` with a row per input row: the ids of
+    ``encode_documents`` and the bytes that ``decode_tokens`` makes of them, in
+    one pass over the texts."""
+    shared = docs.sparkSession.sparkContext.broadcast(_encoder_state(vocabulary))
+
+    def run(batches):
+        enc = worker_cache(("bpe-encoder", vocabulary, pattern), lambda: _encoder(shared.value, pattern))
+        entry = worker_cache(("bpe-decoder", vocabulary), lambda: _decoder_table(enc.ranks)).__getitem__
+        for whole in batches:
+            for b in _chunks(whole):
+                ids = [enc.encode(t) if t else b"" for t in b.column(1).to_pylist()]
+                text = [_decode(p, entry) for p in ids]
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary()), pa.array(text, pa.binary())],
+                                                 ["doc_id", "token_ids", "decoded"])
+
+    frame = docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text"))
+    return frame.mapInArrow(run, f"doc_id {frame.schema[0].dataType.simpleString()}, token_ids binary, decoded binary")
+
+
+def digests(coded: DataFrame) -> DataFrame:
+    """From ``round_trip``: ``doc_id, n_tokens, ids_sha256, decoded_sha256``
+    (lower-case hex)."""
+    return coded.select("doc_id", (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),
+                        F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

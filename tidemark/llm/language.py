@@ -34,8 +34,8 @@ MAX_LANGUAGES = 256
 TOP_WORDS, TOP_GRAMS = 20_000, 8_000
 LONGEST = 5
 UNKNOWN = "und"
-#: Unknown words that a task remembers before it starts anew.
-MEMO_ENTRIES = 200_000
+#: Unknown words that a task remembers before it starts anew, about 300 bytes each.
+MEMO_ENTRIES = 60_000
 _WORD = r"[^\W\d_]+"
 
 

@@ -26,8 +26,8 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document under the multilingual 50k vocabulary, and the
     bytes they decode to, as digests."""
     import public_tokenizers
-    return bpe.round_trip(read_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_multi_50k.tiktoken"),
-                          public_tokenizers.PATTERN)
+    return bpe.digests(bpe.round_trip(
+        read_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN))
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
