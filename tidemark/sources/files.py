@@ -186,7 +186,7 @@ def check_columns(df: DataFrame, required: Sequence[str]) -> None:
     """Raise before any job, naming every missing column."""
     missing = sorted(set(required) - set(df.columns))
     if missing:
-        raise ValueError(f"Missing required columns: {', '.join(missing)}")
+        raise ValueError(f"the table lacks the columns {', '.join(missing)}")
 
 
 def read_records_json(spark: SparkSession, path: str, numeric: Sequence[str], strings: Sequence[str]) -> DataFrame:
