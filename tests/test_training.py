@@ -108,3 +108,15 @@ def test_string_features_can_be_saved(spark, tmp_path):
     StringFeatures(FIXTURE.features).write().overwrite().save(str(tmp_path / "f"))
     out = StringFeatures.load(str(tmp_path / "f")).transform(s)
     assert set(ENGINEERED) <= set(out.columns) and out.count() == 50
+
+
+def test_full_experiment_feeds_the_report(spark, tiny_combined):
+    from tidemark.operators import metrics as MT
+    names = ("logistic", "tree")
+    cv, holdout = TR.run_experiment(tiny_combined, {n: TR.PRESETS[n] for n in names}, ["x"], ["y"], k=3)
+    records = cv.collect()
+    assert len(records) == 2 * 2 * 3 and all(r["n_train"] + r["n_val"] in (39, 40) for r in records)
+    table = MT.drift_gap_table(cv, holdout, order=names)
+    assert [r["model_name"] for r in table.orderBy("ord").collect()] == list(names)
+    assert {(r["model_name"], r["protocol"]) for r in holdout.collect()} == {(n, p) for n in names for p in ("random", "temporal")}
+    assert MT.render_report(table, MT.cv_summary(cv)).filter("line LIKE '| tree |%'").count() == 4
