@@ -132,8 +132,10 @@ def group_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     groups = written(connected_components(links(nodes)), "fingerprint-groups")
     shared = groups.join(nodes, groups["node"] == nodes["fp"]).groupBy("root").agg(F.min("low").alias("least"))
     linked = groups.join(shared, "root").select(F.col("node").alias("fp"), "root", "least")
-    by_fp = nodes.join(linked, "fp", "left").select(
-        "fp", F.coalesce("root", "fp").alias("root"), F.when(F.col("root").isNull(), F.col("low")).otherwise(F.col("least")).alias("component_id"))
+    # written, so that in the last join both sides are plain shuffles, which Spark splits where many copies share a fingerprint
+    by_fp = written(nodes.join(linked, "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"),
+        F.when(F.col("root").isNull(), F.col("low")).otherwise(F.col("least")).alias("component_id")), "fingerprint-roots")
     return marked.join(by_fp, "fp").select("doc_id", "doc_key", "fp", "root", "component_id")
 
 
