@@ -28,9 +28,9 @@ from pyspark.sql import DataFrame
 
 from .common import col, worker_cache
 
-#: Distinct pre-tokens that a Python worker remembers before it starts anew,
-#: about 250 bytes each.
-MEMO_ENTRIES = 1 << 17
+#: Distinct pre-tokens of a generation that a Python worker remembers, about 250
+#: bytes each; it holds two generations, and what is used again moves to the new one.
+MEMO_ENTRIES = 3 << 16
 _M64 = (1 << 64) - 1
 
 
@@ -129,12 +129,13 @@ class Encoder:
         self.keys, self.ids, self.ranks, self.hash = list(ranks), list(ranks.values()), ranks, hashed
         self.split = regex.compile(pattern).findall
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _learn(self, pieces: list[str]) -> None:
         raw = [p.encode("utf-8") for p in pieces]
         for piece, key, k in zip(pieces, raw, self.hash.probe(raw).tolist()):
             ids = [self.ids[k]] if self.keys[k] == key else merge_bytes(key, self.ranks)
-            self.memo[piece] = np.array(ids, "<u4").tobytes()
+            self.memo[piece] = b"".join(i.to_bytes(4, "little") for i in ids)
 
     def encode(self, text: str) -> bytes:
         """Ids as packed little-endian unsigned 32-bit integers."""
@@ -142,9 +143,11 @@ class Encoder:
         memo = self.memo
         if new := [p for p in set(pieces) if p not in memo]:
             if len(memo) + len(new) > MEMO_ENTRIES:
-                memo.clear()
+                self.older, self.memo = memo, (memo := {})
                 new = list(set(pieces))
-            self._learn(new)
+            older = self.older
+            memo.update((p, older[p]) for p in new if p in older)
+            self._learn([p for p in new if p not in older])
         return b"".join(map(memo.__getitem__, pieces))
 
 
