@@ -48,8 +48,9 @@ def _tail(spark, d):
 # --- splits ---------------------------------------------------------------
 @query
 def temporal_split_summary(spark: SparkSession, d: str) -> DataFrame:
+    split = S.temporal_split(FX.samples(spark, d).select(R.id, R.label, R.date), R)  # what the counts need, and no more
     cut = S.temporal_cutoff(FX.samples(spark, d), R).select("cutoff").scalar()
-    return S.split_summary(_temporal(spark, d), R).withColumn("cutoff", cut)
+    return S.split_summary(split, R).withColumn("cutoff", cut)
 
 
 @query
@@ -59,7 +60,7 @@ def temporal_split_rows(spark, d):
 
 @query
 def random_split_summary(spark, d):
-    return S.split_summary(S.random_split(FX.samples(spark, d), R), R)
+    return S.split_summary(S.random_split(FX.samples(spark, d).select(R.id, R.label), R), R)
 
 
 @query
