@@ -176,9 +176,15 @@ def units(docs: DataFrame, words: np.ndarray) -> DataFrame:
                 yield from zip(key.tolist(), (pp - lo).tolist(), lo.tolist(), (hi + LENGTH).tolist())
 
         def rows():
-            for doc, text_key, at, n in again:
+            runs: list[list] = []  # what is repeated within the task, overlapping ranges merged
+            for doc, text_key, at, n in sorted(again, key=lambda r: _order(r[:3])):
+                if runs and runs[-1][:2] == [doc, text_key] and at <= runs[-1][3]:
+                    runs[-1][3] = max(runs[-1][3], at + n)
+                else:
+                    runs.append([doc, text_key, at, at + n])
+            for doc, text_key, at, end in runs:
                 # spread by place: these only pass through the shuffle
-                yield hash((text_key, at)), None, None, doc, text_key, at, n
+                yield hash((text_key, at)), None, None, doc, text_key, at, end - at
             for (key, off, unit), (doc, text_key, at) in held.items():
                 yield key, off, unit, doc, text_key, at, len(unit)
 
