@@ -27,10 +27,27 @@ def accuracy(pred: Column, label: Column) -> Column:
 
 def auc_by_group(df: DataFrame, keys: Sequence[str], score: str, label: str) -> DataFrame:
     """(keys..., auc, n_pos, n_neg); NULL auc when a class is missing."""
-    keys = list(keys)
-    per = df.groupBy(*keys, F.col(score).alias("_s")).agg(
+    return auc_from_counts(score_counts(df, keys, score, label), keys)
+
+
+def score_counts(df: DataFrame, keys: Sequence[str], score: str, label: str) -> DataFrame:
+    """(keys..., _s, _p, _n): positives and negatives of each distinct score,
+    which is all that AUC, accuracy and sizes need."""
+    return df.groupBy(*keys, F.col(score).alias("_s")).agg(
         F.count_if(F.col(label) == 1).alias("_p"), F.count_if(F.col(label) != 1).alias("_n"))
-    per = per.withColumn("_r", value_bucket(F.col("_s")))
+
+
+def accuracy_from_counts(counts: DataFrame, keys: Sequence[str], threshold: float = 0.5) -> DataFrame:
+    """(keys..., accuracy, n) at a score threshold, from ``score_counts``."""
+    right = F.sum(F.when(F.col("_s") >= threshold, F.col("_p")).otherwise(F.col("_n")))
+    n = F.sum(F.col("_p") + F.col("_n"))
+    return counts.groupBy(*keys).agg((right / n).alias("accuracy"), n.alias("n"))
+
+
+def auc_from_counts(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``auc_by_group`` from ``score_counts``."""
+    keys = list(keys)
+    per = counts.withColumn("_r", value_bucket(F.col("_s")))
     slices = per.groupBy(*keys, "_r").agg(F.sum("_n").alias("_sn"))
     w_off = Window.partitionBy(*keys).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
     offs = slices.select(*keys, "_r", F.coalesce(F.sum("_sn").over(w_off), F.lit(0)).alias("_off"))

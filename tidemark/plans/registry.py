@@ -438,25 +438,21 @@ def _metric_records(spark, d):
         .unionByName(_temporal(spark, d).drop("cutoff").withColumn("protocol", F.lit("temporal")))))
     folds = FX.reuse(spark, ("folds", d), lambda: S.assign_folds(
         sides.filter(F.col("split") == "train"), R, 10, by=["protocol"]))
-    tr = folds.withColumn("model_id", F.explode(F.sequence(F.lit(0), F.lit(K - 1)))).withColumn("p", _p_of(F.col("model_id")))
-    cv = MT.auc_by_group(tr, ["model_id", "protocol", "fold"], "p", "label")
-    acc = tr.groupBy("model_id", "protocol", "fold").agg(
-        MT.accuracy((F.col("p") >= 0.5).cast("int"), F.col("label")).alias("accuracy"),
-        F.count(F.lit(1)).alias("n_val"))
-    ntr = tr.filter(F.col("model_id") == 0).groupBy("protocol").agg(F.count(F.lit(1)).alias("_nt"))
-    cv = cv.join(acc, ["model_id", "protocol", "fold"]).join(ntr, "protocol") \
+    models = F.explode(F.sequence(F.lit(0), F.lit(K - 1)))
+    in_cv, held = ["model_id", "protocol", "fold"], ["model_id", "protocol"]
+    # every metric comes from the counts of each score, made in one pass over the scored rows
+    tr = FX.reuse(spark, ("cv_counts", d), lambda: MT.score_counts(
+        folds.withColumn("model_id", models).withColumn("p", _p_of(F.col("model_id"))), in_cv, "p", "label"))
+    te = FX.reuse(spark, ("holdout_counts", d), lambda: MT.score_counts(
+        sides.filter(F.col("split") == "test").withColumn("model_id", models).withColumn("p", _p_of(F.col("model_id"))),
+        held, "p", "label"))
+    n_train = tr.filter(F.col("model_id") == 0).groupBy("protocol").agg(F.sum(F.col("_p") + F.col("_n")).alias("_nt"))
+    cv = MT.auc_from_counts(tr, in_cv).join(MT.accuracy_from_counts(tr, in_cv), in_cv).join(n_train, "protocol") \
         .select(names.alias("model_name"), "protocol", "fold", "auc", "accuracy",
-                (F.col("_nt") - F.col("n_val")).alias("n_train"), "n_val", F.lit(0.0).alias("fit_seconds"))
-    te = sides.filter(F.col("split") == "test").withColumn("model_id", F.explode(F.sequence(F.lit(0), F.lit(K - 1)))) \
-        .withColumn("p", _p_of(F.col("model_id")))
-    ho = MT.auc_by_group(te, ["model_id", "protocol"], "p", "label")
-    hacc = te.groupBy("model_id", "protocol").agg(
-        MT.accuracy((F.col("p") >= 0.5).cast("int"), F.col("label")).alias("accuracy"),
-        F.count(F.lit(1)).alias("n_test"))
-    nts = sides.filter(F.col("split") == "train").groupBy("protocol").agg(F.count(F.lit(1)).alias("n_train"))
-    ho = ho.join(hacc, ["model_id", "protocol"]).join(nts, "protocol") \
-        .select(names.alias("model_name"), "protocol", "auc", "accuracy", "n_train", "n_test",
-                F.lit(0.0).alias("fit_seconds"))
+                (F.col("_nt") - F.col("n")).alias("n_train"), F.col("n").alias("n_val"), F.lit(0.0).alias("fit_seconds"))
+    ho = MT.auc_from_counts(te, held).join(MT.accuracy_from_counts(te, held), held).join(n_train, "protocol") \
+        .select(names.alias("model_name"), "protocol", "auc", "accuracy", F.col("_nt").alias("n_train"),
+                F.col("n").alias("n_test"), F.lit(0.0).alias("fit_seconds"))
     return cv, ho
 
 
