@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import uuid
+from functools import reduce
 
 from tidemark.config import FIXTURE
 from tidemark.operators import splits as S
@@ -664,57 +665,68 @@ def _model_input(spark, d):
     return FX.reuse(spark, ("model_input", d), lambda: FE.engineer(FX.samples(spark, d), SPEC))
 
 
+def _union(frames):
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _split_sides(spark, d):
+    x = _model_input(spark, d)
+    return {"random": S.random_split(x, R), "temporal": S.temporal_split(x, R).drop("cutoff")}
+
+
 @query
 def cv_logistic(spark, d):
-    t = _temporal(spark, d)
-    tr = FE.engineer(t.filter(F.col("split") == "train").drop("cutoff", "split"), SPEC)
-    return TR.cross_validate(tr, "logistic", TR.PRESETS["logistic"],
-                             FIXTURE.log_cols, FIXTURE.scale_cols, "temporal", R, k=10)
+    """L10 for the logistic preset under both protocols; ``experiment_cv_summary`` has all presets."""
+    return _union([TR.cross_validate(x.filter(F.col("split") == "train").drop("split"), "logistic", TR.PRESETS["logistic"],
+                                     FIXTURE.log_cols, FIXTURE.scale_cols, protocol, R, k=10)
+                   for protocol, x in _split_sides(spark, d).items()])
 
 
 @query
 def holdout_protocols(spark, d):
-    x = _model_input(spark, d)
-    r = TR.evaluate_holdout(S.random_split(x, R), "tree", TR.PRESETS["tree"],
-                            FIXTURE.log_cols, FIXTURE.scale_cols, "random", R)
-    t = TR.evaluate_holdout(S.temporal_split(x, R).drop("cutoff"), "tree", TR.PRESETS["tree"],
-                            FIXTURE.log_cols, FIXTURE.scale_cols, "temporal", R)
-    return r.unionByName(t)
+    """Every preset under both protocols."""
+    sides = {p: TR.materialize(x, f"holdout-{p}") for p, x in _split_sides(spark, d).items()}
+    return _union([TR.evaluate_holdout(x, name, preset, FIXTURE.log_cols, FIXTURE.scale_cols, protocol, R)
+                   for protocol, x in sides.items() for name, preset in TR.PRESETS.items()])
+
+
+def _ensembles(spark, d):
+    """An ensemble for each base, and the test side."""
+    x = _prep_input(spark, d)
+    train = x.filter(F.col("split") == "train").drop("cutoff", "split")
+    for base in TR.BASES:
+        yield base, TR.fit_windowed(train, TR.PRESETS[base], FIXTURE.log_cols, FIXTURE.scale_cols, R), x.filter(F.col("split") == "test")
 
 
 @query
 def ensemble_fit_score(spark, d):
-    x = _prep_input(spark, d)
-    ens = TR.fit_windowed(x.filter(F.col("split") == "train").drop("cutoff", "split"), TR.PRESETS["tree"],
-                          FIXTURE.log_cols, FIXTURE.scale_cols, R)
-    return TR.evaluate_ensemble(ens, x.filter(F.col("split") == "test"), R)
+    return _union([TR.evaluate_ensemble(ens, test, R).withColumn("base", F.lit(base)) for base, ens, test in _ensembles(spark, d)])
 
 
 @query
 def grid_search(spark, d):
-    t = _temporal(spark, d)
-    tr = FE.engineer(t.filter(F.col("split") == "train").drop("cutoff", "split"), SPEC)
-    return TR.grid_search(tr, TR.PRESETS["tree"], {"maxDepth": [6, 12], "minInstancesPerNode": [5, 20]},
-                          FIXTURE.log_cols, FIXTURE.scale_cols, R, k=3,
-                          default={"maxDepth": 12, "minInstancesPerNode": 20})
+    """The study's grids on the random train side, ten folds."""
+    tr = _split_sides(spark, d)["random"].filter(F.col("split") == "train").drop("split")
+    return _union([TR.grid_search(tr, TR.PRESETS[name], grid, FIXTURE.log_cols, FIXTURE.scale_cols, R, k=10, default=default)
+                   .withColumn("model_name", F.lit(name)) for name, (grid, default) in TR.GRIDS.items()])
 
 
 @query
 def batch_scoring(spark, d):
-    """E9 + S11: a saved ensemble, loaded again, scores the labelled test side
-    and the same rows without labels; verdict counts of both and the metrics."""
-    x = _prep_input(spark, d)
-    ens = TR.fit_windowed(x.filter(F.col("split") == "train").drop("cutoff", "split"), TR.PRESETS["tree"],
-                          FIXTURE.log_cols, FIXTURE.scale_cols, R)
-    path = scratch_path(spark, "ensemble-" + uuid.uuid4().hex[:12])
-    ens.save(path)
-    ens = TR.WindowedEnsemble.load(spark, path)
-    test = x.filter(F.col("split") == "test").drop("cutoff", "split")
-    rows, metrics = TR.batch_score(ens, test, R)
-    plain, _ = TR.batch_score(ens, test.drop(R.label), R)
-    same = rows.join(plain.withColumnsRenamed({"verdict": "v", "probability": "p"}).select("sample_id", "v", "p"), "sample_id").agg(
-        F.count_if((F.col("v") == F.col("verdict")) & (F.col("p") == F.col("probability"))).alias("n_same_unlabelled"))
-    return metrics.withColumn("n_same_unlabelled", same.scalar())
+    """E9 + S11: for each base a saved ensemble, loaded again, scores the labelled
+    test side and the same rows without labels; verdict counts of both and the metrics."""
+    out = []
+    for base, ens, test in _ensembles(spark, d):
+        path = scratch_path(spark, "ensemble-" + uuid.uuid4().hex[:12])
+        ens.save(path)
+        ens = TR.WindowedEnsemble.load(spark, path)
+        test = test.drop("cutoff", "split")
+        rows, metrics = TR.batch_score(ens, test, R)
+        plain, _ = TR.batch_score(ens, test.drop(R.label), R)
+        same = rows.join(plain.withColumnsRenamed({"verdict": "v", "probability": "p"}).select("sample_id", "v", "p"), "sample_id").agg(
+            F.count_if((F.col("v") == F.col("verdict")) & (F.col("p") == F.col("probability"))).alias("n_same_unlabelled"))
+        out.append(metrics.withColumn("n_same_unlabelled", same.scalar()).withColumn("base", F.lit(base)))
+    return _union(out)
 
 
 @query
