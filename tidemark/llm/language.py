@@ -8,8 +8,10 @@ whole text.
 The model is fitted on a bounded sample: labelled documents pass a hash
 threshold so that about ``SAMPLE_DOCS`` of each language remain, and tables keep
 the ``TOP_WORDS`` and ``TOP_GRAMS`` most frequent entries of each language and
-length. So the broadcast model is bounded whatever the corpus. Prediction
-shuffles nothing.
+length. Every label is a language. The broadcast model holds an entry's counts
+in the languages that have it and a floor for the others, so it is bounded by the
+number of languages, not by its square, whatever the corpus. Prediction shuffles
+nothing.
 """
 
 from __future__ import annotations
@@ -28,14 +30,14 @@ from .common import col
 
 #: Labelled documents of a language that a model is fitted on, about.
 SAMPLE_DOCS = 4_000
-#: Languages that a model can tell apart: the most frequent labels.
-MAX_LANGUAGES = 256
 #: Words, and character n-grams of each length, kept for each language.
 TOP_WORDS, TOP_GRAMS = 20_000, 8_000
 LONGEST = 5
 UNKNOWN = "und"
 #: Unknown words that a task remembers before it starts anew, about 300 bytes each.
 MEMO_ENTRIES = 60_000
+#: Entries of a text that are looked up at once.
+ENTRIES_AT_ONCE = 4_096
 _WORD = r"[^\W\d_]+"
 
 
@@ -52,21 +54,30 @@ def _grams(word: str, n: int) -> list[str]:
 
 @dataclass
 class Model:
-    """Log frequencies: ``rows[n]`` maps an entry (n = 0: a word, else an
-    n-gram) to its row of ``table``, which has a column for each language."""
+    """Log frequencies, smoothed by half a count for each entry of any language:
+    ``rows[n]`` maps an entry (n = 0: a word, else an n-gram) to its row. The
+    cells ``start[row]`` to ``start[row + 1]`` name the languages that have it
+    (``language``) and what they have above their ``floor[n]`` (``gain``)."""
 
     languages: list[str]
     prior: np.ndarray
     rows: list[dict[str, int]]
-    table: np.ndarray
+    floor: np.ndarray
+    start: np.ndarray
+    language: np.ndarray
+    gain: np.ndarray
 
 
-def sample_of(labelled: DataFrame, docs_per_language: int = SAMPLE_DOCS) -> DataFrame:
+def label_counts(labelled: DataFrame) -> pa.Table:
+    """``lang, k`` of all labels: a row for each language of the model."""
+    return labelled.groupBy("lang").agg(F.count("*").alias("k")).toArrow()
+
+
+def sample_of(labelled: DataFrame, counts: pa.Table, docs_per_language: int = SAMPLE_DOCS) -> DataFrame:
     """About ``docs_per_language`` rows of each ``lang`` of ``id, text, lang``,
     by a hash of the id. Texts stay where they are read: the shares, a row for
-    each of at most ``MAX_LANGUAGES`` labels, go to them."""
-    share = labelled.groupBy("lang").agg(F.count("*").alias("k")).orderBy(F.desc("k"), "lang").limit(MAX_LANGUAGES).select(
-        "lang", (docs_per_language / F.col("k")).alias("share"))
+    each label, go to them."""
+    share = labelled.sparkSession.createDataFrame(counts).select("lang", (docs_per_language / F.col("k")).alias("share"))
     place = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)
     return labelled.join(F.broadcast(share), "lang").where(place < F.col("share")).select("text", "lang")
 
@@ -75,24 +86,26 @@ def fit(labelled: DataFrame, docs_per_language: int = SAMPLE_DOCS, top_words: in
         top_grams: int = TOP_GRAMS, longest: int = LONGEST) -> Model:
     """Fit on ``id, text, lang``; rows with a null or empty text or a null lang
     teach nothing. An empty table gives a model without languages."""
-    rows = sample_of(labelled.where("text IS NOT NULL AND lang IS NOT NULL"), docs_per_language)
+    labelled = labelled.where("text <> '' AND lang IS NOT NULL")
+    whole = label_counts(labelled)
+    rows = sample_of(labelled, whole, docs_per_language)
 
     def run(batches):
         words = re.compile(_WORD).findall
         for b in batches:
             by_lang: dict[str, Counter[str]] = {}
-            docs: Counter[str] = Counter()
             for text, lang in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 by_lang.setdefault(lang, Counter()).update(words(text.lower()))
-                docs[lang] += 1
             for lang, count in by_lang.items():
-                sums = [(-1, "", docs[lang]), *((0, w, k) for w, k in count.items())]
+                sums = [(0, w, k) for w, k in count.items()]
                 for n in range(1, longest + 1):
                     of: Counter[str] = Counter()
                     for w, k in count.items():
                         for g in _grams(w, n):
                             of[g] += k
                     sums += [(n, g, k) for g, k in of.items()]
+                if not sums:
+                    continue
                 size, entry, k = zip(*sums)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([lang] * len(sums), pa.string()), pa.array(size, pa.int32()),
@@ -104,32 +117,30 @@ def fit(labelled: DataFrame, docs_per_language: int = SAMPLE_DOCS, top_words: in
     best = Window.partitionBy("lang", "n").orderBy(F.desc("k"), "entry")
     total = F.sum("k").over(Window.partitionBy("lang", "n"))
     kept = counts.withColumn("total", total).withColumn("rank", F.row_number().over(best)).where(
-        F.col("rank") <= F.when(F.col("n") <= 0, top_words).otherwise(top_grams)).drop("rank").toArrow().to_pydict()
-    languages = sorted(set(kept["lang"]))
+        F.col("rank") <= F.when(F.col("n") == 0, top_words).otherwise(top_grams)).drop("rank").toArrow()
+    languages = sorted(kept["lang"].unique().to_pylist())
     at = {lang: i for i, lang in enumerate(languages)}
     tables: list[dict[str, int]] = [{} for _ in range(longest + 1)]
-    floor = np.zeros((longest + 1, len(languages)))
-    prior = np.zeros(len(languages))
-    for lang, n, total in zip(kept["lang"], kept["n"], kept["total"]):
-        if n >= 0:
-            floor[n, at[lang]] = math.log(0.5 / (total + 1))
-    cells, size = [], 0
-    for lang, n, entry, k, total in zip(*(kept[c] for c in ("lang", "n", "entry", "k", "total"))):
-        if n < 0:
-            prior[at[lang]] = k
-            continue
-        row = tables[n].get(entry)
-        if row is None:
-            row = tables[n][entry] = size
-            size += 1
-        cells.append((row, n, at[lang], math.log((k + 0.5) / (total + 1))))
-    table = np.zeros((size, len(languages)))
-    for row, n, j, value in cells:
-        if not table[row].any():
-            table[row] = floor[n]
-        table[row, j] = value
-    share = prior / prior.sum() if len(languages) else prior
-    return Model(languages, np.log(np.maximum(share, 1e-12)), tables, table)
+    totals = np.zeros((longest + 1, len(languages)))
+    row, language, size = np.empty(len(kept), np.int64), np.empty(len(kept), np.int32), 0
+    done = 0
+    for b in kept.to_batches(100_000):
+        for lang, n, entry, total in zip(*(b[c].to_pylist() for c in ("lang", "n", "entry", "total"))):
+            r = tables[n].setdefault(entry, size)
+            size += r == size
+            row[done], language[done] = r, at[lang]
+            totals[n, at[lang]] = total
+            done += 1
+    # half a count for each entry that any language has, so that a language of a few words is no likelier
+    # to have said a word it doesn't know
+    types = np.array([len(t) for t in tables])[:, None]
+    floor = np.log(0.5 / (totals + 0.5 * np.maximum(types, 1)))
+    order = np.argsort(row, kind="stable")
+    start = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=size))])
+    docs = dict(zip(whole["lang"].to_pylist(), whole["k"].to_pylist()))
+    prior = np.array([docs[lang] for lang in languages], float)
+    return Model(languages, np.log(prior / prior.sum()) if languages else prior, tables, floor, start, language[order],
+                 np.log(2 * kept["k"].to_numpy() + 1.0)[order])
 
 
 def predict(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
@@ -141,24 +152,25 @@ def predict(docs: DataFrame, model: Model, keep: list[str], text_col: str = "tex
     word likelihoods, between 0 and 1. Rows are judged each on its own, so
     repeated rows get equal results; other columns are not read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.prior, model.rows, model.table))
+    shared = docs.sparkSession.sparkContext.broadcast(
+        (model.languages, model.prior, model.rows, model.floor, model.start, model.language, model.gain))
 
     def run(batches):
-        languages, prior, rows, table = shared.value
+        languages, prior, rows, floor, start, language, gain = shared.value
         known, words, memo = rows[0].get if rows else None, re.compile(_WORD).findall, {}
 
         def unknown(word):
             for n in range(len(rows) - 1, 0, -1):
                 hit = [r for g in _grams(word, n) if (r := rows[n].get(g)) is not None]
                 if hit:
-                    return table[hit].mean(0)
-            return None
+                    return n, tuple(hit)
+            return 0, ()
 
         def judge(text):
             found = words(text.lower()) if text and languages else []
             if not any(c.isalpha() for w in found for c in w):
                 return UNKNOWN, 0.0
-            sure, rest = [], []
+            sure, rest, sizes, seen = [], [], [], [0] * len(rows)
             for w in found:
                 if (r := known(w)) is not None:
                     sure.append(r)
@@ -167,20 +179,28 @@ def predict(docs: DataFrame, model: Model, keep: list[str], text_col: str = "tex
                         if len(memo) >= MEMO_ENTRIES:
                             memo.clear()
                         memo[w] = unknown(w)
-                    if (v := memo[w]) is not None:
-                        rest.append(v)
-            total = prior.copy()
-            if sure:
-                total += table[sure].sum(0)
-            if rest:
-                total += np.sum(rest, 0)
-            mean = total / max(1, len(sure) + len(rest))
+                    n, hit = memo[w]
+                    if hit:
+                        rest += hit
+                        sizes.append(len(hit))
+                        seen[n] += 1
+            seen[0] = len(sure)
+            entries = np.array(sure + rest, np.int64)
+            sizes = np.array(sizes, np.int64)
+            weight = np.concatenate([np.ones(len(sure)), np.repeat(1 / sizes, sizes)])
+            total = prior + np.array(seen) @ floor
+            for i in range(0, len(entries), ENTRIES_AT_ONCE):
+                some = entries[i:i + ENTRIES_AT_ONCE]
+                first, k = start[some], start[some + 1] - start[some]
+                cells = np.repeat(first - np.cumsum(k) + k, k) + np.arange(k.sum())
+                total += np.bincount(language[cells], gain[cells] * np.repeat(weight[i:i + ENTRIES_AT_ONCE], k), len(languages))
+            mean = total / max(1, sum(seen))
             best = int(np.argmax(total))
             return languages[best], float(1 / np.exp(mean - mean[best]).sum())
 
         for whole in batches:
-            for start in range(0, whole.num_rows, 256):
-                b = whole.slice(start, 256)
+            for i in range(0, whole.num_rows, 256):
+                b = whole.slice(i, 256)
                 pred, score = zip(*map(judge, b.column(at).to_pylist()))
                 yield pa.RecordBatch.from_arrays([*b.columns[:len(keep)], pa.array(pred, pa.string()),
                                                   pa.array(score, pa.float64())], [*keep, "lang_pred", "score"])
