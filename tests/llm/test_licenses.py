@@ -43,3 +43,26 @@ def test_longest_and_surest_rule_wins():
 def test_containment():
     keep = licenses.suppress([(0, 10, 2, 0), (2, 8, 1, 1), (2, 8, 3, 2), (0, 10, 2, 3), (5, 12, 1, 4)])
     assert keep == [(0, 10, 2, 0), (2, 8, 3, 2), (5, 12, 1, 4)]
+
+
+def test_common_forms_have_their_labels():
+    forms = {
+        "released under the GPL": "gpl", "available under the terms of the LGPL": "lgpl", "distributed under MIT": "mit",
+        "relicensed under the MPL": "mpl", "GPLv3": "gpl-3", "GPLv2+": "gpl-2", "LGPLv2.1": "lgpl-2.1", "AGPLv3": "agpl-3",
+        "GNU GPL v3": "gpl-3", "GPL-3.0-or-later": "gpl-3", "MPLv2": "mpl-2", "Apache v2": "apache-2", "GFDLv1.3": "gfdl-1.3",
+        "BSD-3-Clause License": "bsd", "BSD-2-Clause": "bsd", "three-clause BSD": "bsd", "License: MIT": "mit",
+        "License: Apache-2.0": "apache-2", "license is GPL": "gpl", "MIT licensed": "mit", "GPL-licensed code": "gpl",
+        "BSD licenses": "bsd", "Apache licences": "apache",
+    }
+    got = {t: {x[0] for x in labels(t)} for t in forms}
+    assert got == {t: {label} for t, label in forms.items()}
+    for t in ("mit dem Auto", "gplus 3", "the EPL 2 season", "he was released under bail", "apache 2 helicopters", "nothing"):
+        assert labels(t) == [], t
+
+
+def test_holder_of_any_length():
+    for n in (1, 12, 200, 20_000):
+        t = "Neither the name of " + "holder " * n + "nor the names of its contributors may be used"
+        assert labels(t) == [("bsd", 0, n + 10)]
+    assert labels("neither the name of x " * 20_000) == []
+    assert labels("neither the name of a neither the name of b nor the names of its contributors") == [("bsd", 5, 16)]

@@ -31,7 +31,7 @@ FAMILIES: list[tuple[str, str, str, tuple[str, ...]]] = [
     ("lgpl", "(?:gnu )?(?:lesser general public|library general public|lgpl)", "lesser general|library general|lgpl", ("2", "2 1", "3")),
     ("agpl", "(?:gnu )?(?:affero general public|agpl)", "affero|agpl", ("1", "3")),
     ("gfdl", "(?:gnu )?(?:free documentation|gfdl|fdl)", "free documentation|fdl", ("1 1", "1 2", "1 3")),
-    ("bsd", "(?:(?:new|modified|simplified|revised|2 clause|3 clause|4 clause|0 clause) )?bsd", "bsd", ()),
+    ("bsd", "(?:(?:new|modified|simplified|revised|original|(?:[0234]|two|three|four) clause) )?bsd(?: (?:[0234]|two|three|four) clause)?", "bsd", ()),
     ("mpl", "(?:mozilla public|mpl)", "mozilla public| mpl ", ("1 0", "1 1", "2")),
     ("epl", "(?:eclipse public|epl)", "eclipse public| epl ", ("1", "2")),
     ("edl", "eclipse distribution", "eclipse distribution", ("1",)),
@@ -77,6 +77,18 @@ FAMILIES: list[tuple[str, str, str, tuple[str, ...]]] = [
     ("cc-by-nc-nd", "(?:cc by nc nd|creative commons attribution non ?commercial no ?deriv(?:ative)?s?)", "cc by|creative commons", ("2", "3", "4")),
     ("cc0", "(?:cc0|creative commons zero|cc zero)", "cc0|cc zero|commons zero", ("1",)),
 ]
+# Short names that a version can follow without a word for license, joined to it or not
+# (gplv3, lgpl 2 1), and those that mean other things too, where the version needs a v.
+SHORT = {"gpl": "gpl", "lgpl": "lgpl", "agpl": "agpl", "gfdl": "g?fdl", "mpl": "mpl", "cddl": "cddl", "eupl": "eupl", "odbl": "odbl",
+         "pddl": "pddl", "lppl": "lppl", "busl": "busl", "sspl": "sspl", "wtfpl": "wtfpl", "cecill": "cecill"}
+SHORT_WITH_V = {"apache": "apache", "epl": "epl", "osl": "osl", "afl": "afl", "python": "psf", "ofl": "ofl", "upl": "upl", "qpl": "qpl"}
+#: Keywords of names that stand without a word for license, where the family's has that word.
+BARE_KEYWORDS = {"mit": "under mit |under the mit |terms of mit |terms of the mit |expat"}
+#: Names that are a license without that word.
+BARE_NAMES: list[tuple[str, str, str]] = [
+    ("bsd", "bsd (?:[0234]|two|three|four) clause", "clause"),
+    ("bsd", "(?:[0234]|two|three|four) clause bsd", "clause"),
+]
 # Wording of notices and license texts, as (label, expression, keyword).
 NOTICES: list[tuple[str, str, str]] = [
     ("all-rights-reserved", "all rights (?:are )?reserved", "rights"),
@@ -91,7 +103,8 @@ NOTICES: list[tuple[str, str, str]] = [
     ("isc", "permission to use copy modify and or distribute this software for any purpose", "permission to use"),
     ("bsd", "redistribution and use in source and binary forms with or without modification", "redistribution and use"),
     ("bsd", "redistributions of source code must retain the above copyright notice", "redistributions of source"),
-    ("bsd", "neither the name of .{0,80}? nor the names of its contributors", "neither the name"),
+    # the holder's name, of any length, ends at the next of these words
+    ("bsd", "neither the names? of(?: (?!neither |nor the names of )[^ ]+)++ nor the names of (?:its|their|the) contributors", "neither the name"),
     ("apache-2", "you may not use this file except in compliance with the license", "in compliance with"),
     ("gpl", "this program is free software you can redistribute it and or modify it", "free software"),
     ("gpl", "either version [23] (?:of the license )?or at your option any later version", "any later version"),
@@ -126,11 +139,15 @@ def _version(v: str) -> str:
 
 
 def build_rules(families=None, notices=None) -> list[Rule]:
-    """The ordered rules: five wordings of each family and version, then notices."""
+    """The ordered rules: the wordings of each family and version, then names
+    that need no word for license, then notices."""
     rules = []
     for stem, name, keyword, versions in FAMILIES if families is None else families:
         words = stem.replace("-", " ")
-        kind = "licen[sc]e"
+        kind = "licen[sc](?:e|es|ed)"
+        given = ("(?:re)?(?:licen[sc]ed|released|distributed|published|available|provided|covered|governed|offered) "
+                 "under (?:the )?(?:terms of )?(?:the )?")
+        named = "licen[sc]es?(?: is| type| name| id)? (?:under )?(?:the )?"
         granted = ("(?:licen[sc]ed|released|distributed|published|available|provided|covered|governed|offered) "
                    "(?:under|by|with|on) (?:the )?(?:terms of )?(?:the )?")
         for v in versions:
@@ -139,12 +156,20 @@ def build_rules(families=None, notices=None) -> list[Rule]:
                 Rule(label, f"spdx licen[sc]e identifier {words} {_version(v)}(?: only| or later)?", "spdx", TAG),
                 Rule(label, f"{granted}{name}(?: {kind})? (?:version |v ?)?{_version(v)}", keyword, VERSIONED),
                 Rule(label, f"{name} {kind} (?:version |v ?)?{_version(v)}", keyword, VERSIONED),
+                Rule(label, f"{named}{name} (?:version |v ?)?{_version(v)}", keyword, VERSIONED),
             ]
+            for short, between in ((SHORT.get(stem), " ?(?:v ?|version )?"), (SHORT_WITH_V.get(stem), " ?(?:v ?|version )")):
+                if short:
+                    rules.append(Rule(label, f"(?:gnu )?{short}{between}{_version(v)}(?: only| or later)?(?: {kind})?",
+                                      "|".join(f" {k}" for k in ("gfdl", "fdl")) if stem == "gfdl" else f" {short}", VERSIONED))
         rules += [
             Rule(stem, f"spdx licen[sc]e identifier {words}", "spdx", TAG),
             Rule(stem, f"{granted}{name} {kind}", keyword, REFERENCE),
+            Rule(stem, f"{given}{name}", BARE_KEYWORDS.get(stem, keyword), REFERENCE),
             Rule(stem, f"{name} {kind}", keyword, NAME),
+            Rule(stem, f"{named}{name}", keyword, NAME),
         ]
+    rules += [Rule(label, e, k, NAME) for label, e, k in BARE_NAMES]
     return rules + [Rule(label, e, k, TEXT) for label, e, k in (NOTICES if notices is None else notices)]
 
 
