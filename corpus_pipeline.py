@@ -19,12 +19,13 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the model knows; null texts and texts without
-    a letter go. (A low score is no reason: documents of mixed languages, or full
-    of codes, score low too.) Columns are unchanged."""
+    """Documents in a language that the model knows; null texts, texts without a
+    letter and texts none of whose words the model knows, not even by a character,
+    go. (A low score is no reason: documents of mixed languages, or full of codes,
+    score low too.) Columns are unchanged."""
     model = language.fit(language.training_rows(docs))
     judged = language.predict(docs, model, COLUMNS)
-    return judged.where(F.col("lang_pred") != language.UNKNOWN).select(*COLUMNS)
+    return judged.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("n_known") > 0)).select(*COLUMNS)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -144,12 +144,13 @@ def fit(labelled: DataFrame, docs_per_language: int = SAMPLE_DOCS, top_words: in
 
 
 def predict(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
-    """The columns ``keep`` with ``lang_pred`` and ``score``, one row per input row.
+    """The columns ``keep`` with ``lang_pred``, ``score`` and ``n_known``, one row per input row.
 
     A text that is null or has no letter, and any text under a model without
     languages, is ``und`` with score 0. Equal scores go to the language that
     sorts first. ``score`` is the winner's share of the geometric means of the
-    word likelihoods, between 0 and 1. Rows are judged each on its own, so
+    word likelihoods, between 0 and 1. ``n_known`` counts the words that the model knows
+    or knows n-grams of; without any, only the prior speaks for ``lang_pred``. Rows are judged each on its own, so
     repeated rows get equal results; other columns are not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(
@@ -169,7 +170,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str], text_col: str = "tex
         def judge(text):
             found = words(text.lower()) if text and languages else []
             if not any(c.isalpha() for w in found for c in w):
-                return UNKNOWN, 0.0
+                return UNKNOWN, 0.0, 0
             sure, rest, sizes, seen = [], [], [], [0] * len(rows)
             for w in found:
                 if (r := known(w)) is not None:
@@ -196,19 +197,20 @@ def predict(docs: DataFrame, model: Model, keep: list[str], text_col: str = "tex
                 total += np.bincount(language[cells], gain[cells] * np.repeat(weight[i:i + ENTRIES_AT_ONCE], k), len(languages))
             mean = total / max(1, sum(seen))
             best = int(np.argmax(total))
-            return languages[best], float(1 / np.exp(mean - mean[best]).sum())
+            return languages[best], float(1 / np.exp(mean - mean[best]).sum()), sum(seen)
 
         for whole in batches:
             for i in range(0, whole.num_rows, 256):
                 b = whole.slice(i, 256)
-                pred, score = zip(*map(judge, b.column(at).to_pylist()))
+                pred, score, n_known = zip(*map(judge, b.column(at).to_pylist()))
                 yield pa.RecordBatch.from_arrays([*b.columns[:len(keep)], pa.array(pred, pa.string()),
-                                                  pa.array(score, pa.float64())], [*keep, "lang_pred", "score"])
+                                                  pa.array(score, pa.float64()), pa.array(n_known, pa.int64())],
+                                                 [*keep, "lang_pred", "score", "n_known"])
 
     at = keep.index(text_col) if text_col in keep else len(keep)
     frame = docs.select(*[col(c) for c in keep], *([] if text_col in keep else [col(text_col).alias("text to judge")]))
     kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in frame.schema[:len(keep)])
-    return frame.mapInArrow(run, f"{kinds}lang_pred string, score double")
+    return frame.mapInArrow(run, f"{kinds}lang_pred string, score double, n_known long")
 
 
 def training_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -222,4 +224,4 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     fitted on those that are not held out."""
     model = fit(training_rows(docs, id_col, text_col, lang_col))
     frame = docs.select(col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"), col(text_col).alias("text"))
-    return predict(frame, model, ["doc_id", "held_out"])
+    return predict(frame, model, ["doc_id", "held_out"]).drop("n_known")
