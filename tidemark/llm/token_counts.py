@@ -7,11 +7,13 @@ and documents only join those counts to their own pre-token frequencies:
 
 1. count every pre-token of the corpus, combined within each task before the
    shuffle, and count the pieces of each distinct one;
-2. the most frequent pre-tokens, a bounded number (``HOT_ENTRIES``) picked by a
-   frequency threshold, go to every task. They cover most of the text, and any
-   very common pre-token is among them, so that no join key is hot;
+2. the most frequent short pre-tokens, a bounded number of bounded length
+   (``HOT_ENTRIES``, ``HOT_LENGTH``) picked by a frequency threshold, go to every
+   task. They cover most of the text;
 3. a second pass sums a document's hot pre-tokens in place. Its other
-   pre-tokens are joined by a shuffle, whatever their number.
+   pre-tokens are joined by a shuffle, whatever their number and length.
+
+The library reads the character U+2581 as a blank, and so does this module.
 """
 
 from __future__ import annotations
@@ -26,10 +28,14 @@ from pyspark.sql import DataFrame, Window
 
 from .common import col, worker_cache, written
 
-#: Pre-tokens whose counts are sent to every task; about 100 bytes each there.
-HOT_ENTRIES = 400_000
-#: Distinct pre-tokens that a task holds before it passes its counts on.
-FLUSH_ENTRIES = 600_000
+#: Pre-tokens whose counts are sent to every task, and the characters that the
+#: longest of them may have: with about 100 bytes for each entry, 80 MB at most.
+HOT_ENTRIES, HOT_LENGTH = 400_000, 24
+#: Distinct pre-tokens, and characters of text, that a task counts before it
+#: passes its counts on. What it holds is never more than those characters.
+FLUSH_ENTRIES, FLUSH_CHARACTERS = 600_000, 128 << 20
+#: The library's own sign for a blank, which texts may hold too.
+BLANK_SIGN = "\u2581"
 
 
 def _library(path: str):
@@ -67,6 +73,12 @@ def boundary_pattern(path: str) -> str:
     return f"\n| *{letter}+(?={mark}|[ \n]|$)| *{mark}+(?={letter}|[ \n]|$)| *[^ \n]+| +"
 
 
+def opened(text: str) -> str:
+    """A text as the library sees it: a blank before it, and its sign for a
+    blank read as one."""
+    return " " + text.replace(BLANK_SIGN, " ")
+
+
 def count_pieces(model, pretoken: str) -> int:
     """Pieces of one pre-token inside a text. The library puts a blank before
     what it encodes; a newline shields the pre-tokens that have none."""
@@ -81,12 +93,15 @@ def pretoken_frequencies(docs: DataFrame, pattern: str, text_col: str = "text")
     def run(batches):
         found = re.compile(pattern).findall
         held: Counter[str] = Counter()
+        seen = 0
         for b in batches:
             for t in b.column(0):
                 if text := t.as_py():
-                    held.update(found(" " + text))
-                    if len(held) > FLUSH_ENTRIES:
+                    held.update(found(opened(text)))
+                    seen += len(text)
+                    if len(held) > FLUSH_ENTRIES or seen > FLUSH_CHARACTERS:
                         yield from flush(held)
+                        seen = 0
         yield from flush(held)
 
     def flush(held):
@@ -113,9 +128,10 @@ def with_pieces(frequencies: DataFrame, model_path: str) -> DataFrame:
 
 
 def _hot(counted: DataFrame, entries: int):
-    """The pre-tokens from the lowest frequency step on at which at most
+    """The short pre-tokens from the lowest frequency step on at which at most
     ``entries`` of them remain, as a dictionary, and that frequency."""
     step = F.floor(F.log2("n") * 8).cast("int")
+    counted = counted.where(F.length("pretoken") <= HOT_LENGTH)
     steps = counted.groupBy(step.alias("step")).agg(F.count("*").alias("k"), F.min("n").alias("low"))
     down = steps.withColumn("upto", F.sum("k").over(Window.orderBy(F.desc("step"))))
     low = down.where(F.col("upto") <= entries).agg(F.min("low")).first()[0]
@@ -151,7 +167,7 @@ def count_tokens(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
 
             for row, doc, size, text in zip(*(c.to_pylist() for c in b.columns[:3]), b.column(3)):
                 total, rare = 0, []
-                for p in found(" " + t) if (t := text.as_py()) else ():
+                for p in found(opened(t)) if (t := text.as_py()) else ():
                     if (k := get(p)) is not None:
                         total += k
                     else:
@@ -171,7 +187,7 @@ def count_tokens(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     parts = written(placed.mapInArrow(
         run, f"row long, doc_id {kind}, n_bytes long, pretoken string, tokens long"), "token-parts")
     rare = parts.where("pretoken IS NOT NULL").join(
-        counted.where(F.col("n") < low).select("pretoken", "pieces"), "pretoken").select(
+        counted.where((F.col("n") < low) | (F.length("pretoken") > HOT_LENGTH)).select("pretoken", "pieces"), "pretoken").select(
         "row", "doc_id", "n_bytes", (F.col("tokens") * F.col("pieces")).alias("tokens"))
     known = parts.where("pretoken IS NULL").select("row", "doc_id", "n_bytes", "tokens")
     return known.unionByName(rare).groupBy("row").agg(
