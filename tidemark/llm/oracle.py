@@ -33,13 +33,15 @@ def _op1() -> str:
     return rf"""
 WITH doc AS (
   SELECT doc_id, CASE WHEN lang IN ({strata}) THEN lang ELSE 'other' END AS stratum, coalesce(text, '') AS t FROM documents),
-word AS (SELECT doc_id, regexp_extract_all(t, '[^ 	-]+') AS w FROM doc),
+word AS (SELECT doc_id, regexp_extract_all(t, '[^ 	-
+]+') AS w FROM doc),
 win AS (SELECT doc_id, i, w[i:i + 2] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM word)),
 twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM win) WHERE n > 1),
 rep AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS j FROM twice) GROUP BY doc_id),
 line AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS s FROM doc),
 lines AS (SELECT doc_id, count(*) AS n, count(*) - count(DISTINCT s) AS dup FROM line
-          WHERE regexp_matches(s, '[^ 	-]') GROUP BY doc_id),
+          WHERE regexp_matches(s, '[^ 	-
+]') GROUP BY doc_id),
 feature AS (
   SELECT d.doc_id, d.stratum, len(w.w) AS n_words, length(array_to_string(w.w, '')) AS word_chars,
          len(regexp_extract_all(d.t, '[#*$%&|<>]')) AS n_symbols, coalesce(l.n, 0) AS n_lines,
@@ -93,4 +95,36 @@ SELECT d.doc_id, len(d.w) AS n_words, coalesce(c.n_hit, 0) AS n_hit, coalesce(m.
 FROM doc d LEFT JOIN covered c ON c.doc_id = d.doc_id LEFT JOIN named m ON m.doc_id = d.doc_id
 """
 
-ORACLES: dict[str, str] = {"op1_quality_rules": _op1(), "op5_decontaminate": OP5, "op10_line_dedup": OP10}
+
+#: Five filters over every order: flags by document, then sums over orders and steps.
+OP13 = r"""
+WITH doc AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+fail AS (
+  SELECT doc_id, part,
+         [len(w) < 50, 100 * len(list_distinct(w)) < 65 * len(w), 100 * len(regexp_extract_all(t, '[A-Z]')) > 5 * length(t),
+          regexp_matches(t, '[#$%&*|]'), coalesce(min(doc_id) OVER (PARTITION BY t) < doc_id, false)] AS f FROM doc),
+rated AS (
+  SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+cell AS (
+  SELECT part, f, list_sum([x::INT FOR x IN f]) AS k, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+  FROM fail LEFT JOIN rated USING (doc_id) GROUP BY part, f),
+pos AS (SELECT unnest(range(1, 6)) AS p),
+ord AS (
+  SELECT [a.p, b.p, c.p, d.p, e.p] AS o FROM pos a, pos b, pos c, pos d, pos e
+  WHERE len(list_distinct([a.p, b.p, c.p, d.p, e.p])) = 5),
+step AS (SELECT o, p AS step, o[p] AS own, o[1:p - 1] AS before FROM ord, pos),
+judged AS (
+  SELECT part, o, step, n, good, toxic, k, f[own] AS holds, NOT coalesce(list_bool_or([f[x] FOR x IN before]), false) AS passed FROM cell, step)
+SELECT part, array_to_string([substr('ABCDE', x, 1) FOR x IN o], '') AS filter_order, step::INT AS step,
+       coalesce(sum(n) FILTER (NOT holds AND passed), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (holds AND passed), 0)::BIGINT AS removed,
+       coalesce(sum(n) FILTER (holds AND NOT passed), 0)::BIGINT AS redundant,
+       coalesce(sum(n) FILTER (holds AND k = 1), 0)::BIGINT AS unique_fails,
+       coalesce(sum(good) FILTER (holds AND passed), 0)::BIGINT AS good_lost,
+       coalesce(sum(toxic) FILTER (holds AND passed), 0)::BIGINT AS toxic_lost,
+       coalesce(sum(n * 120 // greatest(k, 1)) FILTER (holds), 0)::BIGINT AS shapley
+FROM judged GROUP BY part, o, step
+"""
+
+ORACLES: dict[str, str] = {"op1_quality_rules": _op1(), "op5_decontaminate": OP5, "op10_line_dedup": OP10, "op13_filter_audit": OP13}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, language, licenses, line_dedup, quality, sharding, simhash, substring_dedup, token_counts
+from . import bpe, decontaminate, filter_audit, language, licenses, line_dedup, quality, sharding, simhash, substring_dedup, token_counts
 from .common import read_table
 
 
@@ -86,6 +86,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc.doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every order of five filters removes, for each source."""
+    return filter_audit.audit(filter_audit.failed_filters(read_table(spark, sf_dir, "documents")), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_simhash": op2_simhash,
@@ -97,4 +102,5 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_line_dedup": op10_line_dedup,
+    "op13_filter_audit": op13_filter_audit,
 }
