@@ -9,7 +9,7 @@ The two filters on words come from a sparse document-term matrix:
    ends, column numbers and counts, with a dictionary of the shard's own words;
 2. the shards' dictionaries are merged into one global dictionary, which numbers
    each distinct word of the corpus from 0 without gaps. Only a shard's distinct
-   words are shuffled, never the words of its documents;
+   words are shuffled, once, never the words of its documents;
 3. each shard's column numbers are replaced by global ones. The written table of
    these shards is the matrix. A row's sum is the document's number of words, and
    the number of its nonzero entries that of its distinct words.
@@ -20,17 +20,20 @@ report over the orders needs.
 
 from __future__ import annotations
 
+from array import array
 from itertools import permutations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyspark.sql.functions as F
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 
 from .common import UPPER, col, written
 
 #: Bytes of text after which a shard is closed. A longer text is a shard of its own.
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 24 << 20
 FILTERS = "ABCDE"
 ORDERS = ["".join(p) for p in permutations(FILTERS)]
 #: What a document fails by: few words, few distinct ones, capitals, symbols.
@@ -48,7 +51,7 @@ def csr_shards(rows: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
         held = {}
 
         def start():
-            held.update(name=None, docs=[], ends=[0], columns=[], counts=[], words={}, size=0)
+            held.update(name=None, docs=[], ends=array("q", [0]), columns=array("i"), counts=array("i"), words={}, size=0)
 
         def close():
             docs = pa.concat_arrays(held["docs"])
@@ -78,7 +81,7 @@ def csr_shards(rows: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
                 for w in seen:
                     if w not in number:
                         number[w] = len(number)
-                held["columns"].extend([number[w] for w in seen])
+                held["columns"].extend(map(number.__getitem__, seen))
                 held["counts"].extend(seen.values())
                 held["ends"].append(len(held["columns"]))
                 held["size"] += len(text)
@@ -91,28 +94,45 @@ def csr_shards(rows: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
         run, f"shard long, docs array<{kind}>, ends binary, columns binary, counts binary, words array<binary>")
 
 
-def dictionary(words: DataFrame) -> DataFrame:
-    """``word, id``: the distinct words, numbered from 0 without gaps. A word's
-    number is its place within its partition plus the sizes of those before."""
-    placed = written(words.select("word").distinct().select("word", F.monotonically_increasing_id().alias("place")), "audit-words")
-    part = F.shiftright("place", 33)
-    sizes = placed.groupBy(part.alias("part")).agg(F.count("*").alias("n"))  # a row per partition
-    first = sizes.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("first"))
-    return placed.withColumn("part", part).join(F.broadcast(first), "part").select(
-        "word", (F.col("first") + F.col("place").bitwiseAND((1 << 33) - 1)).alias("id"))
+def numbered_words(own: DataFrame) -> DataFrame:
+    """``part, place, shard, column, word`` from the shards' dictionaries (``shard,
+    column, word``): equal words meet in one partition, sorted, where each
+    distinct one gets the next place. ``word`` stays in one row of each only.
+    A word has at most one row per shard."""
+
+    def run(batches):
+        part, place, last = TaskContext.get().partitionId(), -1, None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            words = b.column(2)
+            new = np.ones(len(words), bool)
+            new[1:] = pc.not_equal(words.slice(1), words.slice(0, len(words) - 1)).to_numpy(zero_copy_only=False)
+            new[0] = last is None or words[0].as_py() != last
+            places, last = place + np.cumsum(new), words[-1].as_py()
+            place = int(places[-1])
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.full(len(words), part, "i4")), pa.array(places), b.column(0), b.column(1),
+                pc.if_else(pa.array(new), words, pa.scalar(None, words.type))], ["part", "place", "shard", "column", "word"])
+
+    dealt = own.select("shard", "column", "word").repartition("word").sortWithinPartitions("word")
+    return dealt.mapInArrow(run, "part int, place long, shard long, column int, word binary")
 
 
 def document_term_matrix(rows: DataFrame, shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, DataFrame]:
-    """The matrix of ``place, doc, text`` and its dictionary, both written.
+    """The matrix of ``place, doc, text``, written, and its dictionary, ``word, id``.
 
     The matrix has a row per shard: ``shard, docs, ends, counts`` (see
     ``csr_shards``) and ``ids``, the entries' global word numbers (little-endian,
-    8 bytes each).
+    8 bytes each). Numbers run from 0 without gaps: a word's place within its
+    partition, after the words of the partitions before.
     """
     shards = written(csr_shards(rows, shard_bytes), "audit-shards")
-    own = shards.select("shard", F.posexplode("words").alias("column", "word"))
-    words = written(dictionary(own), "audit-dictionary")
-    numbered = own.join(words, "word").groupBy("shard").agg(  # a shard's words are bounded by its bytes
+    numbered = written(numbered_words(shards.select("shard", F.posexplode("words").alias("column", "word"))), "audit-words")
+    sizes = numbered.groupBy("part").agg((F.max("place") + 1).alias("n"))  # a row per partition
+    first = F.broadcast(sizes.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("first")))
+    known = numbered.join(first, "part").withColumn("id", F.col("first") + F.col("place"))
+    ids = known.groupBy("shard").agg(  # a shard's words are bounded by its bytes
         F.transform(F.sort_array(F.collect_list(F.struct("column", "id"))), lambda x: x["id"]).alias("ids"))
 
     def run(batches):
@@ -121,9 +141,9 @@ def document_term_matrix(rows: DataFrame, shard_bytes: int = SHARD_BYTES) -> tup
                        for columns, ids in zip(b.column(4), b.column(5))]
             yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(entries, pa.binary())], ["shard", "docs", "ends", "counts", "ids"])
 
-    joined = shards.join(numbered, "shard", "left").select("shard", "docs", "ends", "counts", "columns", "ids")
+    joined = shards.join(ids, "shard", "left").select("shard", "docs", "ends", "counts", "columns", "ids")
     matrix = joined.mapInArrow(run, f"shard long, docs {shards.schema['docs'].dataType.simpleString()}, ends binary, counts binary, ids binary")
-    return written(matrix, "audit-matrix"), words
+    return written(matrix, "audit-matrix"), known.where("word IS NOT NULL").select("word", "id")
 
 
 def word_totals(matrix: DataFrame) -> DataFrame:

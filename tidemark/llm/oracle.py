@@ -127,4 +127,21 @@ SELECT part, array_to_string([substr('ABCDE', x, 1) FOR x IN o], '') AS filter_o
 FROM judged GROUP BY part, o, step
 """
 
-ORACLES: dict[str, str] = {"op1_quality_rules": _op1(), "op5_decontaminate": OP5, "op10_line_dedup": OP10, "op13_filter_audit": OP13}
+
+_TERMS = _WORDS.replace(r"\x3A-\x60", r"\x3A-\x40\x5B-\x60")
+OP11 = rf"""
+WITH doc AS (SELECT doc_id, row_number() OVER () AS r, {_TERMS} AS w FROM documents),
+total AS (SELECT count(*) AS big_n, sum(len(w))::BIGINT AS big_l FROM doc WHERE len(w) > 0),
+tf AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM doc) GROUP BY r, t),
+weight AS (SELECT t, floor(1000 * ln((2 * any_value(big_n) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tf, total GROUP BY t),
+item AS (SELECT item_id, row_number() OVER () AS i, {_TERMS} AS w FROM benchmark),
+ask AS (SELECT i, item_id, t, count(*) AS q FROM (SELECT i, item_id, unnest(w) AS t FROM item) GROUP BY i, item_id, t),
+length AS (SELECT r, doc_id, 75 + (25 * len(w) * big_n) // big_l AS m FROM doc, total WHERE len(w) > 0),
+score AS (
+  SELECT i, item_id, doc_id, r, sum(q * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM ask JOIN weight USING (t) JOIN tf USING (t) JOIN length USING (r) GROUP BY i, item_id, doc_id, r)
+SELECT item_id, (row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id))::INT AS rank, doc_id, score
+FROM score WHERE score > 0 QUALIFY rank <= 20
+"""
+
+ORACLES: dict[str, str] = {"op1_quality_rules": _op1(), "op5_decontaminate": OP5, "op10_line_dedup": OP10, "op11_lexical_search": OP11, "op13_filter_audit": OP13}

@@ -5,7 +5,8 @@ from __future__ import annotations
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, filter_audit, language, licenses, line_dedup, quality, sharding, simhash, substring_dedup, token_counts
+from . import (bpe, decontaminate, filter_audit, language, lexical_search, licenses, line_dedup, mixing, quality, sharding, simhash,
+               substring_dedup, token_counts)
 from .common import read_table
 
 
@@ -86,6 +87,22 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc.doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+#: Documents that each benchmark item gets.
+BEST = 20
+
+
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that share most with each benchmark item."""
+    found = lexical_search.ranked_search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), BEST)
+    return found.select("item.item_id", "rank", "doc_id", "score")
+
+
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often a mix of one and a half times the words takes each document."""
+    mixed = mixing.mix_sources(read_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What every order of five filters removes, for each source."""
     return filter_audit.audit(filter_audit.failed_filters(read_table(spark, sf_dir, "documents")), read_table(spark, sf_dir, "labels"))
@@ -102,5 +119,7 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_line_dedup": op10_line_dedup,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_mixing": op12_mixing,
     "op13_filter_audit": op13_filter_audit,
 }
