@@ -66,3 +66,51 @@ def test_holder_of_any_length():
         assert labels(t) == [("bsd", 0, n + 10)]
     assert labels("neither the name of x " * 20_000) == []
     assert labels("neither the name of a neither the name of b nor the names of its contributors") == [("bsd", 5, 16)]
+
+
+def test_lists_short_names_and_ordinary_words():
+    forms = {
+        "CC BY-NC-SA 4.0": {"cc-by-nc-sa-4"}, "CC-BY 4.0": {"cc-by-4"}, "MIT/X11": {"mit"}, "Apache-2.0 OR MIT": {"apache-2", "mit"},
+        "Creative Commons Attribution-ShareAlike 4.0 International License": {"cc-by-sa-4"}, "CC BY-ND": {"cc-by-nd"},
+        "dual licensed under MIT or Apache 2.0": {"mit", "apache-2"}, "MIT AND BSD-3-Clause OR ISC": {"mit", "bsd", "isc"},
+        "licensed under the vim license": {"vim"}, "Elastic License 2.0": {"elastic-2"}, "licensed under the PHP License": {"php"},
+        "the vim license plate": set(), "elastic license to drive": set(), "the common public license plates": set(), "a ruby license": set(),
+        "mit dem Apache 2 Hubschrauber": set(), "rock and isc": set(),
+    }
+    assert {t: {x[0] for x in labels(t)} for t in forms} == forms
+
+
+def ungated(text, rules):
+    """Every rule on every text, and containment by comparing all pairs."""
+    line = " " + " ".join(words(text)) + " "
+    found = [(m.start(), m.end(), r.priority, i) for i, (r, e) in enumerate(rules) for m in e.finditer(line)]
+    rank = lambda d: (-(d[1] - d[0]), -d[2], d[3])
+    inside = lambda a, b: b[0] <= a[0] and a[1] <= b[1] and b[2] >= a[2] and (a[:2] != b[:2] or rank(b) < rank(a))
+    kept = [d for d in found if not any(inside(d, e) for e in found if e is not d)]
+    at = lambda pos: line.count(" ", 0, pos) - 1
+    return sorted((rules[i][0].label, p, at(s), at(e) + 1) for s, e, p, i in kept)
+
+
+def test_gate_and_containment_against_all_rules_and_pairs():
+    import random
+    rules = licenses.build_rules()
+    scanner = licenses.Scanner(rules, BASE_PHRASES)
+    compiled = [(x, re.compile(f"(?<= )(?:{x.expression})(?= )")) for x in rules]
+    r = random.Random(7)
+    parts = ("licensed under the terms of|license|version|v|2|3|2.1|or|and|mit|apache|gnu|gpl|gplv3|lesser|general public license|bsd|3-clause|"
+             "all rights reserved|creative commons attribution|sharealike|cc by|nc|sa|4.0|international|public domain|SPDX-License-Identifier:|"
+             "mpl|mozilla public|only|or later|vim|elastic|software is provided as is without warranty of any kind|the|x11|isc").split("|")
+    for _ in range(1500):
+        text = " ".join(r.choice(parts) for _ in range(r.randint(1, 12)))
+        got = sorted(scanner.scan(text.encode())[2])
+        assert got == ungated(text, compiled), text
+
+
+def test_time_grows_with_the_hits():
+    import time
+    scanner = licenses.Scanner(licenses.build_rules(), BASE_PHRASES)
+    text = b"All rights reserved. under the mit license " * 120_000  # 5 MB
+    began = time.time()
+    n, base, found = scanner.scan(text)
+    assert time.time() - began < 60 and n == 7 * 120_000 and len(base) == 120_000 and base[-1][1] == n - 4
+    assert sum(label == "all-rights-reserved" for label, *_ in found) == 120_000

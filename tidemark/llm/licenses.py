@@ -12,6 +12,7 @@ suppressed. Each row is judged alone: nothing is shuffled or collected.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from dataclasses import dataclass
 
 import ahocorasick
@@ -82,12 +83,32 @@ FAMILIES: list[tuple[str, str, str, tuple[str, ...]]] = [
 SHORT = {"gpl": "gpl", "lgpl": "lgpl", "agpl": "agpl", "gfdl": "g?fdl", "mpl": "mpl", "cddl": "cddl", "eupl": "eupl", "odbl": "odbl",
          "pddl": "pddl", "lppl": "lppl", "busl": "busl", "sspl": "sspl", "wtfpl": "wtfpl", "cecill": "cecill"}
 SHORT_WITH_V = {"apache": "apache", "epl": "epl", "osl": "osl", "afl": "afl", "python": "psf", "ofl": "ofl", "upl": "upl", "qpl": "qpl"}
+#: Families whose names are ordinary words too: "name license" alone says nothing of them.
+ORDINARY = {"cpl", "boost", "php", "ruby", "elastic", "vim"}
 #: Keywords of names that stand without a word for license, where the family's has that word.
 BARE_KEYWORDS = {"mit": "under mit |under the mit |terms of mit |terms of the mit |expat"}
 #: Names that are a license without that word.
 BARE_NAMES: list[tuple[str, str, str]] = [
     ("bsd", "bsd (?:[0234]|two|three|four) clause", "clause"),
     ("bsd", "(?:[0234]|two|three|four) clause bsd", "clause"),
+    ("mit", "mit x11", "mit x11"),
+    ("mit", "x11 licen[sc]e", "x11 licen"),
+    ("apache-2", "apache 2 0", "apache 2 0"),
+    ("cc-by-sa", "cc by sa", "cc by sa"),
+    ("cc-by-nd", "cc by nd", "cc by nd"),
+    ("cc-by-nc", "cc by nc", "cc by nc"),
+    ("cc-by-nc-sa", "cc by nc sa", "cc by nc sa"),
+    ("cc-by-nc-nd", "cc by nc nd", "cc by nc nd"),
+    ("cc0", "cc0", " cc0 "),
+    ("unlicense", "the unlicense", "the unlicense"),
+]
+# Names as expressions of licenses write them ("apache 2 0 or mit"), with their labels. In such
+# an expression a name needs no other word.
+LISTED: list[tuple[str, str]] = [
+    ("mit", "mit"), ("apache-2", "apache 2 0"), ("apache-2", "apache 2"), ("bsd", "bsd 2 clause"), ("bsd", "bsd 3 clause"), ("isc", "isc"),
+    ("zlib", "zlib"), ("mpl-2", "mpl 2 0"), ("gpl-2", "gpl 2 0"), ("gpl-3", "gpl 3 0"), ("gpl-2", "gplv2"), ("gpl-3", "gplv3"),
+    ("lgpl-2.1", "lgpl 2 1"), ("lgpl-3", "lgpl 3 0"), ("agpl-3", "agpl 3 0"), ("unlicense", "unlicense"), ("cc0-1", "cc0 1 0"),
+    ("boost-1", "bsl 1 0"), ("epl-2", "epl 2 0"),
 ]
 # Wording of notices and license texts, as (label, expression, keyword).
 NOTICES: list[tuple[str, str, str]] = [
@@ -117,6 +138,47 @@ NOTICES: list[tuple[str, str, str]] = [
     ("proprietary", "(?:confidential and proprietary|proprietary and confidential)", "proprietary"),
     ("proprietary", "unauthori[sz]ed (?:copying|use|reproduction|distribution)", "unauthori"),
     ("no-warranty", "the software is provided as is without warranty of any kind", "without warranty"),
+    ("apache-2", "unless required by applicable law or agreed to in writing software distributed under the license", "applicable law"),
+    ("apache-2", "licensed to the apache software foundation", "apache software"),
+    ("gpl", "you should have received a copy of the gnu general public license", "received a copy"),
+    ("lgpl", "you should have received a copy of the gnu lesser general public license", "received a copy"),
+    ("agpl", "you should have received a copy of the gnu affero general public license", "received a copy"),
+    ("gpl", "this program is distributed in the hope that it will be useful but without any warranty", "in the hope"),
+    ("lgpl", "this library is distributed in the hope that it will be useful but without any warranty", "in the hope"),
+    ("gpl", "everyone is permitted to copy and distribute verbatim copies of this license document", "verbatim copies"),
+    ("gfdl", "permission is granted to copy distribute and or modify this document", "modify this document"),
+    ("bsd", "redistributions in binary form must reproduce the above copyright notice", "binary form"),
+    ("bsd", "all advertising materials mentioning features or use of this software must display", "advertising materials"),
+    ("bsd", "the views and conclusions contained in the software and documentation are those of the authors", "views and conclusions"),
+    ("isc", "the software is provided as is and the author disclaims all warranties", "disclaims all"),
+    ("mpl-2", "if a copy of the mpl was not distributed with this file you can obtain one at", "copy of the mpl"),
+    ("mpl-1.1", "software distributed under the license is distributed on an as is basis without warranty of any kind either express or implied", "as is basis"),
+    ("epl", "this program and the accompanying materials are made available under the terms of the eclipse public license", "accompanying materials"),
+    ("cddl-1", "you can obtain a copy of the license at usr src opensolaris license", "opensolaris"),
+    ("ofl-1.1", "this font software is licensed under the sil open font license", "font software"),
+    ("artistic-2", "everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed", "changing it"),
+    ("cc0-1", "to the extent possible under law the (?:author|person)(?: who| has)", "extent possible"),
+    ("cc-by", "this work is licensed under (?:a|the) creative commons attribution", "creative commons"),
+    ("python-2", "psf is making python available to licensee on an as is basis", "psf is making"),
+    ("postgresql", "permission to use copy modify and distribute this software and its documentation for any purpose without fee", "without fee"),
+    ("zlib", "altered source versions must be plainly marked as such", "plainly marked"),
+    ("zlib", "this notice may not be removed or altered from any source distribution", "removed or altered"),
+    ("boost-1", "distributed under the boost software license version 1 0", "boost software"),
+    ("unlicense", "anyone is free to copy modify publish use compile sell or distribute this software", "anyone is free"),
+    ("public-domain", "no copyright is claimed", "copyright is claimed"),
+    ("public-domain", "has been dedicated to the public domain", "public domain"),
+    ("ms-pl", "if you use the software you accept this license", "accept this license"),
+    ("sspl-1", "making the functionality of the program or a modified version available to third parties as a service", "as a service"),
+    ("busl-1.1", "the licensor hereby grants you the right to copy modify create derivative works redistribute and make non production use", "non production"),
+    ("elastic-2", "you may not provide the software to third parties as a hosted or managed service", "managed service"),
+    ("odbl-1", "this database is made available under the open database license", "open database"),
+    ("blue-oak-1", "each contributor licenses you to do everything with this software", "each contributor"),
+    ("non-commercial", "for (?:personal and )?non ?commercial use only", "commercial use"),
+    ("non-commercial", "not for commercial use", "commercial use"),
+    ("proprietary", "this software is (?:the )?proprietary", "proprietary"),
+    ("proprietary", "no part of this (?:publication|work|book|document) may be reproduced", "may be reproduced"),
+    ("proprietary", "trade secrets? (?:of|and)", "trade secret"),
+    ("used-with-permission", "(?:used|reprinted|reproduced) (?:with|by) (?:the )?(?:kind )?permission", "permission"),
     ("commercial", "(?:commercial|enterprise) licen[sc]e agreement", "agreement"),
     ("eula", "end user licen[sc]e agreement", "agreement"),
 ]
@@ -150,8 +212,11 @@ def build_rules(families=None, notices=None) -> list[Rule]:
         named = "licen[sc]es?(?: is| type| name| id)? (?:under )?(?:the )?"
         granted = ("(?:licen[sc]ed|released|distributed|published|available|provided|covered|governed|offered) "
                    "(?:under|by|with|on) (?:the )?(?:terms of )?(?:the )?")
+        ported = "(?: (?:international|unported|generic))?" if stem.startswith("cc") else ""
         for v in versions:
             label = f"{stem}-{v.replace(' ', '.')}"
+            if ported:
+                rules.append(Rule(label, f"{name} {_version(v)}{ported}(?: {kind})?", keyword, VERSIONED))
             rules += [
                 Rule(label, f"spdx licen[sc]e identifier {words} {_version(v)}(?: only| or later)?", "spdx", TAG),
                 Rule(label, f"{granted}{name}(?: {kind})? (?:version |v ?)?{_version(v)}", keyword, VERSIONED),
@@ -166,13 +231,21 @@ def build_rules(families=None, notices=None) -> list[Rule]:
             Rule(stem, f"spdx licen[sc]e identifier {words}", "spdx", TAG),
             Rule(stem, f"{granted}{name} {kind}", keyword, REFERENCE),
             Rule(stem, f"{given}{name}", BARE_KEYWORDS.get(stem, keyword), REFERENCE),
-            Rule(stem, f"{name} {kind}", keyword, NAME),
-            Rule(stem, f"{named}{name}", keyword, NAME),
         ]
+        if stem not in ORDINARY:
+            rules += [Rule(stem, f"{name} {kind}", keyword, NAME), Rule(stem, f"{named}{name}", keyword, NAME)]
     rules += [Rule(label, e, k, NAME) for label, e, k in BARE_NAMES]
+    others = "|".join(sorted({n for _, n in LISTED}, key=lambda n: (-len(n), n)))
+    after = "|".join(f"(?<= {n} {w} )" for n in sorted({n for _, n in LISTED}) for w in ("or", "and"))
+    for label, n in LISTED:
+        rules += [Rule(label, f"{n}(?= (?:or|and) (?:{others}) )", f"{n} or |{n} and ", REFERENCE),
+                  Rule(label, f"(?:{after}){n}", f" or {n} | and {n} ", REFERENCE)]
     return rules + [Rule(label, e, k, TEXT) for label, e, k in (NOTICES if notices is None else notices)]
 
 
+_BLANK = re.compile(" ")
+
+
 class Scanner:
     """Compiled rules for one worker."""
 
@@ -199,7 +272,8 @@ class Scanner:
         words = text.translate(self.fold).split()
         line = " " + b" ".join(words).decode("utf-8", "replace") + " "
         due = sorted({i for _, which in self.words.iter(line) for i in which})
-        at = lambda pos: line.count(" ", 0, pos) - 1  # noqa: E731 - the word that starts at pos
+        blanks = [m.start() for m in _BLANK.finditer(line)] if due else []
+        at = lambda pos: bisect_left(blanks, pos) - 1  # noqa: E731 - the word that starts at pos
         base, found = [], []
         for i in due:
             if i < 0:
