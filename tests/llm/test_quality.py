@@ -49,8 +49,26 @@ def test_cutoffs_need_enough_good_documents(spark):
     docs, labels = make(spark, 1700, 100, 40)
     got = quality.judge(docs, labels).groupBy(F.col("doc_id") < 1700).agg(F.sum(F.col("kept").cast("int")).alias("n")).collect()
     assert dict(map(tuple, got)) == {True: 1700, False: 0}
-    docs, labels = make(spark, 300, 100, 40)  # too few to be sure
-    assert quality.judge(docs, labels).where("kept").count() == 400
+    docs, labels = make(spark, 140, 100, 40)  # 149 would do
+    assert quality.judge(docs, labels).where("kept").count() == 240
+
+
+def test_strata_and_rules_that_take_part_come_from_the_data(spark):
+    """Two languages, one of them unheard of: each has its own cutoffs, the error is
+    halved, and only a rule that reaches new bad documents takes risk from the others."""
+    docs, labels = make(spark, 200, 30, 40)
+    other = docs.withColumn("doc_id", F.col("doc_id") + 1000).withColumn("lang", F.lit("xx"))
+    all_docs, all_labels = docs.unionByName(other), labels.unionByName(labels.withColumn("doc_id", F.col("doc_id") + 1000))
+    got = quality.judge(all_docs, all_labels)
+    assert {r.stratum: r.n for r in got.where("NOT kept").groupBy("stratum").agg(F.count("*").alias("n")).collect()} == {"en": 30, "xx": 30}
+    features = quality.values(quality.base_features(all_docs, {"doc_id": F.col("doc_id"), "stratum": F.col("lang")}))
+    found = quality.certified_cutoffs(features, all_labels).collect()
+    assert {r.rule for r in found} == {0} and all(abs(r.tail - 0.98 ** 200) < 1e-12 for r in found if r.good_rejected == 0)
+    # a bad document that only the last rule reaches makes it take part: risk and error are halved, and 200 are too few
+    short = spark.createDataFrame([(5000, " ".join(chr(97 + i % 26) + chr(97 + i // 26) for i in range(300)), "en")], "doc_id long, text string, lang string")
+    more = all_labels.unionByName(spark.createDataFrame([(5000, 0)], "doc_id long, quality int"))
+    features = quality.values(quality.base_features(all_docs.unionByName(short), {"doc_id": F.col("doc_id"), "stratum": F.col("lang")}))
+    assert {r.stratum for r in quality.certified_cutoffs(features, more).collect()} == {"xx"}
 
 
 def test_conflicting_and_null_labels(spark):

@@ -23,16 +23,14 @@ FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
 """
 
 def _op1() -> str:
-    from .quality import ERROR, RISK, RULES, STRATA
+    from .quality import ERROR, RISK, RULES
     value = lambda e: e.replace(" div ", " // ")
     ladders = ", ".join(f"({r}, {p}, {c})" for r, (_, _, ladder) in enumerate(RULES) for p, c in enumerate(ladder))
     values = ", ".join(value(e) for _, e, _ in RULES)
-    share = RISK / len(RULES)
-    level = ERROR / ((len(STRATA) + 1) * len(RULES))
-    strata = ", ".join(f"'{x}'" for x in STRATA)
+    strictest = ", ".join(f"CASE WHEN v[{r + 1}] > {ladder[-1]} THEN {r} END" for r, (_, _, ladder) in enumerate(RULES))
     return rf"""
 WITH doc AS (
-  SELECT doc_id, CASE WHEN lang IN ({strata}) THEN lang ELSE 'other' END AS stratum, coalesce(text, '') AS t FROM documents),
+  SELECT doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS t FROM documents),
 word AS (SELECT doc_id, regexp_extract_all(t, '[^ 	-
 ]+') AS w FROM doc),
 win AS (SELECT doc_id, i, w[i:i + 2] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM word)),
@@ -57,14 +55,18 @@ cell AS (
   SELECT stratum, rule, position, cutoff, count(*) FILTER (quality >= 1) AS good, count(*) FILTER (quality < 1) AS bad,
          count(*) FILTER (quality >= 1 AND v[rule + 1] > cutoff) AS k, count(*) FILTER (quality < 1 AND v[rule + 1] > cutoff) AS b
   FROM seen, ladder GROUP BY ALL),
-term AS (SELECT *, unnest(range(0, k + 1)) AS i FROM cell WHERE k < good * {share}),
+used AS (SELECT DISTINCT stratum, coalesce({strictest}) AS rule FROM seen WHERE quality < 1),
+part AS (SELECT stratum, count(rule) AS m FROM used GROUP BY stratum),
+strata AS (SELECT count(DISTINCT stratum) AS n FROM seen WHERE quality >= 1),
+tried AS (SELECT c.*, {RISK} / m AS share, {ERROR} / (n * m) AS level FROM cell c JOIN used USING (stratum, rule) JOIN part USING (stratum), strata),
+term AS (SELECT *, unnest(range(0, k + 1)) AS i FROM tried WHERE k < good * share),
 tail AS (
-  SELECT stratum, rule, position, cutoff, good, bad, k, b,
-         sum(exp(lgamma(good + 1) - lgamma(i + 1) - lgamma(good - i + 1) + i * ln({share}) + (good - i) * ln(1 - {share}))) AS p
+  SELECT stratum, rule, position, cutoff, good, bad, k, b, level,
+         sum(exp(lgamma(good + 1) - lgamma(i + 1) - lgamma(good - i + 1) + i * ln(share) + (good - i) * ln(1 - share))) AS p
   FROM term GROUP BY ALL),
 best AS (
   SELECT stratum, rule, cutoff, row_number() OVER (PARTITION BY stratum, rule ORDER BY b * good - k * bad DESC, position) AS r
-  FROM tail WHERE p <= {level} AND b * good - k * bad > 0),
+  FROM tail WHERE p <= level AND b * good - k * bad > 0),
 failed AS (SELECT DISTINCT j.doc_id FROM judged j JOIN best c ON c.stratum = j.stratum AND c.r = 1 WHERE j.v[c.rule + 1] > c.cutoff)
 SELECT j.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND f.doc_id IS NULL AS kept, stratum
