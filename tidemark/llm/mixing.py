@@ -163,6 +163,8 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: fl
     groups = sized.groupBy("source", "size", "doc_id").agg(F.count("*").alias("m")).join(
         names, F.col("source").eqNullSafe(F.col("name"))).drop("name").join(cells, ["number", "size"]).withColumn(
         "h", h).withColumn("piece", F.floor(share_of * F.col("pieces")))
+    # the join may deal rows by source and size, of which one may hold a third of all rows: ranges are what tasks get
+    groups = groups.repartition("number", "size", "piece")
     ranges = groups.groupBy("number", "size", "piece").agg(F.sum("m").alias("m"))
     first = ranges.select("number", "size", "piece", (F.sum("m").over(
         Window.partitionBy("number", "size").orderBy("piece")) - F.col("m")).alias("first"))
