@@ -61,14 +61,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def materialize(df, name: str):
+def materialize(df, name: str, compression: str | None = None):
     """Cut the lineage of a reused intermediate: write it as Parquet into the
     shared checkpoint folder and read it back. Later plans are a plain scan
     with real size statistics (so planning stays cheap and broadcast
-    decisions are informed), and the data survives executor loss."""
+    decisions are informed), and the data survives executor loss. Large tables
+    of numbers may name a denser codec."""
     spark = df.sparkSession
     path = scratch_path(spark, f"materialized/{name}-{uuid.uuid4().hex[:12]}")
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").options(**({"compression": compression} if compression else {})).parquet(path)
     return spark.read.parquet(path)
 
 
