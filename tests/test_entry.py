@@ -16,7 +16,7 @@ def test_every_query_has_oracle_or_is_declared(spark):
     from tidemark.plans.registry import QUERIES
     q, o = QUERIES, E.oracle_sql()
     rows_only = {k for k in q if k not in o}
-    assert rows_only <= {"cv_logistic", "holdout_protocols", "ensemble_fit_score", "grid_search", "batch_scoring"}
+    assert rows_only <= {"cv_logistic", "holdout_protocols", "ensemble_fit_score", "grid_search", "batch_scoring", "stream_fitted_scoring"}
 
 
 def _norm(v):

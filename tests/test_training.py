@@ -86,6 +86,12 @@ def test_pipeline_stages_and_save(spark, tiny_combined, tmp_path):
     assert again.window_dates == model.ensemble.window_dates and again.active == model.ensemble.active
 
 
+@pytest.mark.parametrize("bad", [2, None])
+def test_balancing_other_labels_raises(tiny_combined, bad):
+    with pytest.raises(ValueError, match="0 or 1"):
+        TR.balance_by_resampling(tiny_combined.withColumn("label", F.when(F.col("sample_id") == "p003", F.lit(bad).cast("int")).otherwise(F.col("label"))))
+
+
 def test_balance_and_batch_score(spark, tiny_combined):
     b = TR.balance_by_resampling(tiny_combined)
     c = {r["label"]: r["count"] for r in b.groupBy("label").count().collect()}

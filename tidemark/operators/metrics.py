@@ -136,21 +136,22 @@ REPORT_ROWS = (
 )
 
 
-def report_frame(section: int) -> list[str]:
-    """The lines of a section (0 to 2) above its rows."""
+def report_frame(section: int, title: str | None = None) -> list[str]:
+    """The lines of a section (0 to 2) above its rows, under its own or another title."""
     rule = "|" + "---|" * REPORT_HEADS[section].count(" | ") + "---|"
     notes = [REPORT_NOTES[section], ""] if section < len(REPORT_NOTES) else []
-    return [*([""] if section else []), REPORT_TITLES[section], "", *notes, REPORT_HEADS[section], rule]
+    return [*([""] if section else []), title or REPORT_TITLES[section], "", *notes, REPORT_HEADS[section], rule]
 
 
-def render_report(headline: DataFrame, summary: DataFrame) -> DataFrame:
+def render_report(headline: DataFrame, summary: DataFrame, title: str | None = None) -> DataFrame:
     """A4: markdown lines (one row each, ``line_no`` orders them): the hold-out
-    table, the CV AUC table and the full CV statistics, each with its heading.
+    table (under ``title``, if it is another), the CV AUC table and the full CV
+    statistics, each with its heading.
     A line number is 1000 times the section plus the place in it; numbers are
     formatted on the executors."""
     schema = T.StructType([T.StructField("line_no", T.IntegerType()), T.StructField("line", T.StringType())])
     fixed = small_frame(headline.sparkSession, [
-        (1000 * s + i, line) for s in range(3) for i, line in enumerate(report_frame(s))], schema)
+        (1000 * s + i, line) for s in range(3) for i, line in enumerate(report_frame(s, None if s else title))], schema)
     row = lambda s, *c: F.format_string(REPORT_ROWS[s], *c).alias("line")
     at = lambda s, place: (F.lit(1000 * s + 100) + place).cast("int").alias("line_no")
     holdout = headline.select(at(0, F.col("ord")), row(

@@ -575,8 +575,7 @@ tem AS (SELECT sides.*, mids.model_id, {PF('mids.model_id', 'sides.sample_id', '
         FROM sides, mids WHERE split = 'test'),
 {AUC_SQL("trm", "model_id, protocol, fold")},
 {AUC_SQL("tem", "model_id, protocol")},
-names AS (SELECT * FROM (VALUES (0, 'logistic_regression'), (1, 'decision_tree'), (2, 'random_forest'),
-                                (3, 'torch_mlp'), (4, 'xgboost')) t(model_id, model_name)),
+names AS (SELECT CAST(range AS INTEGER) AS model_id, 'score_' || range AS model_name FROM range(5)),
 ntr AS (SELECT protocol, count(*) AS nt FROM sides WHERE split = 'train' GROUP BY protocol),
 cvacc AS (SELECT model_id, protocol, fold, {ACC('p >= 0.5')} AS accuracy, count(*) AS n_val FROM trm GROUP BY ALL),
 cv AS (SELECT model_name, protocol, fold, auc, accuracy, nt - n_val AS n_train, n_val, 0.0::DOUBLE AS fit_seconds
@@ -601,8 +600,7 @@ cs AS (SELECT model_name, avg(auc) FILTER (WHERE protocol = 'random') AS rm, std
 hs AS (SELECT model_name, any_value(auc) FILTER (WHERE protocol = 'random') AS ra, any_value(auc) FILTER (WHERE protocol = 'temporal') AS ta,
               any_value(accuracy) FILTER (WHERE protocol = 'random') AS rc, any_value(accuracy) FILTER (WHERE protocol = 'temporal') AS tc
        FROM ho GROUP BY model_name),
-ordt AS (SELECT * FROM (VALUES ('logistic_regression', 0), ('decision_tree', 1), ('random_forest', 2), ('torch_mlp', 3),
-                               ('xgboost', 4), ('lightgbm', 5), ('catboost', 6)) t(model_name, ord))
+ordt AS (SELECT model_name, model_id AS ord FROM names)
 SELECT model_name, round_even(rm, 4) AS random_cv_auc, round_even(rs, 4) AS random_cv_std,
        round_even(tm, 4) AS temporal_cv_auc, round_even(ts, 4) AS temporal_cv_std, round_even(rm - tm, 4) AS drift_gap_cv_auc,
        round_even(ra, 4) AS random_holdout_auc, round_even(ta, 4) AS temporal_holdout_auc,
@@ -807,7 +805,8 @@ SELECT p, round(max(least), 6) AS calibrated FROM m GROUP BY p"""
 
 def _report() -> str:
     from tidemark.operators.metrics import REPORT_ROWS, report_frame
-    fixed = ", ".join(f"({1000 * s + i}, {q(line)})" for s in range(3) for i, line in enumerate(report_frame(s)))
+    title = "### Random vs temporal hold-out, 5 md5 score columns"
+    fixed = ", ".join(f"({1000 * s + i}, {q(line)})" for s in range(3) for i, line in enumerate(report_frame(s, None if s else title)))
     row = lambda s, *c: f"printf({q(REPORT_ROWS[s])}, {', '.join(c)}) AS line"
     return f"""
 WITH h AS ({ORACLES["drift_gap_table"]}), s AS ({ORACLES["cv_summary"]})
@@ -818,3 +817,26 @@ UNION ALL SELECT CAST(2100 + row_number() OVER (ORDER BY model_name, protocol) A
 
 
 ORACLES["evaluation_report"] = _report()
+
+ORACLES["upload_check"] = """
+WITH u AS (SELECT o_orderpriority AS upload, row_number() OVER (ORDER BY o_orderpriority) - 1 AS i, count(*) AS n FROM orders GROUP BY 1)
+SELECT upload, n, CASE i % 3 WHEN 0 THEN '' WHEN 1 THEN 'the table lacks the columns o_orderkey'
+                  ELSE 'the table lacks the columns o_orderkey, o_totalprice' END AS lacks FROM u"""
+
+ORACLES["result_parts"] = """
+SELECT CASE WHEN o_orderstatus = 'F' THEN 'cv' ELSE 'holdout' END AS stage, CASE WHEN o_orderkey % 2 = 0 THEN 'random' ELSE 'temporal' END AS protocol,
+       translate(lower(o_orderpriority), ' -', '') AS model_name, count(*) AS n, round(max(o_totalprice), 2) AS top
+FROM orders GROUP BY ALL"""
+
+ORACLES["stream_late_labels"] = f"""
+WITH o AS (SELECT o_orderkey AS sample_id, o_orderdate AS ts FROM orders),
+label AS (SELECT l_orderkey AS sample_id, l_shipdate AS lts, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS label FROM lineitem WHERE l_linenumber = 1),
+j AS (SELECT o.*, label FROM o LEFT JOIN label l ON l.sample_id = o.sample_id AND lts >= ts AND lts <= ts + INTERVAL 60 DAY),
+m AS (SELECT time_bucket(INTERVAL '30 days', ts, TIMESTAMP '1970-01-01') AS window_start, CAST(r.model_id AS INTEGER) AS model_id, label,
+             {PF('r.model_id', 'j.sample_id', '0')} AS p FROM j, (SELECT range AS model_id FROM range(5)) r),
+a AS (SELECT window_start, model_id, count(*) AS n, count(label) AS n_labelled, count(*) - count(label) AS n_unlabelled,
+             avg(CASE WHEN label IS NOT NULL THEN CAST((p >= 0.3)::INT = label AS INT) END) AS accuracy FROM m GROUP BY ALL),
+b AS (SELECT *, lag(accuracy) OVER (PARTITION BY model_id ORDER BY window_start) AS last FROM a)
+SELECT window_start, model_id, n, n_labelled, n_unlabelled, round(accuracy, 6) AS accuracy,
+       round(CASE WHEN last IS NOT NULL AND accuracy IS NOT NULL THEN CASE WHEN last <= 0 THEN 0.0
+             ELSE least(greatest((last - accuracy) / last, 0.0), 1.0) END END, 6) AS decay FROM b"""

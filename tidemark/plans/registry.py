@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 import uuid
 from functools import reduce
 
-from tidemark.config import FIXTURE
+from tidemark.config import CV_FOLDS, FIXTURE
 from tidemark.operators import splits as S
 from tidemark.sources import fixtures as FX
 
@@ -269,7 +269,6 @@ def leakage_profile(spark, d):
 from tidemark.operators import decision as DC  # noqa: E402
 from tidemark.operators import drift as D  # noqa: E402
 from tidemark.operators import metrics as MT  # noqa: E402
-from tidemark.config import HEADLINE_ORDER  # noqa: E402
 
 K = 5
 PCOLS = [f"p_{i}" for i in range(K)]
@@ -429,11 +428,16 @@ def roc_auc_by_model(spark, d):
     return x.select("model_id", r6("auc").alias("auc"), "n_pos", "n_neg")
 
 
+#: The md5 score columns, which are no models, and the report's first heading over them.
+SCORE_NAMES = tuple(f"score_{i}" for i in range(K))
+SCORE_TITLE = f"### Random vs temporal hold-out, {K} md5 score columns"
+
+
 def _metric_records(spark, d):
     """cv and hold-out metric records for 5 score columns under both
     protocols: folds on the train side (T6), AUC/accuracy per fold (A13/A14)."""
     s = FX.samples(spark, d)
-    names = F.element_at(F.array(*[F.lit(n) for n in HEADLINE_ORDER[:K]]), F.col("model_id") + 1)
+    names = F.element_at(F.array(*[F.lit(n) for n in SCORE_NAMES]), F.col("model_id") + 1)
     sides = FX.reuse(spark, ("sides", d), lambda: (
         S.random_split(s, R).withColumn("protocol", F.lit("random"))
         .unionByName(_temporal(spark, d).drop("cutoff").withColumn("protocol", F.lit("temporal")))))
@@ -472,14 +476,14 @@ def holdout_summary(spark, d):
 @query
 def drift_gap_table(spark, d):
     cv, ho = _metric_records(spark, d)
-    return MT.drift_gap_table(cv, ho)
+    return MT.drift_gap_table(cv, ho, order=SCORE_NAMES)
 
 
 @query
 def evaluation_report(spark, d):
-    """A4: the report's lines."""
+    """A4: the report's lines; ``experiment_report`` has them for fitted models."""
     cv, ho = _metric_records(spark, d)
-    return MT.render_report(MT.drift_gap_table(cv, ho), MT.cv_summary(cv))
+    return MT.render_report(MT.drift_gap_table(cv, ho, order=SCORE_NAMES), MT.cv_summary(cv), title=SCORE_TITLE)
 
 
 def flagship(spark, d):
@@ -540,20 +544,21 @@ DAY_DIR = r"day=(\d{4}-\d{2}-\d{2})/"
 def _csv_layout(spark, d):
     """Daily CSV folders of 'F' orders plus one undated folder of the rest,
     written once per scale factor into the shared checkpoint folder."""
-    root = scratch_path(spark, "csv-" + d.strip("/").replace("/", "_"))
-    key = ("csv_layout", root)
-    if key not in _WRITTEN:
+    key = (spark.sparkContext.applicationId, FX.state(spark, d), d)
+    root = _WRITTEN.get(key)
+    if root is None:
+        root = scratch_path(spark, "csv-" + uuid.uuid4().hex[:12])
         o = FX.table(spark, d, "orders").select(
             F.col("o_orderkey").alias("MD5"), F.col("o_totalprice").cast("string").alias("Size"),
             F.col("o_orderpriority").alias("Identify"), F.col("o_orderstatus"),
             F.to_date("o_orderdate").alias("day"))
         SRC.write_daily_csv(o.filter(F.col("o_orderstatus") == "F").drop("o_orderstatus"), root + "/by-day", "day")
         SRC.write_csv(o.filter(F.col("o_orderstatus") != "F").drop("o_orderstatus", "day"), root + "/undated")
-        _WRITTEN.add(key)
+        _WRITTEN[key] = root
     return root
 
 
-_WRITTEN: set = set()
+_WRITTEN: dict = {}
 
 
 @query
@@ -623,6 +628,37 @@ def results_sink(spark, d):
     return back.select("stage", "protocol", "model_name", "n")
 
 
+@query
+def upload_check(spark, d):
+    """Uploads, a table for each order priority, checked against the needed
+    columns; those that lack some are named with what they lack, the others are read."""
+    o = FX.table(spark, d, "orders")
+    needed, out = ["o_orderkey", "o_totalprice", "o_orderstatus"], []
+    for i, priority in enumerate(sorted(r[0] for r in o.select("o_orderpriority").distinct().collect())):  # a row per upload
+        upload = o.filter(F.col("o_orderpriority") == priority).drop(*needed[:i % 3])
+        try:
+            SRC.check_columns(upload, needed)
+            lacks = ""
+        except ValueError as e:
+            lacks = str(e)
+        out.append(upload.agg(F.lit(priority).alias("upload"), F.lit(lacks).alias("lacks"), F.count(F.lit(1)).alias("n")))
+    return _union(out)
+
+
+@query
+def result_parts(spark, d):
+    """Results of orders by status and priority, a JSON part each, under names
+    that say stage, protocol and model; files of other names are not read."""
+    o = FX.table(spark, d, "orders")
+    path = scratch_path(spark, "parts-" + uuid.uuid4().hex[:12])
+    stage, protocol = F.when(F.col("o_orderstatus") == "F", "cv").otherwise("holdout"), F.when(F.col("o_orderkey") % 2 == 0, "random").otherwise("temporal")
+    rows = o.select(stage.alias("stage"), protocol.alias("protocol"), F.translate(F.lower("o_orderpriority"), " -", "").alias("model_name"), "o_totalprice")
+    parts = rows.groupBy("stage", "protocol", "model_name").agg(F.count(F.lit(1)).alias("n"), F.round(F.max("o_totalprice"), 2).alias("top"))
+    SRC.write_result_parts(parts.select("stage", "protocol", "model_name", "n", "top"), path)
+    SRC.write_result_parts(parts.limit(1).withColumn("stage", F.lit("draft")), path)  # no stage of an experiment
+    return SRC.read_result_parts(spark, path).select("stage", F.col("file_protocol").alias("protocol"), "model_name", "n", "top")
+
+
 @query
 def head_rows(spark, d):
     """S13 + P12: a report of the first ten orders."""
@@ -657,7 +693,10 @@ def precondition_counts(spark, d):
     return s.agg(F.count_if(F.col("label") == 1).alias("n_pos"), F.count_if((F.col("label") == 1) & F.col("sample_date").isNull()).alias("n_undated"))
 
 
-# --- training (rows-only checks: results depend on MLlib's fitting) -----------------
+# --- training (rows-only checks: results depend on the learners) --------------------
+from tidemark.learn import ensemble as EN  # noqa: E402
+from tidemark.learn import presets as LP  # noqa: E402
+from tidemark.plans import comparison as CP  # noqa: E402
 from tidemark.plans import training as TR  # noqa: E402
 
 
@@ -669,58 +708,79 @@ def _union(frames):
     return reduce(DataFrame.unionByName, frames)
 
 
+def _learners():
+    return LP.learners(len(FIXTURE.log_cols) + len(FIXTURE.scale_cols))
+
+
 def _split_sides(spark, d):
     x = _model_input(spark, d)
-    return {"random": S.random_split(x, R), "temporal": S.temporal_split(x, R).drop("cutoff")}
+    return {"random": FX.reuse(spark, ("random_side", d), lambda: S.random_split(x, R)),
+            "temporal": FX.reuse(spark, ("temporal_side", d), lambda: S.temporal_split(x, R).drop("cutoff"))}
+
+
+def comparison_records(spark, d, models=None, k=CV_FOLDS):
+    """Records of all learners, folds and protocols, fitted once for all queries
+    that show some of them."""
+    models = _learners() if models is None else models
+    return FX.reuse(spark, ("comparison", d, "-".join(models), k), lambda: CP.run_comparison(
+        _split_sides(spark, d), models, FIXTURE.log_cols, FIXTURE.scale_cols, R, k))
 
 
 @query
 def cv_logistic(spark, d):
-    """L10 for the logistic preset under both protocols; ``experiment_cv_summary`` has all presets."""
-    return _union([TR.cross_validate(x.filter(F.col("split") == "train").drop("split"), "logistic", TR.PRESETS["logistic"],
-                                     FIXTURE.log_cols, FIXTURE.scale_cols, protocol, R, k=10)
-                   for protocol, x in _split_sides(spark, d).items()])
+    """The folds of the logistic learner under both protocols."""
+    cv, _ = CP.cv_and_holdout(comparison_records(spark, d, {"logistic": _learners()["logistic"]}))
+    return cv
 
 
 @query
 def holdout_protocols(spark, d):
-    """Every preset under both protocols."""
-    sides = {p: TR.materialize(x, f"holdout-{p}") for p, x in _split_sides(spark, d).items()}
-    return _union([TR.evaluate_holdout(x, name, preset, FIXTURE.log_cols, FIXTURE.scale_cols, protocol, R)
-                   for protocol, x in sides.items() for name, preset in TR.PRESETS.items()])
+    """Every learner under both protocols; the hold-out alone is fitted."""
+    records = FX.reuse(spark, ("holdout", d), lambda: CP.run_comparison(
+        _split_sides(spark, d), _learners(), FIXTURE.log_cols, FIXTURE.scale_cols, R, folds=False))
+    return CP.cv_and_holdout(records)[1]
 
 
-def _ensembles(spark, d):
-    """An ensemble for each base, and the test side."""
+_ENSEMBLES: dict = {}
+
+
+def saved_ensembles(spark, d):
+    """E8 + S11: the folders of an ensemble for each base, fitted and saved once, and
+    the test side."""
     x = _prep_input(spark, d)
-    train = x.filter(F.col("split") == "train").drop("cutoff", "split")
-    for base in TR.BASES:
-        yield base, TR.fit_windowed(train, TR.PRESETS[base], FIXTURE.log_cols, FIXTURE.scale_cols, R), x.filter(F.col("split") == "test")
+    key = (spark.sparkContext.applicationId, FX.state(spark, d), d)
+    if key not in _ENSEMBLES:
+        train, specs = x.filter(F.col("split") == "train").drop("cutoff", "split"), _learners()
+        paths = {}
+        for base, ens in EN.fit_windowed_trees(train, {b: specs[b] for b in LP.BASES}, FIXTURE.log_cols, FIXTURE.scale_cols, R).items():
+            paths[base] = scratch_path(spark, f"ensemble-{base}-" + uuid.uuid4().hex[:12])
+            ens.save(spark, paths[base])
+        _ENSEMBLES[key] = paths
+    return _ENSEMBLES[key], x.filter(F.col("split") == "test").drop("cutoff", "split")
 
 
 @query
 def ensemble_fit_score(spark, d):
-    return _union([TR.evaluate_ensemble(ens, test, R).withColumn("base", F.lit(base)) for base, ens, test in _ensembles(spark, d)])
+    """Both bases' ensembles, fitted and scored on the test side."""
+    paths, test = saved_ensembles(spark, d)
+    return _union([TR.evaluate_ensemble(EN.TreeEnsemble.load(spark, path), test, R).withColumn("base", F.lit(base)) for base, path in paths.items()])
 
 
 @query
 def grid_search(spark, d):
     """The study's grids on the random train side, ten folds."""
-    tr = _split_sides(spark, d)["random"].filter(F.col("split") == "train").drop("split")
-    return _union([TR.grid_search(tr, TR.PRESETS[name], grid, FIXTURE.log_cols, FIXTURE.scale_cols, R, k=10, default=default)
-                   .withColumn("model_name", F.lit(name)) for name, (grid, default) in TR.GRIDS.items()])
+    train = _split_sides(spark, d)["random"].filter(F.col("split") == "train").drop("split")
+    return FX.reuse(spark, ("grid_search", d), lambda: CP.grid_search(train, LP.GRIDS, FIXTURE.log_cols, FIXTURE.scale_cols, R))
 
 
 @query
 def batch_scoring(spark, d):
-    """E9 + S11: for each base a saved ensemble, loaded again, scores the labelled
-    test side and the same rows without labels; verdict counts of both and the metrics."""
+    """For each base the saved ensemble, loaded, scores the labelled test side and
+    the same rows without labels; verdict counts of both and the metrics."""
     out = []
-    for base, ens, test in _ensembles(spark, d):
-        path = scratch_path(spark, "ensemble-" + uuid.uuid4().hex[:12])
-        ens.save(path)
-        ens = TR.WindowedEnsemble.load(spark, path)
-        test = test.drop("cutoff", "split")
+    paths, test = saved_ensembles(spark, d)
+    for base, path in paths.items():
+        ens = EN.TreeEnsemble.load(spark, path)
         rows, metrics = TR.batch_score(ens, test, R)
         plain, _ = TR.batch_score(ens, test.drop(R.label), R)
         same = rows.join(plain.withColumnsRenamed({"verdict": "v", "probability": "p"}).select("sample_id", "v", "p"), "sample_id").agg(
@@ -767,6 +827,18 @@ def stream_scoring(spark, d):
     return spark.read.parquet(Z.run_to_files(out, "scoring-" + _tag(d)))
 
 
+@query
+def stream_fitted_scoring(spark, d):
+    """Z1 + E9: the test side's rows arrive as a stream and are scored by the saved
+    forest ensemble, the same one and by the same expression as in ``batch_scoring``."""
+    paths, test = saved_ensembles(spark, d)
+    folder = FX.reuse(spark, ("stream_input", d), lambda: test)
+    stream = spark.readStream.schema(folder.schema).parquet(folder.inputFiles()[0].rsplit("/", 1)[0])
+    dec = EN.TreeEnsemble.load(spark, paths["forest"]).decide(stream, [R.id])
+    out = dec.select(R.id, "verdict", F.bround("probability", 4).alias("probability"), F.bround("confidence", 4).alias("confidence"))
+    return spark.read.parquet(Z.run_to_files(out, "fitted-scoring-" + _tag(d)))
+
+
 @query
 def stream_psi(spark, d):
     """Daily drift of event features against the train edges (batch
@@ -805,3 +877,20 @@ def stream_accuracy(spark, d):
     out = spark.read.parquet(run.path)
     return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                       F.col("model_id").cast("int").alias("model_id"), r6("accuracy").alias("accuracy"), "n")
+
+
+@query
+def stream_late_labels(spark, d):
+    """Z3 with labels of their own: predictions (orders) and labels (the first lines,
+    known when they ship) are two streams. A label counts if it comes within 60 days;
+    per 30 days and model the predictions with and without one, accuracy, and its
+    decay (D1) against the 30 days before."""
+    o = Z.read_stream_table(spark, d, "orders").select(F.col("o_orderkey").alias("key"), F.col("o_orderdate").alias("ts"))
+    p = F.array(*[FX.pseudo_probability(FX.model_uniform(i, F.col("key")), F.lit(0)) for i in range(K)])
+    lines = Z.read_stream_table(spark, d, "lineitem").filter(F.col("l_linenumber") == 1).select(
+        F.col("l_orderkey").alias("key"), F.col("l_shipdate").alias("ts"), F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("label"))
+    run = Z.run_windowed(spark, lambda end: Z.stream_delayed_labels(
+        o.withColumn("p", p), lines, "key", "ts", "ts", within="60 days", watermark="1 day", marker=end), "late-labels-" + _tag(d))
+    return Z.delayed_accuracy(spark.read.parquet(run.path), "p", "label", threshold=0.3, window="30 days").select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"), "model_id", "n", "n_labelled", "n_unlabelled",
+        r6("accuracy").alias("accuracy"), r6("decay").alias("decay"))

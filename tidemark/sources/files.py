@@ -198,6 +198,27 @@ def read_records_json(spark: SparkSession, path: str, numeric: Sequence[str], st
                      *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in strings])
 
 
+def write_result_parts(df: DataFrame, path: str, keys: Sequence[str] = ("stage", "protocol", "model_name")) -> None:
+    """A JSON file ``{stage}_{protocol}_{model}.json`` for each row, beside those
+    that are there, for ``read_result_parts``. One row per part, so the names are few
+    and the driver renames the files that Spark has written."""
+    spark = df.sparkSession
+    names = [f.name for f in df.schema]
+    done = df.withColumn("_part", F.concat_ws("_", *keys)).dropDuplicates(["_part"])
+    staged = f"{path}/_staged"  # file sources pass over names with a leading underscore
+    done.select("_part", *names).write.mode("overwrite").partitionBy("_part").json(staged)
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(staged)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for folder in fs.listStatus(at):
+        name = folder.getPath().getName()
+        if folder.isDirectory() and name.startswith("_part="):
+            for f in fs.listStatus(folder.getPath()):
+                if f.getPath().getName().endswith(".json"):
+                    fs.rename(f.getPath(), jvm.org.apache.hadoop.fs.Path(f"{path}/{name[len('_part='):]}.json"))
+    fs.delete(at, True)
+
+
 RESULT_PART = r"(?:^|/)(cv|holdout)_(random|temporal)_([^/]*)\.json$"
 
 

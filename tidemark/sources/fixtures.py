@@ -60,14 +60,14 @@ def reuse(spark: SparkSession, key: tuple, build) -> DataFrame:
     written table in the shared checkpoint folder — lineage is cut, so each
     later job plans a plain scan."""
     from tidemark.session import materialize
-    k = (spark.sparkContext.applicationId, _state(spark, key[1]), *key)
+    k = (spark.sparkContext.applicationId, state(spark, key[1]), *key)
     if k not in _CACHE:
         name = "-".join(str(x).strip("/").replace("/", "_") for x in key)
         _CACHE[k] = materialize(build(), name)
     return _CACHE[k]
 
 
-def _state(spark: SparkSession, sf_dir: str) -> tuple:
+def state(spark: SparkSession, sf_dir: str) -> tuple:
     """Names, sizes and times of a folder's tables: what was built from other
     data at the same path is not used."""
     jvm = spark.sparkContext._jvm
