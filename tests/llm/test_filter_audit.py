@@ -57,12 +57,12 @@ def test_audit_is_what_every_order_removes(spark, odd, rows, shard_bytes):
 
 def test_matrix_holds_every_word_under_its_global_number(spark, odd):
     docs = odd.select(F.monotonically_increasing_id().alias("place"), F.struct("doc_id", "text").alias("doc"), "text")
-    matrix, words = fa.document_term_matrix(docs, 300)
+    matrix, entries, words = fa.document_term_matrix(docs, shard_bytes=300)
     number = {bytes(r.word): r.id for r in words.collect()}
     assert sorted(number.values()) == list(range(len(number)))
     seen = 0
-    for m in matrix.collect():
-        ends, ids, counts = np.frombuffer(m.ends, "<i8"), np.frombuffer(m.ids, "<i8"), np.frombuffer(m.counts, "<i4")
+    for m in matrix.join(entries, "shard").collect():
+        ends, ids, counts = np.frombuffer(m.ends, "<i8"), np.frombuffer(m.ids, "<i8" if m.wide else "<i4"), np.frombuffer(m.counts, "<i4")
         for d, a, b in zip(m.docs, ends, ends[1:]):
             want = {}
             for w in (d.text or "").encode().split():

@@ -28,13 +28,13 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write an intermediate to the cluster's shared folder and read it back.
 
     Later steps read files instead of recomputing, also after an executor is
     lost, and row numbers made by non-deterministic functions stay fixed.
     """
-    return materialize(df, f"llm-{name}")
+    return materialize(df, f"llm-{name}", compression)
 
 
 def worker_cache(key, make):

@@ -7,11 +7,12 @@ The two filters on words come from a sparse document-term matrix:
 
 1. every task packs its documents into shards of compressed sparse rows: row
    ends, column numbers and counts, with a dictionary of the shard's own words;
+   what the filters on characters say is noted with each document;
 2. the shards' dictionaries are merged into one global dictionary, which numbers
    each distinct word of the corpus from 0 without gaps. Only a shard's distinct
    words are shuffled, once, never the words of its documents;
-3. each shard's column numbers are replaced by global ones. The written table of
-   these shards is the matrix. A row's sum is the document's number of words, and
+3. each shard's column numbers are replaced by global ones, which completes the
+   matrix. A row's sum is the document's number of words, and
    the number of its nonzero entries that of its distinct words.
 
 The other flags travel with the documents in their shards. Counts for each part and set of failed filters, at most 2^5 for each part, are all that the
@@ -21,6 +22,7 @@ report over the orders needs.
 from __future__ import annotations
 
 from array import array
+from collections import Counter, defaultdict
 from itertools import permutations
 
 import numpy as np
@@ -33,33 +35,41 @@ from pyspark.sql import Column, DataFrame, Window
 from .common import UPPER, col, written
 
 #: Bytes of text after which a shard is closed. A longer text is a shard of its own.
-SHARD_BYTES = 24 << 20
+SHARD_BYTES = 16 << 20
+#: Words of shards that a task numbers before it passes their numbers on.
+PACKED_ROWS = 1 << 20
+#: Of the written shards, which are large tables of numbers.
+CODEC = "zstd"
 FILTERS = "ABCDE"
 ORDERS = ["".join(p) for p in permutations(FILTERS)]
 #: What a document fails by: few words, few distinct ones, capitals, symbols.
-MIN_WORDS, MIN_DISTINCT, MAX_CAPITALS, SYMBOLS = 50, 65, 5, "[#$%&*|]"
+MIN_WORDS, MIN_DISTINCT, MAX_CAPITALS, SYMBOLS = 50, 65, 5, b"#$%&*|"
+#: Bytes that continue a character in UTF-8: a text has as many characters as other bytes.
+CONTINUED = bytes(range(0x80, 0xC0))
 
-
-def csr_shards(rows: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def csr_shards(rows: DataFrame, measure=None, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Shards of the document-term matrix of ``place, doc, text`` with their own
-    dictionaries: a name, the documents (``doc``, any struct), row ends, column
-    numbers and counts as little-endian arrays, and the words by column. Null
-    texts have no words. ``place`` tells rows apart."""
+    dictionaries: a name, the documents (``doc``, any struct), ``measure(text)`` of
+    each (a small number; ``text`` as bytes), row ends, column numbers and counts as
+    little-endian arrays, and the words by column. Null texts have no words.
+    ``place`` tells rows apart."""
     kind = rows.schema["doc"].dataType.simpleString()
 
     def run(batches):
         held = {}
 
         def start():
-            held.update(name=None, docs=[], ends=array("q", [0]), columns=array("i"), counts=array("i"), words={}, size=0)
+            number = defaultdict()
+            number.default_factory = number.__len__  # a word that is new gets the next number
+            held.update(name=None, docs=[], marks=bytearray(), ends=array("q", [0]), columns=array("i"), counts=array("i"), words=number, size=0)
 
         def close():
             docs = pa.concat_arrays(held["docs"])
-            binary = lambda x, kind: pa.array([np.array(x, kind).tobytes()], pa.binary())
+            binary = lambda x: pa.array([bytes(x)], pa.binary())
             out = pa.RecordBatch.from_arrays([
                 pa.array([held["name"]], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(docs)], pa.int32()), docs),
-                binary(held["ends"], "<i8"), binary(held["columns"], "<i4"), binary(held["counts"], "<i4"),
-                pa.array([list(held["words"])], pa.list_(pa.binary()))], ["shard", "docs", "ends", "columns", "counts", "words"])
+                *(binary(held[c]) for c in ("marks", "ends", "columns", "counts")), pa.array([list(held["words"])], pa.list_(pa.binary()))],
+                ["shard", "docs", "marks", "ends", "columns", "counts", "words"])
             start()
             return out
 
@@ -75,15 +85,11 @@ def csr_shards(rows: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
                     first = i
                 if held["name"] is None:
                     held["name"] = b.column(0)[i].as_py()
-                number, seen = held["words"], {}
-                for w in text.split():  # bytes are split at blank, tab, newline, vertical tab, form feed, return
-                    seen[w] = seen.get(w, 0) + 1
-                for w in seen:
-                    if w not in number:
-                        number[w] = len(number)
-                held["columns"].extend(map(number.__getitem__, seen))
+                seen = Counter(text.split())  # bytes are split at blank, tab, newline, vertical tab, form feed, return
+                held["columns"].extend(map(held["words"].__getitem__, seen))
                 held["counts"].extend(seen.values())
                 held["ends"].append(len(held["columns"]))
+                held["marks"].append(measure(text) if measure else 0)
                 held["size"] += len(text)
             if b.num_rows > first:
                 held["docs"].append(b.column(1).slice(first))
@@ -91,17 +97,32 @@ def csr_shards(rows: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
             yield close()
 
     return rows.select("place", "doc", F.col("text").cast("binary").alias("text")).mapInArrow(
-        run, f"shard long, docs array<{kind}>, ends binary, columns binary, counts binary, words array<binary>")
+        run, f"shard long, docs array<{kind}>, marks binary, ends binary, columns binary, counts binary, words array<binary>")
 
 
 def numbered_words(own: DataFrame) -> DataFrame:
-    """``part, place, shard, column, word`` from the shards' dictionaries (``shard,
-    column, word``): equal words meet in one partition, sorted, where each
-    distinct one gets the next place. ``word`` stays in one row of each only.
-    A word has at most one row per shard."""
+    """Numbers for the words of the shards' dictionaries (``shard, column, word``).
+
+    Equal words meet in one partition, sorted, where each distinct one gets the next
+    place. Returns, for some columns of a shard at a time, ``part, shard, n, columns,
+    places``: the partition, its number of distinct words so far, and the columns
+    with their words' places. A word has at most one row per shard."""
 
     def run(batches):
-        part, place, last = TaskContext.get().partitionId(), -1, None
+        part, place, last, held = TaskContext.get().partitionId(), -1, None, []
+
+        def packed():
+            shard, column, places = (np.concatenate(x) for x in zip(*held))
+            held.clear()
+            order = np.argsort(shard, kind="stable")
+            shard, column, places = shard[order], column[order], places[order]
+            starts = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]]))
+            ends = [*starts[1:], len(shard)]
+            cells = [pa.array([x[a:z].astype(k).tobytes() for a, z in zip(starts, ends)], pa.binary()) for x, k in ((column, "<i4"), (places, "<i8" if place >> 31 else "<i4"))]
+            n = len(starts)
+            return pa.RecordBatch.from_arrays([pa.array(np.full(n, part, "i4")), pa.array(shard[starts]), pa.array(np.full(n, place + 1)), *cells],
+                                              ["part", "shard", "n", "columns", "places"])
+
         for b in batches:
             if not b.num_rows:
                 continue
@@ -111,54 +132,78 @@ def numbered_words(own: DataFrame) -> DataFrame:
             new[0] = last is None or words[0].as_py() != last
             places, last = place + np.cumsum(new), words[-1].as_py()
             place = int(places[-1])
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.full(len(words), part, "i4")), pa.array(places), b.column(0), b.column(1),
-                pc.if_else(pa.array(new), words, pa.scalar(None, words.type))], ["part", "place", "shard", "column", "word"])
+            held.append((b.column(0).to_numpy(), b.column(1).to_numpy(), places))
+            if sum(len(x) for _, _, x in held) > PACKED_ROWS:
+                yield packed()
+        if held:
+            yield packed()
 
     dealt = own.select("shard", "column", "word").repartition("word").sortWithinPartitions("word")
-    return dealt.mapInArrow(run, "part int, place long, shard long, column int, word binary")
+    return dealt.mapInArrow(run, "part int, shard long, n long, columns binary, places binary")
 
 
-def document_term_matrix(rows: DataFrame, shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, DataFrame]:
-    """The matrix of ``place, doc, text``, written, and its dictionary, ``word, id``.
+def document_term_matrix(rows: DataFrame, measure=None, shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The matrix of ``place, doc, text`` in two tables that share the column
+    ``shard``, and its dictionary, ``word, id``.
 
-    The matrix has a row per shard: ``shard, docs, ends, counts`` (see
-    ``csr_shards``) and ``ids``, the entries' global word numbers (little-endian,
-    8 bytes each). Numbers run from 0 without gaps: a word's place within its
-    partition, after the words of the partitions before.
+    A row of the first holds a shard's documents, row ends and counts (see
+    ``csr_shards``), one of the second its entries' global word numbers, ``ids``
+    (little-endian, 4 bytes each, or 8 where ``wide``). Both are written. Numbers run
+    from 0 without gaps: a word's place within its partition, after the words of the
+    partitions before.
     """
-    shards = written(csr_shards(rows, shard_bytes), "audit-shards")
-    numbered = written(numbered_words(shards.select("shard", F.posexplode("words").alias("column", "word"))), "audit-words")
-    sizes = numbered.groupBy("part").agg((F.max("place") + 1).alias("n"))  # a row per partition
-    first = F.broadcast(sizes.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("first")))
-    known = numbered.join(first, "part").withColumn("id", F.col("first") + F.col("place"))
-    ids = known.groupBy("shard").agg(  # a shard's words are bounded by its bytes
-        F.transform(F.sort_array(F.collect_list(F.struct("column", "id"))), lambda x: x["id"]).alias("ids"))
-
-    def run(batches):
-        for b in batches:
-            entries = [np.array(ids.as_py() or [], "<i8")[np.frombuffer(columns.as_py(), "<i4")].tobytes()
-                       for columns, ids in zip(b.column(4), b.column(5))]
-            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(entries, pa.binary())], ["shard", "docs", "ends", "counts", "ids"])
-
-    joined = shards.join(ids, "shard", "left").select("shard", "docs", "ends", "counts", "columns", "ids")
-    matrix = joined.mapInArrow(run, f"shard long, docs {shards.schema['docs'].dataType.simpleString()}, ends binary, counts binary, ids binary")
-    return written(matrix, "audit-matrix"), known.where("word IS NOT NULL").select("word", "id")
+    shards = written(csr_shards(rows, measure, shard_bytes), "audit-shards", CODEC)
+    numbered = written(numbered_words(shards.select("shard", F.posexplode("words").alias("column", "word"))), "audit-words", CODEC)
+    sizes = {r["part"]: r["n"] for r in numbered.groupBy("part").agg(F.max("n").alias("n")).collect()}  # a row per partition
+    first, n_words = {}, 0
+    for part in sorted(sizes):
+        first[part], n_words = n_words, n_words + sizes[part]
+    wide = n_words >= 1 << 31
+
+    def ids_of(found: pa.Table):
+        """A shard's word numbers by column."""
+        parts = [(np.frombuffer(c, "<i4"), np.frombuffer(p, f"<i{len(p) * 4 // len(c)}") + first[part])
+                 for part, c, p in zip(*(found[x].to_pylist() for x in ("part", "columns", "places")))]
+        ids = np.zeros(sum(len(c) for c, _ in parts), "<i8")
+        for columns, numbers in parts:
+            ids[columns] = numbers
+        return ids
+
+    def entries(shard: pa.Table, found: pa.Table) -> pa.Table:
+        ids = ids_of(found)[np.frombuffer(shard["columns"][0].as_py(), "<i4")].astype("<i8" if wide else "<i4")
+        return pa.table({"shard": shard["shard"], "ids": pa.array([ids.tobytes()], pa.binary()), "wide": pa.array([wide])})
+
+    def dictionary(shard: pa.Table, found: pa.Table) -> pa.Table:
+        return pa.table({"word": shard["words"].combine_chunks().flatten(), "id": pa.array(ids_of(found))})
+
+    # a shard and what belongs to it: both are bounded by the shard's bytes
+    found = numbered.select("shard", "part", "columns", "places").groupBy("shard")
+    ids = shards.select("shard", "columns").groupBy("shard").cogroup(found).applyInArrow(entries, "shard long, ids binary, wide boolean")
+    words = shards.select("shard", "words").groupBy("shard").cogroup(found).applyInArrow(dictionary, "word binary, id long").distinct()
+    return shards.select("shard", "docs", "marks", "ends", "counts"), written(ids, "audit-matrix", CODEC), words
 
 
 def word_totals(matrix: DataFrame) -> DataFrame:
-    """``doc, n_words, n_distinct``: the matrix' row sums and nonzero counts."""
+    """``doc, mark, n_words, n_distinct``: row sums and nonzero counts, from the
+    matrix' first table."""
     kind = matrix.schema["docs"].dataType.elementType.simpleString()
 
     def run(batches):
         for b in batches:
-            for docs, ends, counts in zip(*(b.column(i) for i in range(3))):
+            for docs, marks, ends, counts in zip(*b.columns):
                 ends = np.frombuffer(ends.as_py(), "<i8")
                 running = np.concatenate([[0], np.cumsum(np.frombuffer(counts.as_py(), "<i4"), dtype="<i8")])
-                yield pa.RecordBatch.from_arrays([docs.values, pa.array(np.diff(running[ends])), pa.array(np.diff(ends))],
-                                                 ["doc", "n_words", "n_distinct"])
+                yield pa.RecordBatch.from_arrays([docs.values, pa.array(np.frombuffer(marks.as_py(), "u1").astype("i4")),
+                                                  pa.array(np.diff(running[ends])), pa.array(np.diff(ends))], ["doc", "mark", "n_words", "n_distinct"])
+
+    return matrix.select("docs", "marks", "ends", "counts").mapInArrow(run, f"doc {kind}, mark int, n_words long, n_distinct long")
+
 
-    return matrix.select("docs", "ends", "counts").mapInArrow(run, f"doc {kind}, n_words long, n_distinct long")
+def _marks(text: bytes) -> int:
+    """1 for capitals, 2 for symbols, or their sum."""
+    points = len(text.translate(None, CONTINUED))
+    capitals = len(text) - len(text.translate(None, UPPER.encode()))
+    return (100 * capitals > MAX_CAPITALS * points) + 2 * (len(text) != len(text.translate(None, SYMBOLS)))
 
 
 def failed_filters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "source",
@@ -172,14 +217,14 @@ def failed_filters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Further columns are not read. An empty table gives no rows.
     """
     text = F.coalesce(col(text_col), F.lit(""))
-    capitals = F.length(text) - F.length(F.translate(text, UPPER, ""))
     doc = F.struct(col(id_col).alias("doc_id"), F.coalesce(col(part_col).cast("string"), F.lit("")).alias("part"),
-                   (100 * capitals > MAX_CAPITALS * F.length(text)).alias("c"), text.rlike(SYMBOLS).alias("d"), F.sha2(text, 256).alias("digest"))
-    matrix, _ = document_term_matrix(docs.select(F.monotonically_increasing_id().alias("place"), doc.alias("doc"), text.alias("text")), shard_bytes)
-    flags = written(word_totals(matrix).select("doc.*", "n_words", "n_distinct"), "audit-flags")
+                   F.unhex(F.sha2(text, 256)).alias("digest"))
+    rows = docs.select(F.monotonically_increasing_id().alias("place"), doc.alias("doc"), text.alias("text"))
+    matrix, _, _ = document_term_matrix(rows, _marks, shard_bytes)
+    flags = written(word_totals(matrix).select("doc.*", "mark", "n_words", "n_distinct"), "audit-flags")
     first = flags.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
-    fails = [F.col("n_words") < MIN_WORDS, 100 * F.col("n_distinct") < MIN_DISTINCT * F.col("n_words"), F.col("c"), F.col("d"),
-             F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False))]
+    fails = [F.col("n_words") < MIN_WORDS, 100 * F.col("n_distinct") < MIN_DISTINCT * F.col("n_words"),
+             F.col("mark").bitwiseAND(1) > 0, F.col("mark").bitwiseAND(2) > 0, F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False))]
     return flags.join(first, "digest", "left").select(
         "doc_id", "part", "n_words", "n_distinct", sum((f.cast("int") * (1 << i) for i, f in enumerate(fails)), F.lit(0)).alias("failed"))
 
