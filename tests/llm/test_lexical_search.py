@@ -68,7 +68,7 @@ def test_batches_are_pruned():
     ids, tf = (np.array([x for c in counted for x in f(c)], "i8") for f in (dict.keys, dict.values))
     weights = np.full(len(block.vocabulary), 1000)
     best = ls.Best(5, [0] * 40)
-    scored = ls.search_tree(ls.ItemTree(block, weights), best, [i for i, _ in docs], ends, ids, 1_000_000 * tf // (tf + 1))
+    scored = ls.search_tree(ls.ItemTree(block.items, weights), best, [i for i, _ in docs], ends, ids, 1_000_000 * tf // (tf + 1))
     assert scored < 0.25 * len(docs) * len(items)
     for i, (t, n) in enumerate(block.items):
         all_ = [(-sum(1000 * q * (1_000_000 * c[x] // (c[x] + 1)) for x, q in zip(t.tolist(), n.tolist()) if x in c), False, d) for (d, _), c in zip(docs, counted)]

@@ -147,8 +147,9 @@ def _entries(ends, rows):
 class ItemTree:
     """A binary tree over a block's items: greatest weights, and items, of each node."""
 
-    def __init__(self, block: Block, weights: np.ndarray):
-        self.items = [(t, n * weights[t]) for t, n in block.items]
+    def __init__(self, items, weights: np.ndarray):
+        """``items``: each one's term numbers and occurrences."""
+        self.items = [(t, n * weights[t]) for t, n in items]
         self.width = len(weights)
         ends = np.concatenate([[0], np.cumsum([len(t) for t, _ in self.items])]).astype("i8")
         ids = np.concatenate([t for t, _ in self.items]) if self.items else np.zeros(0, "i8")
@@ -268,11 +269,11 @@ def search_tree(tree: ItemTree, best: Best, docs, ends, ids, values) -> int:
 def search(rows: DataFrame, block: Block, weights: np.ndarray, n_docs: int, n_terms: int, floors, k: int) -> DataFrame:
     """``number, doc_id, score``: the best ``k`` documents of each item in each
     task, among those that reach the floors."""
-    shared = rows.sparkSession.sparkContext.broadcast((block, weights, floors))
+    shared = rows.sparkSession.sparkContext.broadcast((block.numbers, block.items, weights, floors))  # plain data, which tasks can read
 
     def run(batches):
-        block, weights, floors = shared.value
-        tree, best = ItemTree(block, weights), Best(k, floors)
+        numbers, items, weights, floors = shared.value
+        tree, best = ItemTree(items, weights), Best(k, floors)
         held = []
 
         def flush():
@@ -299,7 +300,7 @@ def search(rows: DataFrame, block: Block, weights: np.ndarray, n_docs: int, n_te
                     flush()
         if held:
             flush()
-        out = [(block.numbers[i], None if none else d, -s) for i, found in enumerate(best.rows) for s, none, d in found]
+        out = [(numbers[i], None if none else d, -s) for i, found in enumerate(best.rows) for s, none, d in found]
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out) if out else ((), (), ()))], ["number", "doc_id", "score"])
 
     return rows.where("size(terms) > 0").select("doc_id", "n", "terms", "tfs").mapInArrow(run, "number long, doc_id long, score long")
