@@ -44,6 +44,17 @@ def test_against_brute_force(spark, odd, texts, rows, monkeypatch, broadcast):
     assert rows(got, "doc_id", "n_words", "hit_words", "items") == want
 
 
+def test_a_passage_that_many_items_share(spark, rows):
+    shared = passage(5, 30)
+    items = [(i, shared + " " + passage(500 + i, 12)) for i in range(300)]
+    docs = [(i, passage(900 + i, 20) + " " + shared + " " + passage(500 + i, 12)) for i in range(20)] + [(20, shared)] * 2
+    bench, table = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame(docs, "doc_id long, text string")
+    wins, holders = d.benchmark_windows(bench)
+    assert "items" not in wins.columns and wins.count() == wins.select("win").distinct().count() < holders.count()
+    assert rows(d.find_hits(table, bench), "doc_id", "n_words", "hit_words", "items") == brute(docs, items)
+    assert d.remove_documents(table, bench).count() == 0
+
+
 def test_empty_tables(spark, odd, empty, texts):
     none = spark.createDataFrame([], "item_id long, text string")
     bench = spark.createDataFrame([(1, "word")], "item_id long, text string")

@@ -4,8 +4,10 @@ Benchmark items are cut into windows of ``WINDOW`` words (a shorter item is one
 window). A filter over the windows' first words, of bounded size, is a literal
 in the plan: for most document positions one hash and one or two lookups in it
 are all. Positions that pass give their whole window as text, which a hash join
-verifies against the benchmark's windows: a broadcast join up to
-``BROADCAST_BYTES`` of windows, a shuffled one beyond.
+verifies against the benchmark's windows, numbered texts without their items: a
+broadcast join up to ``BROADCAST_BYTES`` of them, a shuffled one beyond. Which
+items a document holds follows from its distinct window numbers in a shuffled
+join, so a window that many items share travels as one number until then.
 
 All steps are DataFrame operations. Documents are scanned once; what is written
 and shuffled are windows that passed the filter.
@@ -36,18 +38,20 @@ def words_of(text: Column) -> Column:
 
 
 def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text",
-                      window: int = WINDOW) -> DataFrame:
-    """``win, n, lead, items``: distinct windows as text, their lengths, the
-    hash of their first words, and the sorted ids (as strings) of their items.
-    Items without words, or with a null id, have none."""
+                      window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
+    """Two written tables. ``win_id, win, n, lead``: distinct windows, numbered, as
+    text, their lengths and the hash of their first words. ``win_id, item``: the
+    ids (as strings) of the items that hold them. Items without words, or with a
+    null id, have none."""
     items = benchmark.select(col(id_col).cast("string").alias("item"), words_of(col(text_col)).alias("words")).where(
         "item IS NOT NULL AND size(words) > 0")
     size = F.least(F.size("words"), F.lit(window))
-    wins = items.select("item", F.explode(F.transform(
-        F.sequence(F.lit(0), F.size("words") - size), lambda i: F.slice("words", i + 1, size))).alias("w"))
-    return wins.groupBy(F.array_join("w", " ").alias("win")).agg(
-        F.first(F.size("w")).alias("n"), F.first(_lead("w", F.lit(0), F.least(F.size("w"), F.lit(LEAD)))).alias("lead"),
-        F.array_sort(F.collect_set("item")).alias("items"))
+    held = items.select("item", F.explode(F.transform(
+        F.sequence(F.lit(0), F.size("words") - size), lambda i: F.slice("words", i + 1, size))).alias("w")).select(
+        "item", F.array_join("w", " ").alias("win"), F.size("w").alias("n"),
+        _lead("w", F.lit(0), F.least(F.size("w"), F.lit(LEAD))).alias("lead"))
+    wins = written(held.select("win", "n", "lead").distinct().withColumn("win_id", F.monotonically_increasing_id()), "benchmark-windows")
+    return wins, written(held.select("item", "win").distinct().join(wins, "win").select("win_id", "item"), "benchmark-items")
 
 
 def _lead(words, i: Column, n: Column) -> Column:
@@ -68,19 +72,12 @@ def _filter_bytes(leads: DataFrame, slots: int) -> bytes:
     return cells.select(F.array_join(F.transform("cells", lambda c: c["m"]), "")).first()[0].encode()
 
 
-def find_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-              window: int = WINDOW) -> DataFrame:
-    """``doc_id, doc_key, n_words, hit_words, items``, a row per input row.
-
-    ``hit_words`` holds the sorted numbers (from 0) of the words inside any
-    occurrence of a benchmark window, ``items`` the sorted item ids with
-    occurring windows; both are empty for clean documents. ``doc_key`` is a hash
-    of the text: rows equal in id and text are one document and get one result.
-    Null and empty texts have no words and no hits; an empty benchmark hits
-    nothing. Other columns are not read.
-    """
-    wins = written(benchmark_windows(benchmark, window=window), "benchmark-windows")
-    facts = wins.groupBy("n").agg(F.count("*").alias("k"), F.sum(F.length("win") + 64).alias("bytes")).collect()  # `window` rows at most
+def find_windows(docs: DataFrame, wins: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Two tables. ``doc_id, doc_key, n_words``, a row per input row; and ``doc_id,
+    doc_key, i, n, win_id``: every place (word ``i``, from 0) where a window of
+    ``wins`` stands. ``doc_key`` is a hash of the text."""
+    # as many rows as windows have lengths
+    facts = wins.groupBy("n").agg(F.count("*").alias("k"), F.sum(F.octet_length("win") + 64).alias("bytes")).collect()
     total = sum(r["k"] for r in facts)
     slots = min(MAX_SLOTS, max(1 << 12, 1 << (32 * total).bit_length()))
     leads = sorted({min(r["n"], LEAD) for r in facts})
@@ -107,19 +104,40 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", tex
     found = F.concat(none, *[spans(r["n"]) for r in sorted(facts)])
     scanned = written(passed.select("doc_id", "doc_key", F.size("words").cast("long").alias("n_words"), found.alias("found")), "benchmark-scan")
 
-    known = wins.select("win", "items")
+    known = wins.select("win", "win_id")
     if sum(r["bytes"] for r in facts) <= BROADCAST_BYTES:
         known = F.broadcast(known)
-    hits = scanned.where(F.size("found") > 0).select("doc_id", "doc_key", F.explode("found").alias("f")).select(
-        "doc_id", "doc_key", "f.*").join(known, "win").groupBy("doc_id", "doc_key").agg(
-        F.collect_set(F.struct("i", "n")).alias("places"), F.collect_set("items").alias("items"))
-    merged = hits.select(
-        F.col("doc_id").alias("h_id"), F.col("doc_key").alias("h_key"),
-        F.array_sort(F.array_distinct(F.flatten(F.transform("places", lambda p: F.sequence(p["i"], p["i"] + p["n"] - 1))))).alias("hit_words"),
-        F.array_sort(F.array_distinct(F.flatten("items"))).alias("items"))
-    return scanned.drop("found").join(
-        merged, F.col("doc_id").eqNullSafe(F.col("h_id")) & (F.col("doc_key") == F.col("h_key")), "left").select(
-        "doc_id", "doc_key", "n_words", F.coalesce("hit_words", F.array().cast("array<int>")).alias("hit_words"),
+    places = scanned.where(F.size("found") > 0).select("doc_id", "doc_key", F.explode("found").alias("f")).select(
+        "doc_id", "doc_key", "f.*").join(known, "win").select("doc_id", "doc_key", "i", "n", "win_id")
+    return scanned.drop("found"), places
+
+
+def find_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+              window: int = WINDOW) -> DataFrame:
+    """``doc_id, doc_key, n_words, hit_words, items``, a row per input row.
+
+    ``hit_words`` holds the sorted numbers (from 0) of the words inside any
+    occurrence of a benchmark window, ``items`` the sorted item ids with
+    occurring windows; both are empty for clean documents. ``doc_key`` is a hash
+    of the text: rows equal in id and text are one document and get one result.
+    Null and empty texts have no words and no hits; an empty benchmark hits
+    nothing. Other columns are not read.
+    """
+    wins, holders = benchmark_windows(benchmark, window=window)
+    scanned, places = find_windows(docs, wins, id_col, text_col)
+    one = ["doc_id", "doc_key"]
+    places = written(places, "benchmark-places")
+    words = places.groupBy(*one).agg(F.collect_set(F.struct("i", "n")).alias("places")).select(
+        *one, F.array_sort(F.array_distinct(F.flatten(F.transform("places", lambda p: F.sequence(p["i"], p["i"] + p["n"] - 1))))).alias("hit_words"))
+    items = places.select(*one, "win_id").distinct().join(holders, "win_id").groupBy(*one).agg(
+        F.array_sort(F.collect_set("item")).alias("items"))
+
+    def same(side: DataFrame, name: str) -> tuple[DataFrame, Column]:
+        side = side.withColumnsRenamed({c: f"{name}_{c}" for c in one})
+        return side, F.col("doc_id").eqNullSafe(F.col(f"{name}_doc_id")) & (F.col("doc_key") == F.col(f"{name}_doc_key"))
+
+    return scanned.join(*same(words, "word"), "left").join(*same(items, "item"), "left").select(
+        *one, "n_words", F.coalesce("hit_words", F.array().cast("array<int>")).alias("hit_words"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 
@@ -134,8 +152,9 @@ def report(docs: DataFrame, benchmark: DataFrame, **names) -> DataFrame:
 def remove_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      window: int = WINDOW) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no benchmark window."""
-    bad = find_hits(docs, benchmark, id_col, text_col, window).where(F.size("hit_words") > 0).select(
-        F.col("doc_id").alias("bad id"), F.col("doc_key").alias("bad key")).distinct()
+    wins, _ = benchmark_windows(benchmark, window=window)
+    _, places = find_windows(docs, wins, id_col, text_col)
+    bad = places.select(F.col("doc_id").alias("bad id"), F.col("doc_key").alias("bad key")).distinct()
     rows = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("doc"), F.xxhash64(col(text_col)).alias("key"), col(id_col).alias("id"))
     same = F.col("id").eqNullSafe(F.col("`bad id`")) & (F.col("key") == F.col("`bad key`"))
     return rows.join(bad, same, "left_anti").select("doc.*")
