@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import metrics as MT
-from tidemark.operators.quantiles import exact_quantiles, value_bucket
+from tidemark.operators.quantiles import exact_quantiles, value_bucket, value_cells
 
 
 def test_exact_quantiles(spark):
@@ -82,3 +82,35 @@ def test_value_bucket_never_falls(spark):
     df = spark.createDataFrame([(x,) for x in v], "x DOUBLE").select("x", value_bucket(F.col("x")).alias("b"))
     b = [r["b"] for r in df.orderBy("x").collect()]
     assert b == sorted(b) and len(set(b)) == len(b) - 1
+
+
+def test_crowded_buckets_are_split_in_order(spark, monkeypatch):
+    from tidemark.operators import quantiles as Q
+    monkeypatch.setattr(Q, "CROWD", 64)
+    rng = np.random.default_rng(3)
+    micros = 1.3e15 + rng.integers(0, 10**11, 3000).astype(float)
+    groups = {"micros": micros, "minus": -micros, "near one": 1 - 10.0 ** -rng.uniform(3.5, 15, 3000), "ties": np.repeat(micros[:50], 40),
+              "wide": np.concatenate([micros[:200], rng.normal(0, 5, 500), [np.inf, -np.inf]])}
+    rows = [(g, float(x)) for g, v in groups.items() for x in v]
+    df = spark.createDataFrame(rows, "g STRING, v DOUBLE")
+    cells = value_cells(df.distinct(), ["g"], "v", "b").toPandas()
+    for name, of in cells.sort_values("v").groupby("g"):
+        assert of["b"].is_monotonic_increasing
+        if name in ("micros", "minus", "near one"):
+            assert of.groupby("b").size().max() <= 64 < of.groupby(of["b"] // Q._SPLITS).size().max()
+    probs = [0.0, 0.01, 0.3, 0.5, 0.9, 1.0]
+    for r in exact_quantiles(df, ["g"], "v", probs).collect():
+        if np.isfinite(r["value"]):
+            assert r["value"] == pytest.approx(np.quantile(groups[r["g"]], r["prob"]), rel=1e-15)
+
+
+def test_auc_of_crowded_scores(spark, monkeypatch):
+    from tidemark.operators import quantiles as Q
+    monkeypatch.setattr(Q, "CROWD", 16)
+    rng = np.random.default_rng(4)
+    score = np.round(1 - 10.0 ** -rng.uniform(3.5, 9, 800), 8)
+    label = (rng.random(800) < 0.4).astype(int)
+    pos, neg = score[label == 1], score[label == 0]
+    want = np.mean((pos[:, None] > neg) + 0.5 * (pos[:, None] == neg))
+    df = spark.createDataFrame([("m", float(s), int(y)) for s, y in zip(score, label)], "g STRING, s DOUBLE, y INT")
+    assert MT.auc_by_group(df, ["g"], "s", "y").first()["auc"] == pytest.approx(want, rel=1e-12)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.config import HEADLINE_ORDER
-from tidemark.operators.quantiles import small_frame, value_bucket
+from tidemark.operators.quantiles import small_frame, value_cells
 from pyspark.sql import types as T
 
 
@@ -47,7 +47,7 @@ def accuracy_from_counts(counts: DataFrame, keys: Sequence[str], threshold: floa
 def auc_from_counts(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``auc_by_group`` from ``score_counts``."""
     keys = list(keys)
-    per = counts.withColumn("_r", value_bucket(F.col("_s")))
+    per = value_cells(counts, keys, "_s", "_r")
     slices = per.groupBy(*keys, "_r").agg(F.sum("_n").alias("_sn"))
     w_off = Window.partitionBy(*keys).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
     offs = slices.select(*keys, "_r", F.coalesce(F.sum("_sn").over(w_off), F.lit(0)).alias("_off"))

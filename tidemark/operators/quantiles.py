@@ -9,9 +9,11 @@ How the order statistics ``x[k]`` are found, alike at every size:
 
 1. values are counted by (group, value), combined before the shuffle, so ties
    of any number are one row;
-2. every value falls into a bucket that grows with it (``value_bucket``, about
-   a thousand for each power of two); running sums over a group's buckets, a
-   table bounded by the buckets there are, tell which ones hold a wanted rank;
+2. every value falls into a bucket that grows with it (``value_cells``: about
+   a thousand for each power of two, and where many different values crowd in
+   one, a second split by the distance from its ends); running sums over a
+   group's buckets, a table bounded by the buckets there are, tell which ones
+   hold a wanted rank;
 3. running sums over the distinct values of those buckets alone pick ``x[k]``.
 
 All of it is one lazy plan; the driver sees no intermediate result.
@@ -31,6 +33,10 @@ from pyspark.sql.pandas.types import to_arrow_schema
 BUCKETS_PER_OCTAVE = 1024
 #: Beyond the exponents of doubles on both sides.
 _EXPONENTS = 1100.0
+#: Different values of one bucket beyond which it is split again.
+CROWD = 4_096
+#: Above twice the greatest ``value_bucket``.
+_SPLITS = 1 << 23
 
 
 def small_frame(spark, rows, schema: T.StructType) -> DataFrame:
@@ -47,6 +53,25 @@ def value_bucket(x: Column) -> Column:
     return F.when(x > 0, size).when(x < 0, -size).otherwise(F.lit(0).cast("long"))
 
 
+def value_cells(counts: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
+    """``counts`` (a row per group and value) with a whole number ``out`` that
+    never falls as ``value`` grows, fine enough that few values share one.
+
+    It is ``value_bucket``, and within a bucket of more than ``CROWD`` values the
+    ``value_bucket`` of the distance from its nearer end. So dates in
+    microseconds, which share a bucket for days, are cut into thousands, and so
+    are scores that approach 1. A group with a null key stays unsplit.
+    """
+    keys, x = list(keys), F.col(value)
+    coarse = counts.withColumn(out, value_bucket(x))
+    crowded = coarse.groupBy(*keys, out).agg(F.count(F.lit(1)).alias("_d"), F.min(x).alias("_low"), F.max(x).alias("_high")) \
+        .where((F.col("_d") > CROWD) & (F.col("_high") > F.col("_low"))).drop("_d")
+    up, down = x - F.col("_low"), F.col("_high") - x
+    split = F.when(up <= down, value_bucket(up)).otherwise(_SPLITS - value_bucket(down))
+    return coarse.join(crowded, [*keys, out], "left").select(
+        *counts.columns, (F.col(out) * F.lit(_SPLITS) + F.coalesce(split, F.lit(0).cast("long"))).alias(out))
+
+
 def exact_quantiles(long: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
     """(keys..., prob_idx, prob, n, value) for each group and probability.
 
@@ -56,7 +81,8 @@ def exact_quantiles(long: DataFrame, keys: Sequence[str], value: str, probs: Seq
     keys = list(keys)
     counts = long.select(*keys, F.col(value).cast("double").alias("_x")) \
         .filter(F.col("_x").isNotNull() & ~F.isnan("_x")) \
-        .groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_c")).withColumn("_b", value_bucket(F.col("_x")))
+        .groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_c"))
+    counts = value_cells(counts, keys, "_x", "_b")
 
     whole = Window.partitionBy(*keys)
     before = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
