@@ -31,8 +31,14 @@ def r6(c):
     return F.round(c, 6)
 
 
+def _dated(spark, d):
+    """Of the samples, what splits, windows and metrics need: they are shuffled and
+    written several times over, so the strings and features stay behind."""
+    return FX.samples(spark, d).select(R.id, R.label, R.date)
+
+
 def _temporal(spark, d):
-    return FX.reuse(spark, ("temporal", d), lambda: S.temporal_split(FX.samples(spark, d), R))
+    return FX.reuse(spark, ("temporal", d), lambda: S.temporal_split(_dated(spark, d), R))
 
 
 def _windowed(spark, d):
@@ -49,8 +55,8 @@ def _tail(spark, d):
 # --- splits ---------------------------------------------------------------
 @query
 def temporal_split_summary(spark: SparkSession, d: str) -> DataFrame:
-    split = S.temporal_split(FX.samples(spark, d).select(R.id, R.label, R.date), R)  # what the counts need, and no more
-    cut = S.temporal_cutoff(FX.samples(spark, d), R).select("cutoff").scalar()
+    split = S.temporal_split(_dated(spark, d), R)
+    cut = S.temporal_cutoff(_dated(spark, d), R).select("cutoff").scalar()
     return S.split_summary(split, R).withColumn("cutoff", cut)
 
 
@@ -436,7 +442,7 @@ SCORE_TITLE = f"### Random vs temporal hold-out, {K} md5 score columns"
 def _metric_records(spark, d):
     """cv and hold-out metric records for 5 score columns under both
     protocols: folds on the train side (T6), AUC/accuracy per fold (A13/A14)."""
-    s = FX.samples(spark, d)
+    s = _dated(spark, d)
     names = F.element_at(F.array(*[F.lit(n) for n in SCORE_NAMES]), F.col("model_id") + 1)
     sides = FX.reuse(spark, ("sides", d), lambda: (
         S.random_split(s, R).withColumn("protocol", F.lit("random"))
