@@ -34,3 +34,26 @@ def test_metric_records_write_narrow_sides(spark, orders_dir):
     sides = next(v for k, v in G.FX._CACHE.items() if k[2] == "sides" and k[3] == orders_dir)
     assert set(sides.columns) == {"sample_id", "label", "sample_date", "split", "protocol"}
     assert sides.count() == 120 and holdout.count() == 10 and cv.select("protocol").distinct().count() == 2
+
+
+def test_learners_input_leaves_the_strings_behind(spark, orders_dir):
+    wanted = {"sample_id", "label", "sample_date", *G.FIXTURE.log_cols, *G.FIXTURE.scale_cols}
+    assert set(G._model_input(spark, orders_dir).columns) == wanted
+    assert set(G._prep_input(spark, orders_dir).columns) == wanted | {"split", "cutoff"}
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_lists_and_means_are_made_once(spark):
+    from pyspark.sql import functions as F
+    from tidemark.functions import lists as L
+    from tidemark.operators import drift as D
+    s = spark.createDataFrame([("[[]]",), ("[]",), ("['a', ['b', 'c']]",), ("[null]",), ("['null']",), ("a,b",)], "v string")
+    assert _plan(s.select(L.signature_count("v"))).count("split(") == 1
+    assert [r[0] for r in s.select(L.signature_count("v")).collect()] == [0, 1, 3, 1, 1, 2]
+    p = spark.createDataFrame([([.2, .6, None],), ([],)], "a array<double>")
+    assert _plan(p.select(D.disagreement(F.col("a")))).count("filter(") == 1
+    got = [r[0] for r in p.select(D.disagreement(F.col("a"))).collect()]
+    assert got[0] == pytest.approx(0.4) and got[1] is None

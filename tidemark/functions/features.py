@@ -40,10 +40,9 @@ def engineer(df: DataFrame, spec: FeatureSpec = FeatureSpec()) -> DataFrame:
     cols = set(df.columns)
     has = {k: getattr(spec, k) in cols for k in ("dlls", "symbols", "identify", "timestamp")}
     inner = df
-    if has["dlls"]:
-        inner = inner.withColumn("_dll_list", L.list_from_literal(spec.dlls))
-    if has["symbols"]:
-        inner = inner.withColumn("_sym_list", L.list_from_literal(spec.symbols))
+    lists = {out: getattr(spec, k) for k, out in (("dlls", "_dll_list"), ("symbols", "_sym_list")) if has[k]}
+    inner = inner.withColumns({f"{out}_text": L.stripped(c) for out, c in lists.items()})
+    inner = inner.withColumns({out: L.list_from_literal(f"{out}_text", is_stripped=True) for out in lists})
     zero = F.lit(0)
     n_dlls = F.size("_dll_list") if has["dlls"] else zero
     n_syms = F.size("_sym_list") if has["symbols"] else zero
@@ -63,4 +62,4 @@ def engineer(df: DataFrame, spec: FeatureSpec = FeatureSpec()) -> DataFrame:
         "time_alignment_anomaly": year_anomaly(F.col("formatted_timedatestamp_year"), spec.year_min, spec.year_max),
         "dll_count_anomaly": count_anomaly(F.col("n_imported_dlls"), spec.dll_many),
     })
-    return out.drop("_dll_list", "_sym_list")
+    return out.drop(*lists, *[f"{c}_text" for c in lists])

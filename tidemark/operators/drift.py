@@ -96,9 +96,11 @@ def disagreement(probs: Column) -> Column:
     """clip(2 * population std of an array of probabilities, 0, 1);
     NULL entries (inactive models) are left out."""
     a = F.filter(probs, lambda x: x.isNotNull())
-    n = F.size(a)
-    mean = F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x) / n
-    var = F.aggregate(a, F.lit(0.0), lambda acc, x: acc + (x - mean) * (x - mean)) / n
+    # the array and its mean are bound once per row; inside a lambda they would be made again for every entry
+    mean = lambda v: F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x) / F.size(v)
+    variance = lambda v, m: F.aggregate(v, F.lit(0.0), lambda acc, x: acc + (x - m) * (x - m)) / F.size(v)
+    bound = F.transform(F.array(a), lambda v: F.struct(v.alias("v"), mean(v).alias("m")))
+    var = F.get(F.transform(bound, lambda s: variance(s["v"], s["m"])), F.lit(0))
     return clip(F.lit(2.0) * F.sqrt(var), 0.0, 1.0)
 
 
